@@ -112,12 +112,6 @@ def recommendations_for(recommendations, user_id, limit=10):
     return chosen.orderBy(F.desc("score"), "rank").limit(limit)
 
 
-def with_total(table):
-    """Rows with the number of rows of the whole table beside them."""
-    total = table.agg(F.count("*").alias("count"))
-    return table.join(F.broadcast(total))
-
-
 def category_statistics(stats):
     return stats
 

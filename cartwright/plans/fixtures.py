@@ -47,7 +47,7 @@ def raw_records(spark, sf_dir):
     ]
     return raw_events(spark, sf_dir).select(
         F.col("product_id").cast("binary").alias("key"),
-        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary").alias("value"),
         F.timestamp_seconds(F.col("event_id")).alias("timestamp"),
     )
 

@@ -1,0 +1,56 @@
+"""Compares a Spark result with a DuckDB result: same columns, same rows, bit for bit."""
+
+import datetime
+import decimal
+import math
+
+import duckdb
+
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+
+
+def connect(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, decimal.Decimal):
+        return ("decimal", str(value))
+    if isinstance(value, bool):
+        return ("bool", value)
+    if isinstance(value, float):
+        return ("float", "nan" if math.isnan(value) else value.hex())
+    if isinstance(value, int):
+        return ("int", value)
+    if isinstance(value, datetime.datetime):
+        return ("time", value.isoformat())
+    if isinstance(value, datetime.date):
+        return ("date", value.isoformat())
+    return (type(value).__name__, str(value))
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def differences(spark_df, connection, sql, show=3):
+    """None when equal, else a description."""
+    relation = connection.execute(sql)
+    names = [column[0] for column in relation.description]
+    expected = relation.fetchall()
+    if sorted(spark_df.columns) != sorted(names):
+        return f"columns {sorted(spark_df.columns)} against {sorted(names)}"
+    found = _rows(spark_df.columns, [tuple(row) for row in spark_df.collect()])
+    wanted = _rows(names, expected)
+    if found == wanted:
+        return None
+    surplus = [row for row in found if row not in set(wanted)][:show]
+    absent = [row for row in wanted if row not in set(found)][:show]
+    return f"{len(found)} rows against {len(wanted)}; only in Spark {surplus}; only in SQL {absent}"
