@@ -7,9 +7,9 @@ from cartwright import schema
 from cartwright.functions import metrics
 from cartwright.operators.statistics import stamped
 
-# A BIGINT measure is cut into stripes of 2**20 neighbouring values. A window over one stripe then holds at most a
-# million distinct values, and the list of stripes is as short again for any measure below 2**40.
-STRIPE_BITS = 20
+# A BIGINT measure is cut into stripes of 2**16 neighbouring values. A window over one stripe then holds at most 65,536
+# distinct values, and the list of stripes is as short again for any measure below 2**32.
+STRIPE_BITS = 16
 
 RANKING_COLUMNS = ("product_id", "category_code", "brand", "avg_price", "rank_type", "rank_value")
 

@@ -81,6 +81,11 @@ def record_files(spark, sf_dir):
     return folder
 
 
+@built_once
+def bronze_records(spark, sf_dir):
+    return spark.read.schema(schema.RECORD).parquet(record_files(spark, sf_dir))
+
+
 @built_once
 def product_stats(spark, sf_dir):
     return scratch.materialize(statistics.product_statistics(silver(spark, sf_dir)), "product_statistics")

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot keys in joins (one product, user or popularity level with a third of the rows) are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Running totals per product live on local disk with a copy in the checkpoint folder, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

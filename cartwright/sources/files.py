@@ -67,7 +67,7 @@ def bronze(spark, path):
 
 
 def image_files(spark, folder, pattern="*"):
-    """Files of one folder per category: folder name, file name and base64 content."""
+    """Files of one folder per category: folder name, file name and base64 content. Spark passes over empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     parts = F.split("path", "/")
     return files.load(folder).select(

@@ -1,0 +1,79 @@
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cartwright import schema
+from cartwright.operators import ranking
+
+STATS = (
+    "product_id STRING, category_id STRING, category_code STRING, brand STRING, avg_price DOUBLE, view_count BIGINT, "
+    "cart_count BIGINT, purchase_count BIGINT, popularity_score BIGINT"
+)
+
+
+def stats(spark, counts):
+    rows = [(str(i), "c", "c", "b", 1.0, v, c, p, v + 3 * c + 10 * p) for i, (v, c, p) in enumerate(counts)]
+    return spark.createDataFrame(rows, STATS)
+
+
+def percentiles(spark, scores):
+    table = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "id INT, popularity_score BIGINT")
+    found = ranking.with_percent_rank(table)
+    order = Window.orderBy("popularity_score")
+    plain = table.withColumn("popularity_percentile", F.percent_rank().over(order))
+    return sorted(map(tuple, found.collect())), sorted(map(tuple, plain.collect()))
+
+
+def test_percent_rank_equals_the_window_function(spark):
+    dice = random.Random(1)
+    for scores in (
+        [5], [5, 5, 5], [0, 1], [dice.randrange(20) for _ in range(300)],
+        [dice.randrange(1 << 40) for _ in range(300)], [1] * 200 + [dice.randrange(1 << 22) for _ in range(200)],
+        [65535, 65536, 65537, 131071, 131072, 0],
+    ):
+        found, plain = percentiles(spark, scores)
+        assert found == plain
+
+
+def test_percent_rank_never_sorts_products_in_one_task(spark):
+    table = stats(spark, [(i, 0, 0) for i in range(50)])
+    plan = ranking.with_percent_rank(table)._jdf.queryExecution().executedPlan().toString()
+    single = plan.split("SinglePartition")[1]
+    assert plan.count("SinglePartition") == 1 and "stripe" in single.split("LocalTableScan")[0]
+
+
+def test_rankings_match_the_single_lists(spark):
+    dice = random.Random(2)
+    table = stats(spark, [(dice.randrange(30), dice.randrange(9), dice.randrange(4)) for _ in range(400)])
+    together = ranking.product_rankings(table).drop("created_timestamp")
+    apart = None
+    for name in schema.RANKINGS:
+        one = ranking.top_products(table, name)
+        apart = one if apart is None else apart.unionByName(one)
+    assert together.columns == apart.columns
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, apart.collect()))
+    assert together.count() == 400
+
+
+def test_rankings_of_few_products(spark):
+    table = stats(spark, [(1, 1, 1)])
+    assert ranking.product_rankings(table).count() == 4
+
+
+def test_ties_go_to_the_smaller_product_id_in_any_layout(spark):
+    table = stats(spark, [(7, 0, 0)] * 300)
+    wanted = sorted((str(i) for i in range(300)))[:100]
+    for parts in (1, 5, 16):
+        rows = ranking.top_products(table.repartition(parts), "most_viewed").collect()
+        assert [row.product_id for row in rows] == wanted
+        lists = ranking.product_rankings(table.repartition(parts)).filter("rank_type = 'most_viewed'").collect()
+        assert sorted(row.product_id for row in lists) == wanted
+
+
+def test_plans(spark):
+    table = stats(spark, [(7, 0, 0)] * 3)
+    one = ranking.top_products(table, "most_viewed")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in one
+    all_lists = ranking.product_rankings(table)._jdf.queryExecution().executedPlan().toString()
+    assert all_lists.count("WindowGroupLimit") == 2  # before and after the only shuffle
