@@ -52,7 +52,12 @@ def kmeans(clusters=schema.CLUSTER_COUNT, seed=42):
 
 
 def fit_clusters(features, clusters=schema.CLUSTER_COUNT, seed=42):
-    """(model, products with their cluster). The fit passes over `features` many times: hand in a written table."""
+    """(model, products with their cluster). The fit passes over `features` many times: hand in a written table.
+
+    k-means needs as many different points as clusters; with fewer, each becomes a cluster of its own.
+    """
+    points = features.select("avg_price", "popularity_score", "engagement_rate", "brand", "category_code").distinct()
+    clusters = max(2, min(clusters, points.limit(clusters).count()))
     model = Pipeline(stages=[*indexers(), assembler(), scaler(), kmeans(clusters, seed)]).fit(features)
     return model, model.transform(features)
 
