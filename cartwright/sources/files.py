@@ -11,11 +11,10 @@ NO_FILES = {"UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"}
 
 
 def event_csv(spark, path):
-    """Raw events from CSV with a header. Ids stay text; every spelling of "no value" becomes null."""
-    names = [field.name for field in T.StructType.fromDDL(schema.RAW_EVENT)]
-    raw = spark.read.schema(schema.RAW_EVENT).option("header", True).option("enforceSchema", False).csv(path)
-    text = [name for name in names if name != "price"]
-    return ingest.null_text(raw, text)
+    """Raw events from CSV, columns found by their header. Ids stay text; every spelling of "no value" becomes null."""
+    shape = T.StructType.fromDDL(schema.RAW_EVENT)
+    present = ingest.null_text(spark.read.option("header", True).csv(path), shape.names)
+    return present.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in shape])
 
 
 def parquet_table(spark, path):

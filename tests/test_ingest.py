@@ -98,13 +98,15 @@ def test_clean_report_counts_both_sides(spark):
 
 def test_csv_reads_ids_as_text_and_spelled_out_gaps_as_null(spark, tmp_path):
     path = tmp_path / "events.csv"
-    header = ",".join(BASE)
     path.write_text(
-        header + "\n2019-11-01 00:00:00 UTC,view,007,22,NaN,N/A,,5,s\n2019-11-01 00:00:00 UTC,view,8,22,a.b,  x ,NaN,,null\n"
+        "extra,event_time,event_type,product_id,category_id,category_code,price,brand,user_id,user_session\n"
+        "1,2019-11-01 00:00:00 UTC,view,007,22,NaN,,N/A,5,s\n"
+        "2,2019-11-01 00:00:00 UTC,view,8,22,a.b,NaN,  x ,,null\n"
+        "3,2019-11-01 00:00:00 UTC,view,9,22,a.b,12.50,y,1,s\n"
     )
-    first, second = files.event_csv(spark, str(path)).collect()
+    first, second, third = files.event_csv(spark, str(path)).collect()
     assert (first.product_id, first.category_code, first.brand, first.price, first.user_id) == ("007", None, None, None, "5")
-    assert second.brand == "  x " and math.isnan(second.price) and second.user_id is None and second.user_session is None
+    assert (second.brand, second.price, third.price) == ("  x ", None, 12.5) and second.user_id is None and second.user_session is None
 
 
 def test_csv_sink_keeps_blanks(spark, tmp_path):
