@@ -1,11 +1,12 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
-from cartwright.operators import clustering, factorization, indexing, ratings
+from cartwright.operators import clustering, factorization, indexing, ratings, scoring
 from cartwright.plans import registry
 from cartwright.sources import files, sinks
 from conftest import SMALL
@@ -61,6 +62,32 @@ def test_recommendations_carry_original_ids(spark):
         assert scores == sorted(scores, reverse=True)
 
 
+def lists(table):
+    return {row.user: [(pick.item, round(pick.rating, 5)) for pick in row.recommendations] for row in table.collect()}
+
+
+@pytest.mark.parametrize("size", [1, 10, 5000])
+def test_scoring_by_broadcast_equals_blocked_scoring(spark, size):
+    model = registry.als_model(spark, SMALL)
+    sent, blocked = lists(scoring.best_items(model, size)), lists(scoring.best_items(model, size, broadcast_bytes=0))
+    assert sent.keys() == blocked.keys()
+    for user, picks in sent.items():
+        assert len(picks) == len(blocked[user])
+        assert [score for _, score in picks] == pytest.approx([score for _, score in blocked[user]], abs=2e-5)
+
+
+def test_scan_over_items_stops_early_without_changing_the_answer():
+    dice = np.random.default_rng(5)
+    matrix = dice.normal(size=(3 * scoring.ITEM_ROWS, 4)) * dice.pareto(1.0, size=(3 * scoring.ITEM_ROWS, 1))
+    lengths = np.linalg.norm(matrix, axis=1)
+    order = np.argsort(-lengths)
+    users = dice.normal(size=(20, 4))
+    scores, ids = scoring._best_of(users, order, matrix[order], lengths[order], 10)
+    full = users @ matrix.T
+    assert np.allclose(scores, -np.sort(-full, axis=1)[:, :10])
+    assert np.allclose(np.take_along_axis(full, ids, axis=1), scores)
+
+
 def test_held_out_pairs_of_unknown_users_are_not_scored(spark):
     model = registry.als_model(spark, SMALL)
     pairs = spark.createDataFrame([(0, 0, 1.0), (10**6, 0, 1.0)], "user INT, item INT, rating FLOAT")
