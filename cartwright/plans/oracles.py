@@ -225,7 +225,8 @@ SQL = {
       UNION ALL SELECT 'item_factors', count(*) FROM known_items
       UNION ALL SELECT 'cluster_centers', least(20, count(*)) FROM stats""",
     "src_parquet_object": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-    "src_parquet_folder": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "src_parquet_folder": """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+      UNION ALL SELECT NULL, c_custkey, NULL FROM customer""",
     "snk_parquet_object": f"WITH {RAW} SELECT * FROM raw",
     "src_csv_object": "SELECT * FROM part",
     "snk_csv_object": f"WITH {RAW} SELECT event_id, brand, price FROM raw",

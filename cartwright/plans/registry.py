@@ -306,9 +306,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     folder = scratch.scratch_path(spark, "folder")
     orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    sinks.parquet_object(orders.filter("o_orderkey % 2 = 0"), f"{folder}/even/first")
-    sinks.parquet_object(orders.filter("o_orderkey % 2 <> 0"), f"{folder}/odd")
-    return files.parquet_folder(spark, folder)
+    customers = fixtures.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    sinks.parquet_object(orders, f"{folder}/orders/open")
+    sinks.parquet_object(customers, f"{folder}/customers")
+    return files.parquet_folder(spark, folder, merge_schema=True)
 
 
 @query("snk_parquet_object")
