@@ -68,16 +68,24 @@ def local_time(table, *columns):
 
 
 @built_once
-def silver(spark, sf_dir):
+def silver_folder(spark, sf_dir):
     events = fixtures.commerce_events(spark, sf_dir)
+    folder = scratch.scratch_path(spark, "silver")
     # Spread by the whole row: no single product, user or session decides where its rows go.
-    return scratch.materialize(events.repartition(F.xxhash64(*events.columns)), "silver")
+    events.repartition(F.xxhash64(*events.columns)).write.parquet(folder)
+    return folder
+
+
+@built_once
+def silver(spark, sf_dir):
+    return spark.read.schema(fixtures.commerce_events(spark, sf_dir).schema).parquet(silver_folder(spark, sf_dir))
 
 
 @built_once
 def record_files(spark, sf_dir):
     folder = scratch.scratch_path(spark, "records")
-    records.publish_to_files(fixtures.raw_records(spark, sf_dir), folder, partitions=8)
+    # Spread by content into as many files as the session's shuffle makes.
+    records.publish_to_files(fixtures.raw_records(spark, sf_dir).repartition(F.xxhash64("value")), folder)
     return folder
 
 
@@ -347,7 +355,8 @@ def _(spark, sf_dir):
 
 @query("src_paced_replay")
 def _(spark, sf_dir):
-    path = _bronze_by_stream(spark, sf_dir, files_per_trigger=1)
+    pace = records.files_per_trigger(bronze_records(spark, sf_dir), triggers=4)
+    path = _bronze_by_stream(spark, sf_dir, files_per_trigger=pace)
     return local_time(files.bronze(spark, path), "timestamp")
 
 
@@ -891,11 +900,10 @@ def _(spark, sf_dir):
 
 @query("ui_live_top")
 def _(spark, sf_dir):
-    """Lists built by a stream over the silver files, several files per refresh."""
+    """Lists built by a stream over the silver files in a few refreshes."""
     events = silver(spark, sf_dir)
-    folder = scratch.scratch_path(spark, "live-events")
-    events.repartition(4).write.parquet(folder)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    pace = records.files_per_trigger(events, triggers=3)
+    stream = records.file_stream(spark, silver_folder(spark, sf_dir), events.schema, pace)
     path, checkpoint = scratch.scratch_path(spark, "live"), scratch.scratch_path(spark, "checkpoint")
     _finish(live.write_live_rankings(stream, path, checkpoint))
     return live.current_lists(spark, path)
