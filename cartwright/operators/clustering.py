@@ -17,9 +17,10 @@ FEATURE_COLUMNS = (
 
 def product_features(events):
     """Content features straight from events."""
-    counters = [c for c in statistics.product_counters()]
     grouped = events.groupBy(*schema.PRODUCT_KEYS).agg(
-        metrics.exact_mean("price").alias("avg_price"), *counters, F.count_distinct("user_id").alias("unique_users")
+        metrics.exact_mean("price").alias("avg_price"),
+        *statistics.product_counters(),
+        F.count_distinct("user_id").alias("unique_users"),
     )
     return features_from_statistics(grouped.withColumn("popularity_score", metrics.popularity()))
 

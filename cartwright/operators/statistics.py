@@ -71,40 +71,64 @@ def product_statistics(events, as_of=None, approximate=False):
     return stamped(with_scores(with_rates(grouped)), as_of)
 
 
-def _group_totals(approximate):
+def _group_totals():
     return [
         F.count("*").alias("total_events"),
         metrics.tally("view").alias("total_views"),
         metrics.tally("cart").alias("total_carts"),
         metrics.tally("purchase").alias("total_purchases"),
-        _distinct("user_id", approximate).alias("unique_users"),
     ]
 
 
-def category_statistics(events, as_of=None, approximate=False):
-    grouped = events.groupBy("category_id", "category_code").agg(
-        _distinct("product_id", approximate).alias("product_count"),
-        _distinct("brand", approximate).alias("brand_count"),
-        *_group_totals(approximate),
-        metrics.exact_mean("price").alias("avg_category_price"),
-        *time_bounds("first_activity", "last_activity"),
-    )
-    return stamped(grouped, as_of)
-
-
-def brand_statistics(events, as_of=None, approximate=False):
-    grouped = (
-        events.filter(F.col("brand") != "unknown")
-        .groupBy("brand")
-        .agg(
-            _distinct("product_id", approximate).alias("product_count"),
-            _distinct("category_id", approximate).alias("category_count"),
-            *_group_totals(approximate),
-            metrics.exact_mean("price").alias("avg_brand_price"),
-            *time_bounds("first_activity", "last_activity"),
-        )
-    )
-    return stamped(grouped, as_of)
+def _totals_of_products():
+    """The same totals, and the time bounds, from product statistics."""
+    return [
+        F.sum("total_events").alias("total_events"),
+        F.sum("view_count").alias("total_views"),
+        F.sum("cart_count").alias("total_carts"),
+        F.sum("purchase_count").alias("total_purchases"),
+        F.min("first_seen").alias("first_activity"),
+        F.max("last_seen").alias("last_activity"),
+    ]
+
+
+def _group_statistics(events, stats, keys, counted, mean, as_of, approximate):
+    """Statistics per `keys`; `counted` names the distinct counts besides users.
+
+    With product statistics at hand, everything but users and the mean price comes from them: they hold every
+    combination of product, category and brand once. The events are then grouped by one distinct column only, which
+    needs no copies of each event.
+    """
+    distincts = [_distinct(column, approximate).alias(name) for name, column in counted.items()]
+    users = _distinct("user_id", approximate).alias("unique_users")
+    price = metrics.exact_mean("price").alias(mean)
+    if stats is None:
+        bounds = time_bounds("first_activity", "last_activity")
+        table = events.groupBy(*keys).agg(*distincts, *_group_totals(), users, price, *bounds)
+    else:
+        from_events = events.groupBy(*keys).agg(users, price).alias("e")
+        from_stats = stats.groupBy(*keys).agg(*distincts, *_totals_of_products()).alias("s")
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(f"s.{key}").eqNullSafe(F.col(f"e.{key}"))
+        table = from_stats.join(from_events, same).select("s.*", "unique_users", mean)
+    totals = ("total_events", "total_views", "total_carts", "total_purchases", "unique_users")
+    return stamped(table.select(*keys, *counted, *totals, mean, "first_activity", "last_activity"), as_of)
+
+
+def category_statistics(events, stats=None, as_of=None, approximate=False):
+    """Per category; `stats`, the product statistics of the same events, spares most of the work."""
+    counted = {"product_count": "product_id", "brand_count": "brand"}
+    keys = ["category_id", "category_code"]
+    return _group_statistics(events, stats, keys, counted, "avg_category_price", as_of, approximate)
+
+
+def brand_statistics(events, stats=None, as_of=None, approximate=False):
+    """Per known brand; `stats`, the product statistics of the same events, spares most of the work."""
+    known = F.col("brand") != "unknown"
+    counted = {"product_count": "product_id", "category_count": "category_id"}
+    stats = None if stats is None else stats.filter(known)
+    return _group_statistics(events.filter(known), stats, ["brand"], counted, "avg_brand_price", as_of, approximate)
 
 
 def row_counts(tables):

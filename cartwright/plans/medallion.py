@@ -40,9 +40,9 @@ def build_gold(events, gold, as_of=None):
         rows[name] = sinks.gold_table(table, gold, name, cluster_by)
 
     write("product_statistics", statistics.product_statistics(events, as_of), ["product_id"])
-    write("category_statistics", statistics.category_statistics(events, as_of))
-    write("brand_statistics", statistics.brand_statistics(events, as_of))
     stats = files.parquet_table(spark, f"{gold}/product_statistics")
+    write("category_statistics", statistics.category_statistics(events, stats, as_of))
+    write("brand_statistics", statistics.brand_statistics(events, stats, as_of))
     write("product_rankings", ranking.product_rankings(stats, as_of))
     write("recommendation_features", ranking.recommendation_features(stats, as_of))
     return rows

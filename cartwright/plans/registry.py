@@ -99,14 +99,22 @@ def product_stats(spark, sf_dir):
     return scratch.materialize(statistics.product_statistics(silver(spark, sf_dir)), "product_statistics")
 
 
+def _categories(spark, sf_dir):
+    return statistics.category_statistics(silver(spark, sf_dir), product_stats(spark, sf_dir))
+
+
+def _brands(spark, sf_dir):
+    return statistics.brand_statistics(silver(spark, sf_dir), product_stats(spark, sf_dir))
+
+
 @built_once
 def category_stats(spark, sf_dir):
-    return scratch.materialize(statistics.category_statistics(silver(spark, sf_dir)), "category_statistics")
+    return scratch.materialize(_categories(spark, sf_dir), "category_statistics")
 
 
 @built_once
 def brand_stats(spark, sf_dir):
-    return scratch.materialize(statistics.brand_statistics(silver(spark, sf_dir)), "brand_statistics")
+    return scratch.materialize(_brands(spark, sf_dir), "brand_statistics")
 
 
 @built_once
@@ -549,12 +557,12 @@ def _(spark, sf_dir):
 
 @query("gold_category_statistics")
 def _(spark, sf_dir):
-    return timeless(statistics.category_statistics(silver(spark, sf_dir)))
+    return timeless(_categories(spark, sf_dir))
 
 
 @query("gold_brand_statistics")
 def _(spark, sf_dir):
-    return timeless(statistics.brand_statistics(silver(spark, sf_dir)))
+    return timeless(_brands(spark, sf_dir))
 
 
 @query("reco_ratings")
@@ -655,9 +663,12 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rated = all_ratings(spark, sf_dir)
     users, products = ratings.index_tables(rated)
-    return users.select(F.lit("user").alias("kind"), F.col("user_id").alias("label"), F.col("user_index").alias("index")).unionByName(
-        products.select(F.lit("product").alias("kind"), F.col("product_id").alias("label"), F.col("product_index").alias("index"))
-    )
+
+    def listed(table, kind):
+        label, index = F.col(f"{kind}_id").alias("label"), F.col(f"{kind}_index").alias("index")
+        return table.select(F.lit(kind).alias("kind"), label, index)
+
+    return listed(users, "user").unionByName(listed(products, "product"))
 
 
 @query("ml_split")

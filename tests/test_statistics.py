@@ -113,6 +113,19 @@ def test_features_from_statistics_equal_features_from_events(spark):
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, derived.collect()))
 
 
+@pytest.mark.parametrize("function", [statistics.category_statistics, statistics.brand_statistics])
+def test_group_statistics_from_product_statistics_equal_those_from_events(spark, function):
+    rows = [
+        (str(i % 7), ("x", "y", "unknown")[i % 3], i * 1.25, f"u{i % 5}", f"s{i}", ("view", "cart", "purchase")[i % 3], i % 24)
+        for i in range(120)
+    ]
+    table = events(spark, *rows).withColumn("category_id", F.when(F.col("product_id") > "2", F.col("product_id") % 2))
+    direct = function(table).drop("created_timestamp")
+    derived = function(table, statistics.product_statistics(table)).drop("created_timestamp")
+    assert direct.dtypes == derived.dtypes
+    assert sorted(map(str, direct.collect())) == sorted(map(str, derived.collect()))
+
+
 def test_hot_product_is_spread_before_it_is_counted(spark):
     """The first shuffle of exact distinct counts keys on the counted value too, not on the product alone."""
     table = events(spark, ("1", "x", 1.0, "u", "s", "view", 1))
