@@ -1,6 +1,6 @@
 """One registered query per operator of this subpackage, over its whole table with production parameters."""
 
-from cartwright.llm import byte_bpe, chat_format, exact_dedup, packing, token_counts
+from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts
 from cartwright.llm.encoding import default_path
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -36,9 +36,14 @@ def op8_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), default_path(BPE_JSON))
 
 
+def op9_near_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_chat_format, op2_exact_dedup, op5_byte_bpe, op7_packing, op8_token_counts)
+    for query in (op1_chat_format, op2_exact_dedup, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,4 +80,31 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM hashed JOIN grouped USING (text_sha256)
 """
 
-SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT}
+_NEAR = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''
+    ) AS w FROM documents
+),
+shingled AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM worded
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM shingled),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+    FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 85 * (n + m - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS node, a AS seen FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.seen = e.a),
+least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+    doc_id = coalesce(component, doc_id) AS kept
+FROM shingled LEFT JOIN least ON doc_id = node
+"""
+
+SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op9_near_dedup": _NEAR}
