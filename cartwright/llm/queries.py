@@ -1,6 +1,6 @@
 """One registered query per operator of this subpackage, over its whole table with production parameters."""
 
-from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts
+from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts, url_filter
 from cartwright.llm.encoding import default_path
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -41,9 +41,13 @@ def op9_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(docs, words=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_chat_format, op2_exact_dedup, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup)
+    for query in (op1_chat_format, op2_exact_dedup, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup, op10_url_filter)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,4 +111,68 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component, doc_id)
 FROM shingled LEFT JOIN least ON doc_id = node
 """
 
-SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op9_near_dedup": _NEAR}
+_URLS = f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+located AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{_UPPER}', '{_LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+),
+ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM located
+),
+said AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled),
+paths AS (
+    SELECT host, path, regexp_replace(path, '[0-9]+', '<n>', 'g') AS shape, count(*) AS pages, count(said) AS labelled,
+        count(*) FILTER (said = 'block') AS blocked
+    FROM said GROUP BY host, path
+),
+parted AS (SELECT *, string_split(shape, '/') AS parts FROM paths),
+levels AS (SELECT *, unnest(range(1, len(parts) + 1)) AS depth FROM parted),
+nodes AS (SELECT *, array_to_string(parts[1:depth - 1], '/') AS prefix, parts[depth] AS part FROM levels),
+children AS (
+    SELECT host, depth, prefix, part, sum(pages) AS pages, sum(labelled) AS labelled, sum(blocked) AS blocked
+    FROM nodes GROUP BY host, depth, prefix, part
+),
+parents AS (
+    SELECT host, depth, prefix, count(*) AS kinds, sum(pages) AS all_pages, CAST(sum(labelled) AS DOUBLE) AS l,
+        CAST(sum(blocked) AS DOUBLE) AS b
+    FROM children GROUP BY host, depth, prefix
+),
+tokens AS (
+    SELECT host, depth, prefix, part, CASE
+        WHEN kinds > {url_filter.MANY} AND all_pages < {url_filter.THIN} * kinds THEN '*'
+        WHEN kinds > 1 AND labelled > 0 AND
+            (CAST(blocked AS DOUBLE) * (l + 2) - CAST(labelled AS DOUBLE) * (b + 1))
+            * (CAST(blocked AS DOUBLE) * (l + 2) - CAST(labelled AS DOUBLE) * (b + 1))
+            <= CAST({url_filter.DIFFERENT} AS DOUBLE) * CAST(labelled AS DOUBLE) * (b + 1) * (l + 1 - b) THEN '~'
+        ELSE part END AS token
+    FROM children JOIN parents USING (host, depth, prefix)
+),
+templates AS (
+    SELECT host, path, string_agg(token, '/' ORDER BY depth) AS template
+    FROM nodes JOIN tokens USING (host, depth, prefix, part) GROUP BY host, path
+),
+base AS (SELECT (coalesce(sum(blocked), 0) + 1) * 1000000 // (coalesce(sum(labelled), 0) + 2) AS base FROM paths),
+priors AS (
+    SELECT shape, CAST(floor((sum(blocked) * 1000000 + {url_filter.SHAPE_WEIGHT} * any_value(base))
+        / (sum(labelled) + {url_filter.SHAPE_WEIGHT})) AS BIGINT) AS prior
+    FROM paths, base GROUP BY shape
+),
+judged AS (
+    SELECT host, template, sum(blocked) * 1000000 + {url_filter.WEIGHT} * CAST(floor(sum(pages * prior) / sum(pages)) AS BIGINT)
+        > 500000 * (sum(labelled) + {url_filter.WEIGHT}) AS bad
+    FROM paths JOIN priors USING (shape) JOIN templates USING (host, path) GROUP BY host, template
+)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM said JOIN templates USING (host, path) JOIN judged USING (host, template)
+"""
+
+SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS}
