@@ -1,6 +1,6 @@
 """One registered query per operator of this subpackage, over its whole table with production parameters."""
 
-from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts, url_filter
+from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts, topk_search, url_filter
 from cartwright.llm.encoding import default_path
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op3_topk_search(spark, sf_dir):
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     from public_tokenizers import PATTERN
 
@@ -47,7 +51,10 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_chat_format, op2_exact_dedup, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup, op10_url_filter)
+    for query in (
+        op1_chat_format, op2_exact_dedup, op3_topk_search, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup,
+        op10_url_filter,
+    )
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,6 +91,19 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM hashed JOIN grouped USING (text_sha256)
 """
 
+_TOP = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 _NEAR = f"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, list_filter(
@@ -175,4 +195,4 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN bad THEN 'block' ELSE
 FROM said JOIN templates USING (host, path) JOIN judged USING (host, template)
 """
 
-SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS}
+SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op3_topk_search": _TOP, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS}
