@@ -1,6 +1,17 @@
 """One registered query per operator of this subpackage, over its whole table with production parameters."""
 
-from cartwright.llm import byte_bpe, chat_format, exact_dedup, near_dedup, packing, token_counts, topk_search, url_filter
+from cartwright.llm import (
+    byte_bpe,
+    chat_format,
+    exact_dedup,
+    importance,
+    language,
+    near_dedup,
+    packing,
+    token_counts,
+    topk_search,
+    url_filter,
+)
 from cartwright.llm.encoding import default_path
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -26,12 +37,20 @@ def op3_topk_search(spark, sf_dir):
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_quality(spark, sf_dir):
+    return importance.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     from public_tokenizers import PATTERN
 
     return byte_bpe.digest_documents(table(spark, sf_dir, "documents"), default_path(BPE_RANKS), PATTERN)
 
 
+def op6_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), default_path(BPE_JSON))
 
@@ -52,8 +71,8 @@ def op10_url_filter(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_chat_format, op2_exact_dedup, op3_topk_search, op5_byte_bpe, op7_packing, op8_token_counts, op9_near_dedup,
-        op10_url_filter,
+        op1_chat_format, op2_exact_dedup, op3_topk_search, op4_quality, op5_byte_bpe, op6_language, op7_packing,
+        op8_token_counts, op9_near_dedup, op10_url_filter,
     )
 }
 
