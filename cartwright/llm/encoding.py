@@ -10,6 +10,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from struct import pack
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -19,8 +20,11 @@ from tokenizers import Tokenizer  # noqa: E402
 #: A space before a sign that every Unicode version counts as visible.
 BOUNDARY = re.compile(r" (?=[!-~\w])")
 _OTHER_SPACE = re.compile(r" (?![!-~\w])")
+_BREAK = re.compile(r"(?<=[!-~\w])\n(?=[!-~\w])")
 #: Letters up to here are letters in every Unicode version.
 _LAST_OLD_LETTER = "ɏ"
+#: Signs that end a unit as a match of their own: neither letters, digits nor white space, and no letter follows.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MEMORY = 300_000
 _LONGEST_KEPT = 64
 
@@ -40,6 +44,25 @@ def _byte_letters():
     return table
 
 
+class _Memory(dict):
+    """Ids of units by their text without the leading `lead`. The older half is kept aside and given up in turn."""
+
+    def __init__(self, answer, lead):
+        super().__init__()
+        self.answer, self.lead, self.older = answer, lead, {}
+
+    def __missing__(self, word):
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.answer(self.lead + word)
+        if len(word) <= _LONGEST_KEPT and (len(word) < 2 or "\n" not in word):
+            if len(self) >= MEMORY:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class LibraryEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
@@ -54,33 +77,40 @@ class LibraryEncoder:
             and splitter.get("use_regex", True)
             and not splitter.get("add_prefix_space")
             and not described.get("normalizer")
-            and all(" " not in special for special in self.specials)
+            and all(not re.search(r"\s", special) for special in self.specials)
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in described.get("added_tokens") or [])
         )
         self._model = self.library.model
         self._letters = _byte_letters()
-        self._inner, self._first = {}, {}
+        self._special = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)").search
+        self._inner, self._first = _Memory(self._unit, " "), _Memory(self._unit, "")
 
     def _library_ids(self, text):
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def _word(self, text):
+        """Ids of letters with or without a space before them: one match of the pattern, handed to the model directly."""
+        letters = text.encode().decode("latin-1").translate(self._letters)
+        ids = [token.id for token in self._model.tokenize(letters)]
+        return pack(f"<{len(ids)}I", *ids)
+
     def _unit(self, text):
-        word = text[1:] if text[:1] == " " else text
-        if word.isalpha() and len(word) <= _LONGEST_KEPT and max(word) <= _LAST_OLD_LETTER and not self.specials_in(word):
-            letters = text.encode().decode("latin-1").translate(self._letters)
-            ids = [token.id for token in self._model.tokenize(letters)]
-        else:
-            ids = self._library_ids(text)
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def specials_in(self, text):
-        return any(special in text for special in self.specials)
-
-    def _answers(self, kept, words, lead):
-        if len(kept) > MEMORY:
-            kept.clear()
-        for word in {word for word in words if word not in kept}:
-            kept[word] = self._unit(lead + word)
+        stem = text.rstrip(_SIGNS)
+        word = stem[1:] if stem[:1] == " " else stem
+        if word.isalpha() and len(word) <= _LONGEST_KEPT and max(word) <= _LAST_OLD_LETTER and not self._special(text):
+            if len(stem) == len(text):
+                return self._word(text)
+            known = self._inner if stem[:1] == " " else self._first
+            return known[word] + self._first[text[len(stem) :]]
+        if "\n" in text and not self._special("\n"):
+            # A line break between visible signs is a match of its own.
+            lead, *lines = _BREAK.split(text)
+            if lines:
+                known = self._inner if lead[:1] == " " else self._first
+                head = known[lead[1:] if lead[:1] == " " else lead]
+                return head + b"".join(self._first["\n"] + self._first[line] for line in lines)
+        ids = self._library_ids(text)
+        return pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text):
         """The ids of a text, four bytes each."""
@@ -89,20 +119,7 @@ class LibraryEncoder:
         if not text:
             return b""
         first, *words = BOUNDARY.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
-        try:
-            inner = b"".join(map(self._inner.__getitem__, words))
-        except KeyError:
-            self._answers(self._inner, words, " ")
-            inner = b"".join(map(self._inner.__getitem__, words))
-            for word in words:
-                if len(word) > _LONGEST_KEPT:
-                    self._inner.pop(word, None)
-        if first not in self._first:
-            self._answers(self._first, [first], "")
-        lead = self._first[first]
-        if len(first) > _LONGEST_KEPT:
-            del self._first[first]
-        return lead + inner
+        return self._first[first] + b"".join(map(self._inner.__getitem__, words))
 
     def count(self, text):
         return len(self.ids(text)) // 4
