@@ -10,6 +10,8 @@ import hashlib
 import re
 from functools import lru_cache
 
+import pyarrow as pa
+
 from cartwright.llm import frames
 from cartwright.llm.encoding import BOUNDARY
 
@@ -68,11 +70,10 @@ def encode_documents(docs, path, pattern, long=LONG):
     def run(batches):
         encoding = codec(path, pattern)
         for batch in frames.bounded(batches):
-            yield frames.record(
-                {"doc_id": batch.column(0), "ids": [encode(encoding, text, long) for text in frames.texts(batch.column(1))]}
-            )
+            ids = [encode(encoding, text, long) for text in frames.texts(batch.column(1))]
+            yield frames.record({"doc_id": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32()))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {frames.id_type(docs)}, ids array<int>")
+    return frames.map_arrow(docs.select("doc_id", "text"), run, f"doc_id {frames.id_type(docs)}, ids array<int>")
 
 
 def decode_documents(encoded, path, pattern):
@@ -81,11 +82,10 @@ def decode_documents(encoded, path, pattern):
     def run(batches):
         encoding = codec(path, pattern)
         for batch in frames.bounded(batches):
-            yield frames.record(
-                {"doc_id": batch.column(0), "bytes": [decode(encoding, ids or []) for ids in batch.column(1).to_pylist()]}
-            )
+            decoded = [decode(encoding, ids or []) for ids in batch.column(1).to_pylist()]
+            yield frames.record({"doc_id": batch.column(0), "bytes": pa.array(decoded, pa.binary())})
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {frames.id_type(encoded)}, bytes binary")
+    return frames.map_arrow(encoded.select("doc_id", "ids"), run, f"doc_id {frames.id_type(encoded)}, bytes binary")
 
 
 def digest_documents(docs, path, pattern, long=LONG):
@@ -109,4 +109,4 @@ def digest_documents(docs, path, pattern, long=LONG):
             )
 
     schema = f"doc_id {frames.id_type(docs)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return frames.map_arrow(docs.select("doc_id", "text"), run, schema)

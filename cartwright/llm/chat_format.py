@@ -141,7 +141,7 @@ def format_conversations(conversations, path, speaker="assistant"):
 
     turns = conversations.select(F.col("conv_id").cast("bigint"), "turn", "role", "text").repartition("conv_id")
     turns = turns.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return turns.mapInArrow(run, COLUMNS)
+    return frames.map_arrow(turns, run, COLUMNS)
 
 
 def _batch(held):

@@ -38,7 +38,7 @@ def digests(docs):
             values = [text_digest(raw) for raw in frames.raw_texts(batch.column(1))]
             yield frames.record({"doc_id": batch.column(0), "digest": pa.array(values, pa.binary())})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {frames.id_type(docs)}, digest binary")
+    return frames.map_arrow(docs.select("doc_id", "text"), run, f"doc_id {frames.id_type(docs)}, digest binary")
 
 
 def shrink(counters, size):
@@ -63,7 +63,7 @@ def summaries(table, counters=COUNTERS):
             {"digest": pa.array(list(kept), pa.binary()), "least": pa.array(list(kept.values()), pa.int64())}
         )
 
-    return table.select("digest").mapInArrow(run, "digest binary, least bigint")
+    return frames.map_arrow(table.select("digest"), run, "digest binary, least bigint")
 
 
 def frequent_winners(table):
@@ -123,4 +123,4 @@ def _with_digest(docs, name):
                 [*batch.columns, pa.array(values, pa.binary())], names=[*batch.schema.names, name]
             )
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+    return frames.map_arrow(docs, run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))

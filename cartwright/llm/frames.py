@@ -1,10 +1,41 @@
 """Small helpers shared by the operators: Arrow batches of bounded size, and column names that clash with nothing."""
 
+import os
+import tempfile
+import zipfile
+
 import pyarrow as pa
 
 SLICE_BYTES = 16 << 20
 
 
+_shipped = {}
+
+
+def ship(spark):
+    """Sends this package to the executors' Python workers, once per application, so that they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.TemporaryDirectory(prefix="cartwright-package-")
+    target = os.path.join(os.path.realpath(folder.name), "cartwright-package.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for place, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    source = os.path.join(place, name)
+                    archive.write(source, os.path.relpath(source, os.path.dirname(package)))
+    context.addPyFile(target)
+    _shipped[context.applicationId] = folder
+
+
+def map_arrow(df, function, schema):
+    """mapInArrow with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def fresh(df, base):
     """A column name the table does not use, whatever its own columns are called."""
     taken = {name.lower() for name in df.columns}

@@ -69,7 +69,7 @@ def bucket_counts(marked, good):
         used = np.nonzero(raw_counts)[0]
         yield frames.record({"bucket": pa.array(used, pa.int32()), "raw": raw_counts[used], "target": target[used]})
 
-    counts = marked.select("text", good).mapInArrow(run, "bucket int, raw bigint, target bigint")
+    counts = frames.map_arrow(marked.select("text", good), run, "bucket int, raw bigint, target bigint")
     return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -136,7 +136,7 @@ def weigh(marked, good, models):
             )
 
     schema = f"doc_id {frames.id_type(marked)}, good boolean, log_weight double, key bigint"
-    return marked.select("doc_id", "text", good).mapInArrow(run, schema)
+    return frames.map_arrow(marked.select("doc_id", "text", good), run, schema)
 
 
 def kth_largest(table, column, k):
@@ -198,4 +198,4 @@ def keep_sampled(docs, labels, missed=MISSED):
             kept = pa.array([drawn(models, *triple)[1] >= least for triple in triples], pa.bool_())
             yield batch.select(range(width)).filter(kept)
 
-    return marked.select(*docs.columns, good).mapInArrow(run, docs.schema)
+    return frames.map_arrow(marked.select(*docs.columns, good), run, docs.schema)

@@ -299,7 +299,7 @@ def identify(docs, model=None):
             )
 
     schema = f"doc_id {frames.id_type(docs)}, held_out boolean, lang_pred string, score double"
-    return docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(run, schema)
+    return frames.map_arrow(docs.select("doc_id", held.alias("held_out"), "text"), run, schema)
 
 
 def keep_identified(docs, least=0.5):
@@ -312,4 +312,4 @@ def keep_identified(docs, least=0.5):
             answers = predict_texts(model, values) if model else [(UNKNOWN, 0.0)] * len(values)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in answers], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return frames.map_arrow(docs, run, docs.schema)

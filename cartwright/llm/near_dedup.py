@@ -94,7 +94,7 @@ def signatures(docs, words):
             )
 
     schema = f"doc_id {frames.id_type(docs)}, n_shingles bigint, class binary, lanes binary"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return frames.map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def _lane_matrix(column):
@@ -122,7 +122,7 @@ def _first_nodes(classes):
                     {"node": pa.array(keys.view(np.int64)), "tree": pa.array(np.full(len(keys), tree, np.int32)), "class": batch.column(0)}
                 )
 
-    return classes.select("class", "lanes").mapInArrow(run, "node bigint, tree int, class binary")
+    return frames.map_arrow(classes.select("class", "lanes"), run, "node bigint, tree int, class binary")
 
 
 def _next_nodes(large, level):
@@ -142,7 +142,7 @@ def _next_nodes(large, level):
                     {"node": pa.array(keys.view(np.int64)), "tree": batch.column(1), "class": batch.column(2), "parent_size": batch.column(4)}
                 )
 
-    return large.select("node", "tree", "class", "lanes", "size").mapInArrow(run, "node bigint, tree int, class binary, parent_size bigint")
+    return frames.map_arrow(large.select("node", "tree", "class", "lanes", "size"), run, "node bigint, tree int, class binary, parent_size bigint")
 
 
 class Joined:
@@ -214,7 +214,7 @@ def _leaf_edges(members, least):
         yield from _edge_batches(pairs())
 
     rows = members.select("node", "class", "lanes").repartition("node").sortWithinPartitions("node", "class")
-    return rows.mapInArrow(run, "a binary, b binary")
+    return frames.map_arrow(rows, run, "a binary, b binary")
 
 
 def _coarse_edges(classes, least):
@@ -268,7 +268,7 @@ def _full_sets(docs, wanted, words):
 
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     joined = texts.join(wanted, texts["id"].eqNullSafe(wanted["holder"])).select("text", "class", "cluster", "blocks")
-    return joined.mapInArrow(run, "cluster binary, blocks bigint, class binary, shingles binary, lanes binary")
+    return frames.map_arrow(joined, run, "cluster binary, blocks bigint, class binary, shingles binary, lanes binary")
 
 
 def _exact_edges(sets, percent, least):
@@ -298,7 +298,7 @@ def _exact_edges(sets, percent, least):
     placed = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     key = F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))
     rows = placed.select(key.alias("key"), "class", "shingles", "lanes").repartition("key").sortWithinPartitions("key", "class")
-    return rows.mapInArrow(run, "a binary, b binary")
+    return frames.map_arrow(rows, run, "a binary, b binary")
 
 
 def near_duplicates(docs, words=5, percent=80):
@@ -351,7 +351,7 @@ def remove_near_copies(docs, words=5, percent=80):
     empty = F.lit(set_digest(np.empty(0, np.uint64)))
     keep = near_duplicates(docs, words, percent).filter("kept")
     keep = keep.select(F.col("doc_id").alias("keep_doc"), F.coalesce("class", empty).alias("keep_class")).distinct()
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(digest, BinaryType())]))
+    marked = frames.map_arrow(docs, run, StructType([*docs.schema.fields, StructField(digest, BinaryType())]))
     stay = marked.join(keep, (marked[digest] == keep["keep_class"]) & marked["doc_id"].eqNullSafe(keep["keep_doc"]), "left_semi")
     one = Window.partitionBy(digest, "doc_id").orderBy(digest)
     return stay.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1).select(*docs.columns)

@@ -99,7 +99,7 @@ def document_pieces(docs, path, capacity=CAPACITY, end=END):
             )
 
     schema = f"doc_id {frames.id_type(docs)}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return frames.map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def pack_pieces(pieces, capacity=CAPACITY, block=BLOCK):
@@ -130,7 +130,7 @@ def pack_pieces(pieces, capacity=CAPACITY, block=BLOCK):
     spread = pieces.repartition(F.xxhash64("doc_id", "start")).sortWithinPartitions("doc_id", "start", "ids_crc32", "length")
     extra = "sequence_id bigint, offset bigint"
     described = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in pieces.schema)
-    return spread.mapInArrow(run, f"{described}, {extra}")
+    return frames.map_arrow(spread, run, f"{described}, {extra}")
 
 
 def pack_documents(docs, path, capacity=CAPACITY, end=END):

@@ -100,4 +100,4 @@ def count_tokens(docs, path, limit=512, huge=HUGE, chunk=CHUNK, overlap=OVERLAP)
             )
 
     schema = f"doc_id {column}, n_bytes bigint, n_tokens bigint, over_limit boolean"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return frames.map_arrow(docs.select("doc_id", "text"), run, schema)

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cartwright.llm import frames
 from cartwright.sources.scratch import materialize
 
 SHARD_ROWS = 16_384
@@ -164,6 +165,7 @@ def top_k(vectors, k=20, every=20, scale=64):
     list of its own. Fewer than k other rows give shorter lists; an empty table gives none. Scores beyond the range of a long
     are cut to it.
     """
+    frames.ship(vectors.sparkSession)
     table = materialize(quantised(vectors, scale), "vectors")
     is_query = F.col("vec_id") % every == 0
     total, asked = table.agg(F.count(F.lit(1)), F.count_if(is_query)).first()

@@ -1,0 +1,193 @@
+"""Exact and near duplicates, and components, against brute force."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import edge
+import pytest
+
+from cartwright.llm import components, exact_dedup, near_dedup
+
+UPPER = {ord(a): a.lower() for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def lowered(text):
+    return (text or "").translate(UPPER)
+
+
+def brute_exact(texts):
+    groups = defaultdict(list)
+    for doc_id, text in texts:
+        groups[lowered(text)].append(doc_id)
+    out = []
+    for doc_id, text in texts:
+        ids = groups[lowered(text)]
+        keep = max((i for i in ids if i is not None), default=None)
+        out.append((doc_id, keep, len(ids), doc_id == keep, hashlib.sha256(lowered(text).encode()).hexdigest()))
+    return sorted(out, key=lambda row: [(value is not None, value) for value in row])
+
+
+COLUMNS = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def test_exact_copies(spark):
+    assert edge.rows(exact_dedup.decide(edge.docs(spark)), *COLUMNS) == brute_exact(edge.TEXTS)
+    assert exact_dedup.decide(edge.docs(spark, [])).count() == 0
+
+
+def test_exact_with_a_hot_group(spark):
+    chance = random.Random(1)
+    texts = [(i, "Hot copy" if i % 3 == 0 else f"text {chance.randint(0, 400)}") for i in range(3000)]
+    assert edge.rows(exact_dedup.decide(edge.plain(spark, texts).repartition(5)), *COLUMNS) == brute_exact(texts)
+
+
+def test_frequent_digests_are_all_found(spark):
+    texts = [(i, "hot" if i % 10 == 0 else f"{i}") for i in range(6000)]
+    table = exact_dedup.digests(edge.plain(spark, texts).repartition(7)).cache()
+    winners = exact_dedup.frequent_winners(table).collect()
+    assert (5990, 600) in {(row.keep_id, row.group_size) for row in winners} and len(winners) <= 342
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_misra_gries_keeps_its_bound(seed):
+    chance = random.Random(seed)
+    rows = [int(chance.paretovariate(0.7)) for _ in range(5000)]
+    kept = {}
+    for start in range(0, len(rows), 100):
+        for key, count in Counter(rows[start : start + 100]).items():
+            kept[key] = kept.get(key, 0) + count
+        kept = exact_dedup.shrink(kept, 20)
+    for key, count in Counter(rows).items():
+        assert count - len(rows) / 21 <= kept.get(key, 0) <= count
+
+
+def test_exact_stage_keeps_columns_and_one_of_each(spark):
+    docs = edge.docs(spark)
+    stay = exact_dedup.remove_copies(docs)
+    assert stay.columns == docs.columns
+    wanted = {(row[1], row[4]) for row in brute_exact(edge.TEXTS)}
+    found = [(row.doc_id, hashlib.sha256(lowered(row.text).encode()).hexdigest()) for row in stay.collect()]
+    assert len(found) == len(set(found)) and set(found) == wanted
+    assert exact_dedup.remove_copies(edge.docs(spark, [])).count() == 0
+
+
+def shingles(text, words):
+    parts = lowered(text).encode().split()
+    if not parts:
+        return frozenset()
+    if len(parts) < words:
+        return frozenset([tuple(parts)])
+    return frozenset(tuple(parts[i : i + words]) for i in range(len(parts) - words + 1))
+
+
+def brute_near(texts, words, percent):
+    sets = [shingles(text, words) for _, text in texts]
+    up = list(range(len(texts)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                up[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(texts):
+        if doc_id is not None:
+            least[root(i)] = min(least.get(root(i), doc_id), doc_id)
+    out = []
+    for i, (doc_id, _) in enumerate(texts):
+        component = least.get(root(i)) if sets[i] else doc_id
+        out.append((doc_id, len(sets[i]), component, doc_id == component))
+    return sorted(out, key=lambda row: [(value is not None, value) for value in row])
+
+
+NEAR = ("doc_id", "n_shingles", "component_id", "kept")
+
+
+def variants(count, seed, length=60, edits=2):
+    """Families of texts with a few words changed, chained so that ends need not be alike, among unrelated ones."""
+    chance = random.Random(seed)
+    texts, number = [], 0
+    for family in range(count):
+        words = [f"w{chance.randint(0, 5000)}" for _ in range(length)]
+        for _ in range(chance.choice([1, 1, 2, 3, 6])):
+            texts.append((number, " ".join(words)))
+            number += 1
+            words = list(words)
+            for _ in range(chance.randint(0, edits)):
+                words[chance.randrange(length)] = f"e{chance.randint(0, 5000)}"
+    return texts
+
+
+def test_near_copies_of_awkward_documents(spark):
+    for words, percent in ((3, 85), (5, 80)):
+        found = near_dedup.near_duplicates(edge.docs(spark), words, percent)
+        assert edge.rows(found, *NEAR) == brute_near(edge.TEXTS, words, percent)
+    assert near_dedup.near_duplicates(edge.docs(spark, [])).count() == 0
+
+
+def test_near_copies_equal_all_pairs(spark):
+    texts = variants(120, 5)
+    assert edge.rows(near_dedup.near_duplicates(edge.plain(spark, texts), 3, 85), *NEAR) == brute_near(texts, 3, 85)
+
+
+def test_large_nodes_branch_and_large_clusters_are_cut_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 5)
+    base = variants(40, 9)
+    chance = random.Random(2)
+    shared = " ".join(f"s{i}" for i in range(120))
+    near = []
+    for i in range(40):
+        words = shared.split()
+        words[chance.randrange(len(words))] = f"n{i}"
+        near.append((10_000 + i, " ".join(words)))
+    passages = [(20_000 + i, shared + " " + " ".join(f"p{chance.randint(0, 9999)}" for _ in range(90))) for i in range(30)]
+    texts = base + near + passages
+    assert edge.rows(near_dedup.near_duplicates(edge.plain(spark, texts), 3, 85), *NEAR) == brute_near(texts, 3, 85)
+
+
+def test_near_stage_keeps_one_of_each(spark):
+    docs = edge.docs(spark)
+    stay = near_dedup.remove_near_copies(docs)
+    assert stay.columns == docs.columns
+    wanted = {row[0] for row in brute_near(edge.TEXTS, 5, 80) if row[3] and row[0] is not None}
+    found = [row.doc_id for row in stay.collect()]
+    assert {i for i in found if i is not None} == wanted and found.count(14) == 1
+    assert near_dedup.remove_near_copies(edge.docs(spark, [])).count() == 0
+
+
+def test_minwise_agreement_estimates_similarity():
+    import numpy as np
+
+    chance = np.random.default_rng(4)
+    pool = chance.integers(0, 2**63, 3000).astype(np.uint64)
+    a, b = np.unique(pool[:2000]), np.unique(pool[500:2500])
+    agree = np.mean([(near_dedup.minwise(a ^ np.uint64(k)) == near_dedup.minwise(b ^ np.uint64(k))).mean() for k in range(20)])
+    assert abs(agree - 0.6) < 0.08
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    chance = random.Random(seed)
+    edges = [(i, i + 1) for i in range(0, 30)] + [(chance.randint(40, 140), chance.randint(40, 140)) for _ in range(70)] + [(200, 200)]
+    edges += [(300, i) for i in range(301, 360)]
+    up = {n: n for edge_ in edges for n in edge_}
+
+    def root(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert edge.rows(found, "node", "component") == sorted((n, root(n)) for n in linked)
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
