@@ -171,7 +171,9 @@ def top_k(vectors, k=20, every=20, scale=64):
     total, asked = table.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     shards, blocks = max(1, -(-total // SHARD_ROWS)), max(1, -(-asked // BLOCK_QUERIES))
     table = table.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    queries = table.filter(is_query).withColumn("bound", F.lit(None).cast("bigint"))
+    # New column identities, so that the two sides of a cogroup are told apart.
+    asking = table.select(*[F.col(name).alias(name) for name in table.columns])
+    queries = asking.filter(is_query).withColumn("bound", F.lit(None).cast("bigint"))
     home = queries.groupBy("shard").cogroup(table.groupBy("shard")).applyInArrow(_search_task(k), _FOUND)
     home = materialize(home, "home")
     found = home
