@@ -10,18 +10,47 @@ def tally(event_type):
     return F.count_if(F.col("event_type") == event_type)
 
 
+def whole_units(column="price", decimals=4):
+    """The value as a whole number of 10**-decimals; null where it is not exactly the nearest double of one."""
+    unit = float(10**decimals)
+    whole = F.rint(F.col(column) * unit).try_cast("bigint")
+    return F.when(whole / F.lit(unit) == F.col(column), whole)
+
+
+def mean_parts(column="price"):
+    """What a mean over several groupings is put together from: counts, exact sum, plain sum and bounds."""
+    whole = whole_units(column)
+    return {
+        "price_count": F.count(column),
+        "whole_count": F.count(whole),
+        # DECIMAL(29,0) after the sum: 10**10 values of the BIGINT range, so no data overflows it.
+        "whole_sum": F.sum(whole.cast("decimal(19,0)")),
+        "plain_sum": F.sum(column),
+        "min_price": F.min(column),
+        "max_price": F.max(column),
+    }
+
+
+def mean_of_parts(decimals=4):
+    """The mean from summed parts: exact and independent of their order if all values are whole units, plain otherwise.
+
+    Division rounds twice, which can leave the range of the values by a last digit; the bounds put that right.
+    """
+    exact = F.col("whole_sum").cast("double") / F.lit(float(10**decimals)) / F.col("price_count")
+    mean = F.when(F.col("whole_count") == F.col("price_count"), exact).otherwise(F.col("plain_sum") / F.col("price_count"))
+    bounded = F.greatest(F.col("min_price"), F.least(F.col("max_price"), mean))
+    return F.when(F.col("price_count") > 0, bounded)
+
+
 def exact_mean(column="price", decimals=4):
-    """Mean that does not depend on the order in which partitions are summed.
+    """Mean whose bits do not depend on the order in which partitions are summed, as one aggregate expression.
 
-    Values are summed as whole multiples of 10**-decimals in a BIGINT, so any layout and any retry gives the same
-    bits. A group holding a value that has no such form (infinite or beyond BIGINT), or whose sum overflows, falls back
-    to the ordinary mean over all of its rows.
+    Groups of whole multiples of 10**-decimals are summed exactly; a group that holds any other value gets the plain mean.
     """
-    unit = float(10**decimals)
-    value = F.col(column)
-    whole = F.rint(value * unit).try_cast("bigint")
-    exact = F.when(F.count(whole) == F.count(value), F.try_sum(whole) / F.lit(unit) / F.count(value))
-    return F.coalesce(exact, F.avg(value))
+    whole, value = whole_units(column, decimals), F.col(column)
+    exact = F.sum(whole.cast("decimal(19,0)")).cast("double") / F.lit(float(10**decimals)) / F.count(value)
+    mean = F.when(F.count(whole) == F.count(value), exact).otherwise(F.avg(value))
+    return F.when(F.count(value) > 0, F.greatest(F.min(value), F.least(F.max(value), mean)))
 
 
 def ratio_or_zero(numerator, denominator):

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from cartwright import schema
 from cartwright.functions import display, metrics
+from cartwright.operators.indexing import POSITION_BITS
+from cartwright.sources.scratch import materialize
 
 PAGE_SIZE = 12
 SMALL_PAGE_SIZE = 6  # screens under 768 pixels
@@ -23,17 +25,20 @@ def _text():
 
 
 def price_bounds(text):
-    """`100-500` as (100.0, 500.0) and `1000+` as (1000.0, None)."""
-    if text.endswith("+"):
-        return float(text[:-1]), None
-    low, high = text.split("-")
-    return float(low), float(high) if high else None
+    """`100-500` as (100.0, 500.0); `1000+`, `1000-` and `1000` as (1000.0, None); None where no lower bound is given."""
+    low, dash, high = text.removesuffix("+").partition("-")
+    if not low:
+        return None
+    return float(low), float(high) if dash and high else None
 
 
 def in_price_range(products, text):
     if not text:
         return products
-    low, high = price_bounds(text)
+    bounds = price_bounds(text)
+    if bounds is None:
+        return products.filter(F.lit(False))
+    low, high = bounds
     kept = products.filter(F.col("price") >= low)
     return kept if high is None else kept.filter(F.col("price") <= high)
 
@@ -71,15 +76,28 @@ def page_count(products, size=PAGE_SIZE):
     )
 
 
-def page(products, number=1, size=PAGE_SIZE):
-    """Page `number` of the catalogue in key order, clamped to the pages there are.
+def numbered(products):
+    """The products with their 0-based place in key order; sorted by range and written once, nothing goes through one task.
 
-    Only the page count reaches the driver. Deep pages make Spark carry the skipped rows to one task; walk a large
-    catalogue with `page_after` instead.
+    `place` is the row's number in its sorted partition plus the rows of the partitions before it.
     """
+    part, place = F.shiftright("spot", POSITION_BITS), F.col("spot").bitwiseAND((1 << POSITION_BITS) - 1)
+    ordered = products.orderBy(*_keys(products)).withColumn("spot", F.monotonically_increasing_id())
+    written = materialize(ordered, "catalogue").withColumn("part", part)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    offsets = written.groupBy("part").agg(F.count("*").alias("rows"))
+    offsets = offsets.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    return written.join(F.broadcast(offsets), "part").withColumn("place", F.col("offset") + place).select(*products.columns, "place")
+
+
+def page(products, number=1, size=PAGE_SIZE):
+    """Page `number` of the catalogue in key order, clamped to the pages there are. A walk does better with `page_after`."""
     pages = page_count(products, size).first()["pages"]
     number = min(max(int(number), 1), max(pages, 1))
-    return products.orderBy(*_keys(products)).offset((number - 1) * size).limit(size)
+    first = (number - 1) * size
+    shown = numbered(products).filter(F.col("place").between(first, first + size - 1))
+    return shown.orderBy("place").select(*products.columns)
 
 
 def page_after(products, last=None, size=PAGE_SIZE):

@@ -15,14 +15,9 @@ FEATURE_COLUMNS = (
 )
 
 
-def product_features(events):
-    """Content features straight from events."""
-    grouped = events.groupBy(*schema.PRODUCT_KEYS).agg(
-        metrics.exact_mean("price").alias("avg_price"),
-        *statistics.product_counters(),
-        F.count_distinct("user_id").alias("unique_users"),
-    )
-    return features_from_statistics(grouped.withColumn("popularity_score", metrics.popularity()))
+def product_features(events, base=None):
+    """Content features straight from events, or from their activity."""
+    return features_from_statistics(statistics.product_statistics(events, base=base))
 
 
 def features_from_statistics(stats):
@@ -55,10 +50,12 @@ def kmeans(clusters=schema.CLUSTER_COUNT, seed=42):
 def fit_clusters(features, clusters=schema.CLUSTER_COUNT, seed=42):
     """(model, products with their cluster). The fit passes over `features` many times: hand in a written table.
 
-    k-means needs as many different points as clusters; with fewer, each becomes a cluster of its own.
+    MLlib returns fewer centres where there are fewer points, but fails on a handful of them; so k follows the points when
+    the catalogue has fewer rows than clusters, which a look at that many rows tells.
     """
-    points = features.select("avg_price", "popularity_score", "engagement_rate", "brand", "category_code").distinct()
-    clusters = max(2, min(clusters, points.limit(clusters).count()))
+    first = features.limit(clusters).select("avg_price", "popularity_score", "engagement_rate", "brand", "category_code").collect()
+    if len(first) < clusters:
+        clusters = max(2, len(set(first)))
     model = Pipeline(stages=[*indexers(), assembler(), scaler(), kmeans(clusters, seed)]).fit(features)
     return model, model.transform(features)
 

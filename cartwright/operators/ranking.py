@@ -25,20 +25,33 @@ def top_products(stats, rank_type, size=schema.RANKING_SIZE):
     )
 
 
-def product_rankings(stats, as_of=None, size=schema.RANKING_SIZE):
-    """All ranking lists from one pass over the statistics.
-
-    Each product is offered to every list; the row limit is applied within each input partition before the shuffle, so
-    only `size` rows per list and partition move.
-    """
+def offers(stats):
+    """Each product once per list, with the list's measure."""
     entries = [
         F.struct(F.lit(name).alias("rank_type"), F.col(measure).alias("rank_value"))
         for name, measure in schema.RANKINGS.items()
     ]
-    offers = stats.select(*schema.PRODUCT_KEYS, "avg_price", F.inline(F.array(*entries)))
+    return stats.select(*schema.PRODUCT_KEYS, "avg_price", F.inline(F.array(*entries)))
+
+
+def best_of_each(offered, size=schema.RANKING_SIZE):
+    """The `size` best offers of every list, with their position.
+
+    Each list is cut by its own sort and limit, which keeps `size` rows per partition however long the lists are; the window
+    then runs over what is left.
+    """
+    best = None
+    for name in schema.RANKINGS:
+        own = offered.filter(F.col("rank_type") == name)
+        own = own.orderBy(F.desc("rank_value"), *schema.PRODUCT_KEYS).limit(size)
+        best = own if best is None else best.unionByName(own)
     order = Window.partitionBy("rank_type").orderBy(F.desc("rank_value"), *schema.PRODUCT_KEYS)
-    kept = offers.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= size)
-    return stamped(kept.select(*RANKING_COLUMNS), as_of)
+    return best.withColumn("position", F.row_number().over(order))
+
+
+def product_rankings(stats, as_of=None, size=schema.RANKING_SIZE):
+    """All ranking lists from the (small) statistics, a sort with a limit per list."""
+    return stamped(best_of_each(offers(stats), size).select(*RANKING_COLUMNS), as_of)
 
 
 def with_rows_below(table, measure, groups=(), weight=None):

@@ -6,11 +6,14 @@ from cartwright.functions import metrics
 from cartwright.operators.indexing import label_index
 
 
-def user_product_ratings(events):
-    """Summed event weights per user and product, plus the logarithm of one more than the number of interactions."""
-    grouped = events.groupBy("user_id", "product_id").agg(
-        F.sum(metrics.event_weight()).cast("double").alias("total_rating"),
-        F.count("*").alias("interaction_count"),
+def user_product_ratings(events, base=None):
+    """Summed event weights per user and product, plus the logarithm of one more than the number of interactions.
+
+    `base` is the activity of the events (statistics.activity) where it is at hand.
+    """
+    weight, rows = (F.sum(metrics.event_weight()), F.count("*")) if base is None else (F.sum("weight"), F.sum("total_events"))
+    grouped = (events if base is None else base).groupBy("user_id", "product_id").agg(
+        weight.cast("double").alias("total_rating"), rows.alias("interaction_count")
     )
     return grouped.withColumn("final_rating", F.col("total_rating") + F.log1p("interaction_count"))
 

@@ -2,10 +2,14 @@
 
 import re
 
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwright import schema
 
+#: Escaped characters stay (group 1); (?P<name> and (?P=name) and {,n are spelled differently in Java.
+_JAVA_SPELLING = re.compile(r"(\\.)|\(\?P<(\w+)>|\(\?P=(\w+)\)|\{(?=,\d+\}),", re.DOTALL)
 TIE_KEYS = ("product_id", "category_id", "category_code", "brand")
 
 
@@ -17,14 +21,24 @@ def _none(table):
     return table.filter(F.lit(False))
 
 
-def _is_regex(spark, pattern):
-    """Whether both Python and Spark accept the pattern; checked on a constant, without touching a table."""
+def _spark_pattern(spark, pattern):
+    """The pattern as Spark reads it, or None where Python refuses it.
+
+    Named groups and counts without a lower bound are spelled as Java wants them. What Python accepts and Spark does not is
+    an error that names the pattern; checked on a constant, without touching a table.
+    """
     try:
         re.compile(pattern)
-        spark.sql("SELECT '' RLIKE :pattern", args={"pattern": pattern}).collect()
-    except Exception:
-        return False
-    return True
+    except re.error:
+        return None
+    spelled = _JAVA_SPELLING.sub(lambda m: m[1] or (f"(?<{m[2]}>" if m[2] else f"\\k<{m[3]}>" if m[3] else "{0,"), pattern)
+    try:
+        spark.sql("SELECT '' RLIKE :pattern", args={"pattern": spelled}).collect()
+    except SparkRuntimeException as error:
+        if error.getCondition() != "INVALID_PARAMETER_VALUE.PATTERN":
+            raise
+        raise ValueError(f"Spark does not take the search pattern {pattern!r}") from error
+    return spelled
 
 
 def _matches(column, pattern, literal):
@@ -51,8 +65,8 @@ def search_text(features, query, literal=False):
     """Rows whose category or brand matches the lower-cased query, a regular expression unless `literal`."""
     if not _given(query):
         return features
-    pattern = query.lower()
-    if not literal and not _is_regex(features.sparkSession, pattern):
+    pattern = query.lower() if literal else _spark_pattern(features.sparkSession, query.lower())
+    if pattern is None:
         return _none(features)
     return features.filter(_matches("category_code", pattern, literal) | _matches("brand", pattern, literal))
 
@@ -60,7 +74,8 @@ def search_text(features, query, literal=False):
 def _filter_pattern(features, column, pattern, literal=False):
     if not _given(pattern):
         return features
-    if not literal and not _is_regex(features.sparkSession, pattern):
+    pattern = pattern if literal else _spark_pattern(features.sparkSession, pattern)
+    if pattern is None:
         return _none(features)
     return features.filter(_matches(column, pattern, literal))
 
@@ -126,10 +141,10 @@ def recommendations_table(recommendations):
 
 def _section(table, name, order, key, value, size):
     """The first rows of a table as (section, position, key, value) lines."""
-    ordered = table.orderBy(*order).limit(size)
-    listed = ordered.agg(F.collect_list(F.struct(key.alias("key"), value.alias("value"))).alias("lines"))
-    return listed.select(F.lit(name).alias("section"), F.posexplode("lines").alias("position", "line")).select(
-        "section", (F.col("position") + 1).alias("position"), "line.key", "line.value"
+    # The window runs over the `size` rows kept below it.
+    position = F.row_number().over(Window.orderBy(*order))
+    return table.orderBy(*order).limit(size).select(
+        F.lit(name).alias("section"), position.alias("position"), key.alias("key"), value.alias("value")
     )
 
 

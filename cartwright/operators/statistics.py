@@ -1,8 +1,10 @@
 """Product, category and brand statistics over silver events.
 
-Every grouping is a partial and a final hash aggregate. Exact distinct counts go through Spark's two-phase rewrite,
-which first shuffles on (group, counted value) and only then on the group, so a group holding a third of all events is
-spread over all tasks.
+All of them start from one table, the activity: one row per product, user and session with its counts, price sums and
+bounds. It takes one pass over the events and one shuffle on keys that no single product or user decides; ratings start
+from it too. Exact distinct counts go through Spark's two-phase rewrite, which first shuffles on (group, counted value)
+and only then on the group, so a group holding a third of all events is spread over all tasks; the copies that this
+rewrite makes are of activity rows, not of events.
 """
 
 from pyspark.sql import functions as F
@@ -60,75 +62,84 @@ def stamped(table, as_of=None):
     return table.withColumn("created_timestamp", cleaning.moment(as_of))
 
 
-def product_statistics(events, as_of=None, approximate=False):
-    grouped = events.groupBy(*schema.PRODUCT_KEYS).agg(
-        *product_counters(),
+ACTIVITY_KEYS = (*schema.PRODUCT_KEYS, "user_id", "user_session")
+
+
+def activity(events):
+    """One row per product, user and session. Write it once and hand it to everything that follows."""
+    parts = [part.alias(name) for name, part in metrics.mean_parts().items()]
+    weight = F.sum(metrics.event_weight()).alias("weight")
+    bounds = time_bounds("first_seen", "last_seen")
+    return events.groupBy(*ACTIVITY_KEYS).agg(*product_counters(), weight, *parts, *bounds)
+
+
+def _summed(names=("total_events", "view_count", "cart_count", "purchase_count")):
+    return [F.sum(name).alias(name) for name in names]
+
+
+def _summed_parts():
+    sums = [F.sum(name).alias(name) for name in ("price_count", "whole_count", "whole_sum", "plain_sum")]
+    return [*sums, F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price")]
+
+
+def product_statistics(events, as_of=None, approximate=False, base=None):
+    """`base` is the activity of the events where it is at hand."""
+    base = activity(events) if base is None else base
+    grouped = base.groupBy(*schema.PRODUCT_KEYS).agg(
+        *_summed(),
         _distinct("user_id", approximate).alias("unique_users"),
         _distinct("user_session", approximate).alias("unique_sessions"),
-        *price_stats(),
-        *time_bounds("first_seen", "last_seen"),
+        *_summed_parts(),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
     )
-    return stamped(with_scores(with_rates(grouped)), as_of)
-
-
-def _group_totals():
-    return [
-        F.count("*").alias("total_events"),
-        metrics.tally("view").alias("total_views"),
-        metrics.tally("cart").alias("total_carts"),
-        metrics.tally("purchase").alias("total_purchases"),
-    ]
+    counted = ("total_events", "view_count", "cart_count", "purchase_count", "unique_users", "unique_sessions")
+    priced = grouped.select(
+        *schema.PRODUCT_KEYS, *counted, metrics.mean_of_parts().alias("avg_price"), "min_price", "max_price", "first_seen", "last_seen"
+    )
+    return stamped(with_scores(with_rates(priced)), as_of)
 
 
-def _totals_of_products():
-    """The same totals, and the time bounds, from product statistics."""
-    return [
+def _group_statistics(base, keys, counted, mean, as_of, approximate):
+    """Statistics per `keys` from the activity; `counted` names the distinct counts besides users."""
+    table = base.groupBy(*keys).agg(
+        *[_distinct(column, approximate).alias(name) for name, column in counted.items()],
         F.sum("total_events").alias("total_events"),
         F.sum("view_count").alias("total_views"),
         F.sum("cart_count").alias("total_carts"),
         F.sum("purchase_count").alias("total_purchases"),
+        _distinct("user_id", approximate).alias("unique_users"),
+        *_summed_parts(),
         F.min("first_seen").alias("first_activity"),
         F.max("last_seen").alias("last_activity"),
-    ]
-
-
-def _group_statistics(events, stats, keys, counted, mean, as_of, approximate):
-    """Statistics per `keys`; `counted` names the distinct counts besides users.
-
-    With product statistics at hand, everything but users and the mean price comes from them: they hold every
-    combination of product, category and brand once. The events are then grouped by one distinct column only, which
-    needs no copies of each event.
-    """
-    distincts = [_distinct(column, approximate).alias(name) for name, column in counted.items()]
-    users = _distinct("user_id", approximate).alias("unique_users")
-    price = metrics.exact_mean("price").alias(mean)
-    if stats is None:
-        bounds = time_bounds("first_activity", "last_activity")
-        table = events.groupBy(*keys).agg(*distincts, *_group_totals(), users, price, *bounds)
-    else:
-        from_events = events.groupBy(*keys).agg(users, price).alias("e")
-        from_stats = stats.groupBy(*keys).agg(*distincts, *_totals_of_products()).alias("s")
-        same = F.lit(True)
-        for key in keys:
-            same = same & F.col(f"s.{key}").eqNullSafe(F.col(f"e.{key}"))
-        table = from_stats.join(from_events, same).select("s.*", "unique_users", mean)
+    )
     totals = ("total_events", "total_views", "total_carts", "total_purchases", "unique_users")
-    return stamped(table.select(*keys, *counted, *totals, mean, "first_activity", "last_activity"), as_of)
+    price = metrics.mean_of_parts().alias(mean)
+    return stamped(table.select(*keys, *counted, *totals, price, "first_activity", "last_activity"), as_of)
 
 
-def category_statistics(events, stats=None, as_of=None, approximate=False):
-    """Per category; `stats`, the product statistics of the same events, spares most of the work."""
+def category_statistics(events, as_of=None, approximate=False, base=None):
+    """Per category; `base` is the activity of the events where it is at hand."""
     counted = {"product_count": "product_id", "brand_count": "brand"}
-    keys = ["category_id", "category_code"]
-    return _group_statistics(events, stats, keys, counted, "avg_category_price", as_of, approximate)
+    base = activity(events) if base is None else base
+    return _group_statistics(base, ["category_id", "category_code"], counted, "avg_category_price", as_of, approximate)
 
 
-def brand_statistics(events, stats=None, as_of=None, approximate=False):
-    """Per known brand; `stats`, the product statistics of the same events, spares most of the work."""
-    known = F.col("brand") != "unknown"
+def brand_statistics(events, as_of=None, approximate=False, base=None):
+    """Per known brand; `base` is the activity of the events where it is at hand."""
     counted = {"product_count": "product_id", "category_count": "category_id"}
-    stats = None if stats is None else stats.filter(known)
-    return _group_statistics(events.filter(known), stats, ["brand"], counted, "avg_brand_price", as_of, approximate)
+    base = (activity(events) if base is None else base).filter(F.col("brand") != "unknown")
+    return _group_statistics(base, ["brand"], counted, "avg_brand_price", as_of, approximate)
+
+
+def distinct_counts(events, group, columns):
+    """Distinct values of each column per group, from one distinct table per column: no event is copied."""
+    table = events.select(group).distinct()
+    for column in columns:
+        own = events.select(group, column).distinct().groupBy(group).agg(F.count(column).alias(f"unique_{column}"))
+        own = own.withColumnRenamed(group, "own")
+        table = table.join(own, table[group].eqNullSafe(own["own"])).drop("own")
+    return table
 
 
 def row_counts(tables):

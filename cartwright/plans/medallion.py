@@ -31,48 +31,58 @@ def build_silver(message_stream, base, as_of=None):
     return f"{base}/silver"
 
 
-def build_gold(events, gold, as_of=None):
-    """Writes the five gold tables and returns their numbers of rows. Later tables start from the written statistics."""
+def build_gold(events, gold, as_of=None, base=None):
+    """Writes the five gold tables and returns their numbers of rows. Later tables start from written ones."""
     spark = events.sparkSession
+    base = scratch.materialize(statistics.activity(events), "activity") if base is None else base
     rows = {}
 
     def write(name, table, cluster_by=None):
         rows[name] = sinks.gold_table(table, gold, name, cluster_by)
 
-    write("product_statistics", statistics.product_statistics(events, as_of), ["product_id"])
+    write("product_statistics", statistics.product_statistics(events, as_of, base=base), ["product_id"])
     stats = files.parquet_table(spark, f"{gold}/product_statistics")
-    write("category_statistics", statistics.category_statistics(events, stats, as_of))
-    write("brand_statistics", statistics.brand_statistics(events, stats, as_of))
+    write("category_statistics", statistics.category_statistics(events, as_of, base=base))
+    write("brand_statistics", statistics.brand_statistics(events, as_of, base=base))
     write("product_rankings", ranking.product_rankings(stats, as_of))
     write("recommendation_features", ranking.recommendation_features(stats, as_of))
     return rows
 
 
-def build_recommendations(events, gold, clusters=schema.CLUSTER_COUNT):
-    """Fits and saves both models, writes both recommendation tables, and returns row counts and the held-out error."""
+def build_recommendations(events, gold, clusters=schema.CLUSTER_COUNT, base=None, blocks=None):
+    """Fits and saves both models, writes both recommendation tables, and returns row counts and the held-out error.
+
+    `blocks` is the number of rating blocks of the factor fit, one per core without it; one block must fit in a task.
+    """
     spark = events.sparkSession
-    rated = scratch.materialize(ratings.user_product_ratings(events), "ratings")
+    rated = scratch.materialize(ratings.user_product_ratings(events, base), "ratings")
     users, products = ratings.index_tables(rated)
     indexed = scratch.materialize(ratings.indexed_ratings(rated, users, products), "indexed")
     train, test = ratings.split_ratings(indexed)
-    factors = factorization.fit_factors(train)
-    error = factorization.rmse_value(factorization.score_pairs(factors, test))
+    factors = factorization.fit_factors(train, blocks=blocks)
+    error = factorization.rmse(factorization.score_pairs(factors, test)).first()["rmse"]
     stats = files.parquet_table(spark, f"{gold}/product_statistics")
     cluster_model, clustered = clustering.fit_clusters(clustering.features_from_statistics(stats), clusters)
     plain = scratch.materialize(clustered.select(*schema.PRODUCT_KEYS, "popularity_score", "cluster"), "clustered")
     sinks.models(factors, cluster_model, gold)
-    rows = sinks.recommendation_tables(
-        factorization.user_recommendations(factors, users, products), similarity.similar_products(plain), gold
-    )
+    # Written before the sorted table is, whose range sampling would otherwise score all users twice.
+    picked = scratch.materialize(factorization.user_recommendations(factors, users, products), "recommendations")
+    rows = sinks.recommendation_tables(picked, similarity.similar_products(plain), gold)
     return {**rows, "rmse": error}
 
 
-def run(message_stream, base, as_of=None, since=None, until=None, clusters=schema.CLUSTER_COUNT):
-    """All layers below `base`; `since` and `until` limit gold and recommendations to a range of processing dates."""
+def run(message_stream, base, as_of=None, since=None, until=None, clusters=schema.CLUSTER_COUNT, blocks=None):
+    """All layers below `base`; `since` and `until` limit gold and recommendations to a range of processing dates.
+
+    Silver is read once: its activity is written and everything after starts from it. Intermediate tables of the run are
+    removed when it has written its last table.
+    """
     spark = message_stream.sparkSession
-    silver_path = build_silver(message_stream, base, as_of)
-    events = files.silver(spark, silver_path, since, until)
-    gold = f"{base}/gold"
-    report = build_gold(events, gold, as_of)
-    report.update(build_recommendations(events, gold, clusters))
+    with scratch.run_folder(spark):
+        silver_path = build_silver(message_stream, base, as_of)
+        events = files.silver(spark, silver_path, since, until)
+        gold = f"{base}/gold"
+        activity = scratch.materialize(statistics.activity(events), "activity")
+        report = build_gold(events, gold, as_of, activity)
+        report.update(build_recommendations(events, gold, clusters, activity, blocks))
     return report

@@ -53,6 +53,19 @@ def mean(column):
     return f"CAST(sum(CAST({column} AS DECIMAL(18,4))) AS DOUBLE) / count({column})"
 
 
+def plain_mean(column):
+    """The engine's own mean, cut to ten-thousandths off centre as the registered queries do."""
+    return f"floor(avg({column}) * 10000 + 0.3585786438) / 10000.0::DOUBLE"
+
+
+def with_plain_means(tables):
+    return tables.replace(mean("price"), plain_mean("price"))
+
+
+def quoted(column="brand"):
+    return f"{column} || '\"\",' || chr(10) || '\"'"
+
+
 def tallies(view, cart, purchase):
     return f"""count(*) AS total_events, count(*) FILTER (WHERE event_type = 'view') AS {view},
          count(*) FILTER (WHERE event_type = 'cart') AS {cart},
@@ -115,10 +128,13 @@ FEATURES = STATS + f""", features AS (
          {PRICE_TIER} AS price_tier, {ENGAGEMENT_TIER} AS engagement_tier
   FROM stats)"""
 
-SIMILAR = STATS + """, pairs AS (
-  SELECT a.product_id, b.product_id AS similar_product_id, a.category_id AS cluster,
-         abs(a.popularity_score - b.popularity_score) AS score_diff
-  FROM stats a JOIN stats b ON a.category_id = b.category_id AND a.product_id <> b.product_id), alike AS (
+SIMILAR = STATS + """, spots AS (
+  SELECT product_id, category_id AS cluster, popularity_score FROM stats
+  UNION ALL SELECT product_id, brand, popularity_score FROM stats WHERE CAST(product_id AS BIGINT) % 5 = 0), pairs AS (
+  SELECT a.product_id, b.product_id AS similar_product_id, a.cluster, abs(a.popularity_score - b.popularity_score) AS score_diff
+  FROM spots a JOIN spots b ON a.cluster = b.cluster AND a.product_id <> b.product_id
+  QUALIFY row_number() OVER (PARTITION BY a.product_id, b.product_id
+    ORDER BY abs(a.popularity_score - b.popularity_score), a.cluster) = 1), alike AS (
   SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + score_diff / 1000.0::DOUBLE) AS similarity_score,
          CAST(row_number() OVER (PARTITION BY product_id ORDER BY score_diff, similar_product_id) AS INTEGER) AS rank
   FROM pairs QUALIFY rank <= 10)"""
@@ -205,18 +221,19 @@ def _dashboard():
 
 SQL = {
     # sources and sinks
-    "src_csv_events": f"WITH {RAW} SELECT * EXCLUDE (event_id) FROM raw",
+    "src_csv_events": f"WITH {RAW} SELECT * EXCLUDE (event_id) REPLACE ({quoted()} AS brand) FROM raw",
     "src_kafka_raw": RECORD_ROWS,
     "src_kafka_events": PARSED,
     "prj_kafka_cast": RECORD_ROWS,
     "snk_bronze_stream": RECORD_ROWS,
     "snk_silver_stream": SILVER_ROWS,
-    "snk_console": f"WITH {RAW} SELECT count(*) AS input_rows FROM raw",
+    "snk_console": f"""WITH {RAW} SELECT count(*) AS input_rows, least(2, count(*)) AS printed_rows,
+      CAST(12 AS BIGINT) AS columns FROM raw""",
     "src_bronze_batch": RECORD_ROWS,
     "snk_silver_batch": SILVER_ROWS,
     "src_silver": f"""WITH {SILVER} SELECT DATE '2024-01-02' AS processing_date, event_type, count(*) AS events
       FROM silver GROUP BY event_type""",
-    "snk_gold": f"WITH {STATS} SELECT {KEYS}, total_events, count(*) OVER () AS written_rows FROM stats",
+    "snk_gold": f"WITH {STATS} SELECT *, count(*) OVER () AS written_rows FROM stats",
     "snk_reco_tables": f"""WITH {TRAINED}, {SIMILAR[len(SHOP) + 2:]}
       SELECT 'user_recommendations' AS "table", user_id AS id, count(*) AS "rows" FROM known_users, places GROUP BY user_id
       UNION ALL SELECT 'similar_products', product_id, count(*) FROM alike GROUP BY product_id""",
@@ -224,12 +241,14 @@ SQL = {
       SELECT 'user_factors' AS "table", count(*) AS "rows" FROM known_users
       UNION ALL SELECT 'item_factors', count(*) FROM known_items
       UNION ALL SELECT 'cluster_centers', least(20, count(*)) FROM stats""",
-    "src_parquet_object": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-    "src_parquet_folder": """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
-      UNION ALL SELECT NULL, c_custkey, NULL FROM customer""",
+    "src_parquet_object": "SELECT * FROM orders",
+    "src_parquet_folder": """SELECT * FROM orders
+      UNION ALL BY NAME SELECT * EXCLUDE (c_custkey), c_custkey AS o_custkey FROM customer""",
     "snk_parquet_object": f"WITH {RAW} SELECT * FROM raw",
-    "src_csv_object": "SELECT * FROM part",
-    "snk_csv_object": f"WITH {RAW} SELECT event_id, brand, price FROM raw",
+    "src_csv_object": f"SELECT * REPLACE ({quoted('p_name')} AS p_name) FROM part",
+    "snk_csv_object": f"WITH {RAW} SELECT * REPLACE ({quoted()} AS brand) FROM raw",
+    "src_file_listing": f"""WITH {RAW} SELECT event_type, CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes,
+      CAST(0 AS BIGINT) AS nameless FROM raw GROUP BY event_type""",
     "snk_kafka_events": f"""WITH {CLEAN} SELECT product_id AS key,
       CAST(json_object('event_time', event_time, 'event_type', event_type, 'product_id', product_id,
            'category_id', category_id, 'category_code', category_code, 'brand', brand, 'price', price,
@@ -281,20 +300,20 @@ SQL = {
       count(DISTINCT user_session) AS unique_user_session, count(DISTINCT product_id) AS unique_product_id,
       count(DISTINCT brand) AS unique_brand, count(DISTINCT category_code) AS unique_category_code
       FROM shop GROUP BY category_id""",
-    "agg_price_stats": f"WITH {SHOP} SELECT {KEYS}, {PRICES} FROM shop GROUP BY ALL",
+    "agg_price_stats": with_plain_means(f"WITH {SHOP} SELECT {KEYS}, {PRICES} FROM shop GROUP BY ALL"),
     "agg_time_bounds": f"WITH {SHOP} SELECT {KEYS}, {TIMES} FROM shop GROUP BY ALL",
     "agg_conversion_rates": f"WITH {STATS} SELECT {KEYS}, view_to_cart_rate, cart_to_purchase_rate, view_to_purchase_rate FROM stats",
     "agg_popularity": f"WITH {STATS} SELECT {KEYS}, popularity_score FROM stats",
     "agg_engagement_score": f"WITH {STATS} SELECT {KEYS}, engagement_score FROM stats",
     "agg_engagement_rate": f"WITH {STATS} SELECT {KEYS}, unique_users::DOUBLE / total_events AS engagement_rate FROM stats",
-    "gold_product_statistics": f"WITH {STATS} SELECT * FROM stats",
-    "gold_category_statistics": f"WITH {CATEGORIES} SELECT * FROM categories",
-    "gold_brand_statistics": f"WITH {BRANDS} SELECT * FROM brands",
+    "gold_product_statistics": with_plain_means(f"WITH {STATS} SELECT * FROM stats"),
+    "gold_category_statistics": with_plain_means(f"WITH {CATEGORIES} SELECT * FROM categories"),
+    "gold_brand_statistics": with_plain_means(f"WITH {BRANDS} SELECT * FROM brands"),
     "reco_ratings": f"WITH {RATINGS} SELECT * REPLACE (round(final_rating, 9) AS final_rating) FROM rated",
-    "reco_product_features": f"""WITH {STATS} SELECT {KEYS}, avg_price, total_events AS interaction_count, view_count,
+    "reco_product_features": with_plain_means(f"""WITH {STATS} SELECT {KEYS}, avg_price, total_events AS interaction_count, view_count,
       cart_count, purchase_count, unique_users, popularity_score, unique_users::DOUBLE / total_events AS engagement_rate
-      FROM stats""",
-    "reco_cluster_sizes": f"WITH {STATS} SELECT category_id AS cluster, count(*) AS count FROM stats GROUP BY category_id",
+      FROM stats"""),
+    "reco_cluster_sizes": f"WITH {SIMILAR} SELECT cluster, count(*) AS count FROM spots GROUP BY cluster",
     "agg_row_counts": " UNION ALL ".join(f"""SELECT '{name}' AS "table", count(*) AS "rows" FROM {name}""" for name in TABLES),
     # joins, windows, rankings
     "join_same_cluster": f"WITH {SIMILAR} SELECT * EXCLUDE (rank) FROM alike",
@@ -319,11 +338,11 @@ SQL = {
     "ml_als_score": f"""WITH {TRAINED} SELECT "user", item, true AS scored FROM sided
       WHERE side = 'test' AND "user" IN (SELECT "user" FROM known_users) AND item IN (SELECT item FROM known_items)""",
     "ml_rmse": f"""WITH {RATINGS} SELECT round(sqrt(avg(pow(interaction_count - final_rating, 2))), 6) AS rmse FROM rated""",
-    "ml_recommend_all": f"""WITH {TRAINED} SELECT "user", CAST(max(rank) AS INTEGER) AS picks, true AS falling
+    "ml_recommend_all": f"""WITH {TRAINED} SELECT "user", CAST(max(rank) AS INTEGER) AS picks, true AS falling, true AS once
       FROM known_users, places GROUP BY "user" """,
-    "ml_recommend_flat": f"""WITH {TRAINED} SELECT "user", rank FROM known_users, places""",
+    "ml_recommend_flat": f"""WITH {TRAINED} SELECT "user", rank, true AS scored FROM known_users, places""",
     "ml_user_range": f"""WITH {INDEXED} SELECT CAST(user_index AS BIGINT) AS "user" FROM users""",
-    "ml_generate_recommendations": f"WITH {TRAINED} SELECT user_id, rank FROM known_users, places",
+    "ml_generate_recommendations": f"WITH {TRAINED} SELECT user_id, rank, true AS scored FROM known_users, places",
     "ml_index_categorical": f"WITH {VECTORS} SELECT product_id, brand_index, category_index FROM vectors",
     "ml_assemble": f"WITH {VECTORS} SELECT * FROM vectors",
     "ml_scale": f"""WITH {VECTORS} SELECT product_id, {', '.join(_scaled(c) for c in (
@@ -349,10 +368,10 @@ SQL = {
     "q_product_details": f"WITH {STATS} SELECT * FROM stats WHERE product_id = '1' ORDER BY {KEYS} LIMIT 1",
     "q_similar_products": f"""WITH {SIMILAR} SELECT * FROM alike WHERE product_id = '1'
       ORDER BY similarity_score DESC, similar_product_id LIMIT 5""",
-    "q_user_recommendations": f"WITH {TRAINED} SELECT user_id, rank FROM known_users, places WHERE user_id = '1'",
+    "q_user_recommendations": f"WITH {TRAINED} SELECT user_id, rank, true AS scored FROM known_users, places WHERE user_id = '1'",
     "q_category_statistics": f"WITH {CATEGORIES} SELECT * FROM categories",
     "q_brand_statistics": f"WITH {BRANDS} SELECT * FROM brands",
-    "q_recommendations_table": f"WITH {TRAINED} SELECT user_id, rank FROM known_users, places",
+    "q_recommendations_table": f"WITH {TRAINED} SELECT user_id, rank, true AS scored FROM known_users, places",
     "q_dashboard": _dashboard(),
     # catalogue
     "ui_browse_filter": f"""WITH {CATALOGUE} SELECT {CATALOGUE_COLUMNS} FROM catalogue
@@ -375,10 +394,10 @@ SQL = {
     "ui_suggest": f"""WITH {CATALOGUE} SELECT {CATALOGUE_COLUMNS} FROM catalogue
       WHERE contains(lower(category_code || ' ' || brand), 'brand#2')
       ORDER BY popularity_score DESC, product_id, category_code, brand LIMIT 5""",
-    "ui_live_top": f"""WITH {STATS}, offers AS ({' UNION ALL '.join(
+    "ui_live_top": with_plain_means(f"""WITH {STATS}, offers AS ({' UNION ALL '.join(
         f"SELECT {KEYS}, avg_price, '{name}' AS rank_type, {measure} AS rank_value FROM stats"
         for name, measure in RANKS.items())})
       SELECT product_id, category_code, brand, avg_price, rank_type, rank_value,
              CAST(row_number() OVER (PARTITION BY rank_type ORDER BY rank_value DESC, {KEYS}) AS INTEGER) AS position
-      FROM offers QUALIFY position <= 100""",
+      FROM offers QUALIFY position <= 100"""),
 }

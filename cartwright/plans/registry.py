@@ -4,7 +4,9 @@ Tables that several queries start from (silver events, gold tables, fitted model
 and written to the scratch folder, as the daily jobs would write them.
 """
 
+import contextlib
 import functools
+import io
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -27,6 +29,8 @@ GIVEN_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 )
+#: Rows per file of message records, and files a paced replay takes at a time.
+FILE_ROWS, PACE = 5000, 2
 SEARCH_TERM = "brand#1"
 SOME_ID = "1"
 
@@ -71,8 +75,7 @@ def local_time(table, *columns):
 def silver_folder(spark, sf_dir):
     events = fixtures.commerce_events(spark, sf_dir)
     folder = scratch.scratch_path(spark, "silver")
-    # Spread by the whole row: no single product, user or session decides where its rows go.
-    events.repartition(F.xxhash64(*events.columns)).write.parquet(folder)
+    events.write.parquet(folder)
     return folder
 
 
@@ -84,8 +87,7 @@ def silver(spark, sf_dir):
 @built_once
 def record_files(spark, sf_dir):
     folder = scratch.scratch_path(spark, "records")
-    # Spread by content into as many files as the session's shuffle makes.
-    records.publish_to_files(fixtures.raw_records(spark, sf_dir).repartition(F.xxhash64("value")), folder)
+    records.publish_to_files(fixtures.raw_records(spark, sf_dir), folder, rows_per_file=FILE_ROWS)
     return folder
 
 
@@ -94,17 +96,23 @@ def bronze_records(spark, sf_dir):
     return spark.read.schema(schema.RECORD).parquet(record_files(spark, sf_dir))
 
 
+@built_once
+def activity(spark, sf_dir):
+    return scratch.materialize(statistics.activity(silver(spark, sf_dir)), "activity")
+
+
 @built_once
 def product_stats(spark, sf_dir):
-    return scratch.materialize(statistics.product_statistics(silver(spark, sf_dir)), "product_statistics")
+    table = statistics.product_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))
+    return scratch.materialize(table, "product_statistics")
 
 
 def _categories(spark, sf_dir):
-    return statistics.category_statistics(silver(spark, sf_dir), product_stats(spark, sf_dir))
+    return statistics.category_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))
 
 
 def _brands(spark, sf_dir):
-    return statistics.brand_statistics(silver(spark, sf_dir), product_stats(spark, sf_dir))
+    return statistics.brand_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))
 
 
 @built_once
@@ -129,8 +137,10 @@ def features(spark, sf_dir):
 
 @built_once
 def stand_in_clusters(spark, sf_dir):
-    """Products with their category as the cluster, so that SQL can check what follows clustering."""
-    return product_stats(spark, sf_dir).withColumn("cluster", F.col("category_id"))
+    """Products with their category as the cluster, every fifth in its brand's as well, so that SQL can check what follows."""
+    stats = product_stats(spark, sf_dir)
+    second = stats.filter(F.col("product_id").cast("bigint") % 5 == 0).withColumn("cluster", F.col("brand"))
+    return stats.withColumn("cluster", F.col("category_id")).unionByName(second)
 
 
 @built_once
@@ -183,10 +193,21 @@ def shop_catalogue(spark, sf_dir):
 @query("src_csv_events")
 def _(spark, sf_dir):
     path = scratch.scratch_path(spark, "events-csv")
-    sinks.csv_object(fixtures.raw_events(spark, sf_dir).drop("event_id"), path)
+    sinks.csv_object(_quoted(fixtures.raw_events(spark, sf_dir).drop("event_id")), path)
     return files.event_csv(spark, path)
 
 
+def _quoted(table, column="brand"):
+    """Values with quotes, commas and line breaks in the given column."""
+    return table.withColumn(column, F.concat(column, F.lit('"",\n"')))
+
+
+def _rounded(table):
+    """Mean prices cut to ten-thousandths off centre, where no mean of prices in cents lies on the edge."""
+    means = [name for name in table.columns if name in ("avg_price", "avg_category_price", "avg_brand_price")]
+    return table.withColumns({name: F.floor(F.col(name) * 10000 + F.lit(0.3585786438)) / F.lit(10000.0) for name in means})
+
+
 def _finish(stream):
     stream.awaitTermination()
 
@@ -249,11 +270,17 @@ def _(spark, sf_dir):
 
 @query("snk_console")
 def _(spark, sf_dir):
-    events = ingest.parse_events(_record_stream(spark, sf_dir)).select("event_type")
-    stream = stream_ingest.write_console(events, scratch.scratch_path(spark, "checkpoint"), rows=1)
-    _finish(stream)
-    shown = sum(progress.numInputRows for progress in stream.recentProgress)
-    return spark.range(1).select(F.lit(shown).cast("bigint").alias("input_rows"))
+    """What the console shows of all columns, and how many rows went through it."""
+    events = ingest.parse_events(_record_stream(spark, sf_dir))
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        stream = stream_ingest.write_console(events, scratch.scratch_path(spark, "checkpoint"), rows=2)
+        _finish(stream)
+    taken = sum(progress.numInputRows for progress in stream.recentProgress)
+    # A printed table is framed by three rules and has its names in the first line between them.
+    lines = [line for line in shown.getvalue().splitlines() if line.startswith("|")]
+    columns = len(lines[0].strip("|").split("|")) if lines else 0
+    return spark.createDataFrame([(taken, len(lines) - 1, columns)], "input_rows bigint, printed_rows bigint, columns bigint")
 
 
 @query("src_bronze_batch")
@@ -282,7 +309,7 @@ def _(spark, sf_dir):
     folder = scratch.scratch_path(spark, "gold")
     rows = sinks.gold_table(product_stats(spark, sf_dir), folder, "product_statistics", cluster_by=["product_id"])
     table = files.parquet_table(spark, f"{folder}/product_statistics")
-    return table.select(*schema.PRODUCT_KEYS, "total_events", F.lit(rows).cast("bigint").alias("written_rows"))
+    return timeless(table).withColumn("written_rows", F.lit(rows).cast("bigint"))
 
 
 @query("snk_reco_tables")
@@ -315,17 +342,17 @@ def _(spark, sf_dir):
 
 @query("src_parquet_object")
 def _(spark, sf_dir):
-    return files.parquet_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    return local_time(files.parquet_table(spark, f"{sf_dir}/orders.parquet"), "o_orderdate")
 
 
 @query("src_parquet_folder")
 def _(spark, sf_dir):
     folder = scratch.scratch_path(spark, "folder")
-    orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customers = fixtures.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    orders = fixtures.table(spark, sf_dir, "orders")
+    customers = fixtures.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
     sinks.parquet_object(orders, f"{folder}/orders/open")
     sinks.parquet_object(customers, f"{folder}/customers")
-    return files.parquet_folder(spark, folder, merge_schema=True)
+    return local_time(files.parquet_folder(spark, folder, merge_schema=True), "o_orderdate")
 
 
 @query("snk_parquet_object")
@@ -338,21 +365,27 @@ def _(spark, sf_dir):
 @query("src_csv_object")
 def _(spark, sf_dir):
     path = scratch.scratch_path(spark, "csv")
-    sinks.csv_object(fixtures.table(spark, sf_dir, "part"), path)
+    sinks.csv_object(_quoted(fixtures.table(spark, sf_dir, "part"), "p_name"), path)
     return files.csv_table(spark, path, fixtures.table(spark, sf_dir, "part").schema)
 
 
 @query("snk_csv_object")
 def _(spark, sf_dir):
     path = scratch.scratch_path(spark, "csv")
-    events = fixtures.raw_events(spark, sf_dir).select("event_id", "brand", "price")
+    events = _quoted(fixtures.raw_events(spark, sf_dir))
     sinks.csv_object(events, path)
     return files.csv_table(spark, path, events.schema)
 
 
 @query("src_file_listing")
 def _(spark, sf_dir):
-    return files.file_listing(spark, sf_dir, "*.parquet").select("name", "size", "last_modified")
+    """Text files of one folder per event type, listed without being read: the bytes of each folder."""
+    folder = scratch.scratch_path(spark, "listed")
+    lines = fixtures.raw_events(spark, sf_dir).select(fixtures.text("event_id").alias("value"), "event_type")
+    lines.write.partitionBy("event_type").text(folder)
+    listed = files.file_listing(spark, folder, "*.txt")
+    kind = F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("event_type")
+    return listed.groupBy(kind).agg(F.sum("size").alias("bytes"), F.count_if(F.col("name") == "").alias("nameless"))
 
 
 @query("snk_kafka_events")
@@ -363,8 +396,7 @@ def _(spark, sf_dir):
 
 @query("src_paced_replay")
 def _(spark, sf_dir):
-    pace = records.files_per_trigger(bronze_records(spark, sf_dir), triggers=4)
-    path = _bronze_by_stream(spark, sf_dir, files_per_trigger=pace)
+    path = _bronze_by_stream(spark, sf_dir, files_per_trigger=PACE)
     return local_time(files.bronze(spark, path), "timestamp")
 
 
@@ -508,17 +540,13 @@ def _(spark, sf_dir):
 
 @query("agg_distincts")
 def _(spark, sf_dir):
-    return silver(spark, sf_dir).groupBy("category_id").agg(
-        *[
-            F.count_distinct(column).alias(f"unique_{column}")
-            for column in ("user_id", "user_session", "product_id", "brand", "category_code")
-        ]
-    )
+    columns = ("user_id", "user_session", "product_id", "brand", "category_code")
+    return statistics.distinct_counts(silver(spark, sf_dir), "category_id", columns)
 
 
 @query("agg_price_stats")
 def _(spark, sf_dir):
-    return _per_product(spark, sf_dir, *statistics.price_stats())
+    return _rounded(_per_product(spark, sf_dir, *statistics.price_stats()))
 
 
 @query("agg_time_bounds")
@@ -552,17 +580,17 @@ def _(spark, sf_dir):
 
 @query("gold_product_statistics")
 def _(spark, sf_dir):
-    return timeless(statistics.product_statistics(silver(spark, sf_dir)))
+    return _rounded(timeless(statistics.product_statistics(silver(spark, sf_dir))))
 
 
 @query("gold_category_statistics")
 def _(spark, sf_dir):
-    return timeless(_categories(spark, sf_dir))
+    return _rounded(timeless(_categories(spark, sf_dir)))
 
 
 @query("gold_brand_statistics")
 def _(spark, sf_dir):
-    return timeless(_brands(spark, sf_dir))
+    return _rounded(timeless(_brands(spark, sf_dir)))
 
 
 @query("reco_ratings")
@@ -573,7 +601,7 @@ def _(spark, sf_dir):
 
 @query("reco_product_features")
 def _(spark, sf_dir):
-    return clustering.product_features(silver(spark, sf_dir))
+    return _rounded(clustering.product_features(silver(spark, sf_dir)))
 
 
 @query("reco_cluster_sizes")
@@ -703,18 +731,30 @@ def _(spark, sf_dir):
     return factorization.rmse(scored).select(F.round("rmse", 6).alias("rmse"))
 
 
+def _true_scores(spark, sf_dir, flat):
+    """Whether each score is the product of the two factor rows, and whether no user has an item twice."""
+    model = als_model(spark, sf_dir)
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("left"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("right"))
+    products = F.zip_with("left", "right", lambda a, b: a.cast("double") * b.cast("double"))
+    product = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    right = F.abs(product - F.col("score")) <= 1e-5 * F.greatest(F.lit(1.0), F.abs(product))
+    return flat.join(users, "user").join(items, "item").withColumn("scored", right)
+
+
 @query("ml_recommend_all")
 def _(spark, sf_dir):
     lists = factorization.recommend_all(als_model(spark, sf_dir))
     scores = F.col("recommendations.rating")
     falling = scores == F.reverse(F.array_sort(scores))
-    return lists.select("user", F.size("recommendations").alias("picks"), falling.alias("falling"))
+    once = F.size(F.array_distinct("recommendations.item")) == F.size("recommendations")
+    return lists.select("user", F.size("recommendations").alias("picks"), falling.alias("falling"), once.alias("once"))
 
 
 @query("ml_recommend_flat")
 def _(spark, sf_dir):
     flat = factorization.flatten(factorization.recommend_all(als_model(spark, sf_dir)))
-    return flat.select("user", "rank")
+    return _true_scores(spark, sf_dir, flat).select("user", "rank", "scored")
 
 
 @query("ml_user_range")
@@ -722,10 +762,19 @@ def _(spark, sf_dir):
     return indexing.dense_range(spark, indexes(spark, sf_dir)[0].count())
 
 
+def _named_scores(spark, sf_dir, listed):
+    """user_id, rank and whether the score belongs to the user and product named."""
+    users, products = indexes(spark, sf_dir)
+    numbered = listed.join(users, "user_id").join(products, "product_id").withColumnsRenamed(
+        {"user_index": "user", "product_index": "item"}
+    )
+    return _true_scores(spark, sf_dir, numbered).select("user_id", "rank", "scored")
+
+
 @query("ml_generate_recommendations")
 def _(spark, sf_dir):
     listed = factorization.user_recommendations(als_model(spark, sf_dir), *indexes(spark, sf_dir))
-    return listed.select("user_id", "rank")
+    return _named_scores(spark, sf_dir, listed)
 
 
 def _features_table(spark, sf_dir):
@@ -761,20 +810,29 @@ def _(spark, sf_dir):
     return _pipeline_until(spark, sf_dir, stages).select("product_id", *_vector_columns("scaled_features", 6))
 
 
-def _assigned(clustered):
-    return clustered.select("product_id", F.col("cluster").between(0, schema.CLUSTER_COUNT - 1).alias("assigned"))
+def _assigned(model, clustered):
+    """Whether each product's cluster is the one whose centre lies nearest to its scaled features."""
+    centres = [[float(x) for x in centre] for centre in model.stages[-1].clusterCenters()]
+
+    def gap(centre):
+        parts = F.zip_with(vector_to_array("scaled_features"), F.array(*map(F.lit, centre)), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+
+    gaps = F.array(*[gap(centre) for centre in centres])
+    own = F.element_at(gaps, F.col("cluster") + 1)
+    nearest = own <= F.array_min(gaps) * (1 + 1e-9) + 1e-9
+    return clustered.select("product_id", nearest.alias("assigned"))
 
 
 @query("ml_kmeans")
 def _(spark, sf_dir):
     model, _ = product_clusters(spark, sf_dir)
-    return _assigned(model.transform(_features_table(spark, sf_dir)))
+    return _assigned(model, model.transform(_features_table(spark, sf_dir)))
 
 
 @query("ml_cluster_products")
 def _(spark, sf_dir):
-    _, clustered = clustering.fit_clusters(_features_table(spark, sf_dir))
-    return _assigned(clustered)
+    return _assigned(*clustering.fit_clusters(_features_table(spark, sf_dir)))
 
 
 # ---- serving -------------------------------------------------------------------------------------------------------
@@ -801,7 +859,7 @@ def _(spark, sf_dir):
 
 @query("q_filter_category")
 def _(spark, sf_dir):
-    return _found(serving.filter_category(features(spark, sf_dir), "^s.*d$"))
+    return _found(serving.filter_category(features(spark, sf_dir), "^s(?P<rest>.*)d$"))
 
 
 @query("q_filter_brand")
@@ -842,7 +900,7 @@ def _(spark, sf_dir):
 
 @query("q_user_recommendations")
 def _(spark, sf_dir):
-    return serving.recommendations_for(recommendations(spark, sf_dir), SOME_ID).select("user_id", "rank")
+    return _named_scores(spark, sf_dir, serving.recommendations_for(recommendations(spark, sf_dir), SOME_ID))
 
 
 @query("q_category_statistics")
@@ -857,7 +915,7 @@ def _(spark, sf_dir):
 
 @query("q_recommendations_table")
 def _(spark, sf_dir):
-    return serving.recommendations_table(recommendations(spark, sf_dir)).select("user_id", "rank")
+    return _named_scores(spark, sf_dir, serving.recommendations_table(recommendations(spark, sf_dir)))
 
 
 @query("q_dashboard")
@@ -911,10 +969,8 @@ def _(spark, sf_dir):
 
 @query("ui_live_top")
 def _(spark, sf_dir):
-    """Lists built by a stream over the silver files in a few refreshes."""
-    events = silver(spark, sf_dir)
-    pace = records.files_per_trigger(events, triggers=3)
-    stream = records.file_stream(spark, silver_folder(spark, sf_dir), events.schema, pace)
+    """Lists built by a stream over the silver files, some files per refresh."""
+    stream = records.file_stream(spark, silver_folder(spark, sf_dir), silver(spark, sf_dir).schema, PACE)
     path, checkpoint = scratch.scratch_path(spark, "live"), scratch.scratch_path(spark, "checkpoint")
     _finish(live.write_live_rankings(stream, path, checkpoint))
-    return live.current_lists(spark, path)
+    return _rounded(live.current_lists(spark, path))

@@ -10,10 +10,31 @@ from cartwright.operators import ingest
 NO_FILES = {"UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"}
 
 
-def event_csv(spark, path):
+def _csv_rows(spark, path, columns, multi_line):
+    """CSV rows under given columns. A row with more fields than columns ends the query instead of losing its tail.
+
+    Quotes inside quoted fields are doubled. `multi_line` allows line breaks in them; without it large files can be split.
+    """
+    extra = "_more"
+    while extra in columns.names:
+        extra = "_" + extra
+    shape = T.StructType([*columns.fields, T.StructField(extra, T.StringType())])
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # The header has one name less than the shape; only the names given here count.
+    rows = reader.option("enforceSchema", True).schema(shape).csv(path)
+    fits = F.when(F.col(extra).isNotNull(), F.raise_error(F.lit(f"a row of {path} has more than {len(columns)} fields")))
+    return rows.filter(F.coalesce(fits.cast("boolean"), F.lit(True))).drop(extra)
+
+
+def _csv_header(spark, path, **options):
+    return spark.read.options(header=True, escape='"', **options).csv(path)
+
+
+def event_csv(spark, path, multi_line=True):
     """Raw events from CSV, columns found by their header. Ids stay text; every spelling of "no value" becomes null."""
     shape = T.StructType.fromDDL(schema.RAW_EVENT)
-    present = ingest.null_text(spark.read.option("header", True).csv(path), shape.names)
+    rows = _csv_rows(spark, path, _csv_header(spark, path, multiLine=multi_line).schema, multi_line)
+    present = ingest.null_text(rows, shape.names)
     return present.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in shape])
 
 
@@ -35,11 +56,11 @@ def parquet_folder(spark, folder, columns=None, merge_schema=False):
         return spark.createDataFrame([], columns if columns is not None else T.StructType([]))
 
 
-def csv_table(spark, path, columns=None):
+def csv_table(spark, path, columns=None, multi_line=True):
     """A CSV object with a header. Give `columns` for large files: without them Spark reads the file once more."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(columns) if columns is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if columns is None:
+        columns = _csv_header(spark, path, multiLine=multi_line, inferSchema=True).schema
+    return _csv_rows(spark, path, columns, multi_line)
 
 
 def file_listing(spark, folder, pattern="*"):
@@ -66,13 +87,13 @@ def bronze(spark, path):
 
 
 def image_files(spark, folder, pattern="*"):
-    """Files of one folder per category: folder name, file name and base64 content. Spark passes over empty files."""
+    """Files of one folder per category: folder name, file name and content. Spark passes over empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     parts = F.split("path", "/")
     return files.load(folder).select(
         F.element_at(parts, -2).alias("folder"),
         F.element_at(parts, -1).alias("image_name"),
-        F.base64("content").alias("image_data"),
+        "content",
     )
 
 
@@ -80,7 +101,9 @@ def image_messages(images, categories):
     """One JSON message per image of a known category, under the category's own name."""
     named = images.join(ingest.category_folders(categories), "folder")
     return named.select(
-        F.to_json(F.struct(F.col("category_code").alias("category"), "image_name", "image_data")).alias("value")
+        F.to_json(
+            F.struct(F.col("category_code").alias("category"), "image_name", F.base64("content").alias("image_data"))
+        ).alias("value")
     )
 
 

@@ -36,18 +36,17 @@ def event_records(events, as_of=None):
     )
 
 
-def files_per_trigger(folder_table, triggers):
-    """How many files a trigger may take so that a replay of the folder takes about the given number of triggers."""
-    return max(1, -(-len(folder_table.inputFiles()) // triggers))
-
-
 def publish_to_kafka(records, servers, topic):
     """Sends a batch of key-value records to a topic. Needs the Kafka connector on the class path."""
     records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def publish_to_files(records, folder, partitions=None):
-    """Appends records to a folder that `file_stream` can replay; one file per input partition unless a number is given."""
+def publish_to_files(records, folder, partitions=None, rows_per_file=None):
+    """Appends records to a folder that `file_stream` can replay.
+
+    One file per input partition unless a number is given; `rows_per_file` cuts files at that many rows. A replay in
+    batches of 1,000 rows takes rows_per_file=1000, files_per_trigger=1 and a trigger interval as its gap.
+    """
     shaped = records.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
@@ -55,7 +54,10 @@ def publish_to_files(records, folder, partitions=None):
     )
     if partitions:
         shaped = shaped.repartition(partitions)
-    shaped.write.mode("append").parquet(folder)
+    writer = shaped.write.mode("append")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(folder)
 
 
 # The two sample events that alternate.

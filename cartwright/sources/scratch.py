@@ -1,9 +1,11 @@
 """Intermediate tables in the shared folder named by `spark.checkpoint.dir`."""
 
+import contextlib
 import tempfile
 import uuid
 
 _local_folder = None
+_run = []
 
 
 def scratch_root(spark):
@@ -26,8 +28,22 @@ def ensure_checkpoint_dir(spark):
         context.setCheckpointDir(scratch_root(spark))
 
 
+@contextlib.contextmanager
+def run_folder(spark):
+    """Gives the intermediate tables written inside a folder of their own, which goes at the end, also after a failure."""
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
+    _run.append(folder)
+    try:
+        yield folder
+    finally:
+        _run.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark, label):
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    folder = _run[-1] if _run else f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df, label="table"):

@@ -11,8 +11,8 @@ def parquet_object(df, path):
 
 
 def csv_object(df, path):
-    """CSV with a header; blanks around a value are part of it."""
-    writer = df.write.mode("overwrite").option("header", True)
+    """CSV with a header; blanks around a value are part of it and quotes inside it are doubled."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -30,7 +30,8 @@ def silver_table(events, path, compact=False):
 def gold_table(df, gold_path, name, cluster_by=None):
     """Overwrites a gold table and returns its number of rows, counted while writing.
 
-    `cluster_by` sorts the files by those columns, so that a look-up by them skips all but a few row groups.
+    `cluster_by` sorts the files by those columns, so that a look-up by them skips all but a few row groups. Its range
+    shuffle samples the table first, so a table that is costly to make should be handed in written.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)

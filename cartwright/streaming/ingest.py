@@ -23,6 +23,11 @@ def write_silver(records, path, checkpoint, every=None, as_of=None):
 
 
 def write_console(events, checkpoint, every=None, rows=20):
-    """Prints the first rows of each micro-batch in full width, for debugging."""
-    writer = events.writeStream.format("console").outputMode("append").option("truncate", False).option("numRows", rows)
+    """Prints the first rows of each micro-batch in full width, for debugging; no more than `rows` leave the executors."""
+
+    def show(batch, batch_id):
+        print(f"Batch: {batch_id}")
+        batch.limit(rows).show(rows, truncate=False)
+
+    writer = events.writeStream.outputMode("append").foreachBatch(show)
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()

@@ -1,8 +1,10 @@
+import csv
 import datetime
 import json
 import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwright import schema
@@ -171,3 +173,26 @@ def test_silver_date_range_prunes_partitions(spark, tmp_path):
     later = files.silver(spark, path, since=datetime.date(2024, 5, 7))
     assert later.count() == 0
     assert "PartitionFilters: [isnotnull(processing_date" in later._jdf.queryExecution().toString()
+
+
+def test_quotes_and_line_breaks_in_csv(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    body = 't1,view,1,c,"a,b","ac""me, ltd",5.5,u,s\nt2,view,2,c,"two\nlines",plain,6.5,u,s\nt3,cart,3,c,,"""",,u,s\n'
+    path.write_text(header + body)
+    with open(path, newline="") as file:
+        wanted = [tuple(value or None for value in row) for row in list(csv.reader(file))[1:]]
+    found = files.event_csv(spark, str(path)).orderBy("event_time").collect()
+    assert [tuple(None if value is None else str(value) for value in row) for row in found] == wanted
+    again = str(tmp_path / "again")
+    sinks.csv_object(files.event_csv(spark, str(path)), again)
+    assert sorted(map(str, files.event_csv(spark, again).collect())) == sorted(map(str, found))
+
+
+def test_rows_with_more_fields_than_the_header_fail(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("product_id,brand\n1,a\n2,b,c\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        files.csv_table(spark, str(path)).collect()
+    path.write_text("product_id,brand\n1,a\n2\n")
+    assert [tuple(row) for row in files.csv_table(spark, str(path)).collect()] == [(1, "a"), (2, None)]

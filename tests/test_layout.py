@@ -16,7 +16,7 @@ OPERATORS = {
     "product": statistics.product_statistics,
     "category": statistics.category_statistics,
     "brand": statistics.brand_statistics,
-    "category from products": lambda events: statistics.category_statistics(events, statistics.product_statistics(events)),
+    "ratings from activity": lambda events: ratings.user_product_ratings(events, statistics.activity(events)),
     "ratings": ratings.user_product_ratings,
     "features": clustering.product_features,
     "rankings": gold(ranking.product_rankings),

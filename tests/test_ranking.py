@@ -76,4 +76,6 @@ def test_plans(spark):
     one = ranking.top_products(table, "most_viewed")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in one
     all_lists = ranking.product_rankings(table)._jdf.queryExecution().executedPlan().toString()
-    assert all_lists.count("WindowGroupLimit") == 2  # before and after the only shuffle
+    assert all_lists.count("TakeOrderedAndProject") == 4  # each list is cut in its input partitions, whatever its size
+    long_lists = ranking.product_rankings(table, size=5000)._jdf.queryExecution().executedPlan().toString()
+    assert long_lists.count("TakeOrderedAndProject") == 4

@@ -41,10 +41,9 @@ def test_split_does_not_depend_on_layout(spark):
     assert sides[0] == sides[1] and 0.75 < len(sides[0]) / 3000 < 0.85
 
 
-def test_rmse_in_both_forms(spark):
+def test_rmse(spark):
     scored = spark.createDataFrame([(1.0, 2.0), (3.0, 1.0)], "rating DOUBLE, prediction DOUBLE")
     assert factorization.rmse(scored).first().rmse == pytest.approx(math.sqrt(2.5))
-    assert factorization.rmse_value(scored) == pytest.approx(math.sqrt(2.5))
 
 
 def test_recommendations_carry_original_ids(spark):
@@ -67,25 +66,27 @@ def lists(table):
 
 
 @pytest.mark.parametrize("size", [1, 10, 5000])
-def test_scoring_by_broadcast_equals_blocked_scoring(spark, size):
+def test_lists_hold_the_best_items_in_order(spark, size):
     model = registry.als_model(spark, SMALL)
-    sent, blocked = lists(scoring.best_items(model, size)), lists(scoring.best_items(model, size, broadcast_bytes=0))
-    assert sent.keys() == blocked.keys()
-    for user, picks in sent.items():
-        assert len(picks) == len(blocked[user])
-        assert [score for _, score in picks] == pytest.approx([score for _, score in blocked[user]], abs=2e-5)
+    users = {row.id: np.array(row.features) for row in model.userFactors.collect()}
+    items = sorted((row.id, row.features) for row in model.itemFactors.collect())
+    matrix = np.array([features for _, features in items])
+    for user, picks in lists(scoring.best_items(model, size)).items():
+        wanted = np.sort(matrix @ users[user])[::-1][:size]
+        assert [score for _, score in picks] == pytest.approx(wanted.tolist(), abs=2e-5)
+        assert len({item for item, _ in picks}) == len(picks) == min(size, len(items))
 
 
-def test_scan_over_items_stops_early_without_changing_the_answer():
-    dice = np.random.default_rng(5)
-    matrix = dice.normal(size=(3 * scoring.ITEM_ROWS, 4)) * dice.pareto(1.0, size=(3 * scoring.ITEM_ROWS, 1))
-    lengths = np.linalg.norm(matrix, axis=1)
-    order = np.argsort(-lengths)
-    users = dice.normal(size=(20, 4))
-    scores, ids = scoring._best_of(users, order, matrix[order], lengths[order], 10)
-    full = users @ matrix.T
-    assert np.allclose(scores, -np.sort(-full, axis=1)[:, :10])
-    assert np.allclose(np.take_along_axis(full, ids, axis=1), scores)
+def test_equal_ratings_go_by_item(spark):
+    class Model:
+        def setBlockSize(self, size):
+            return self
+
+        def recommendForAllUsers(self, size):
+            shape = "user INT, recommendations ARRAY<STRUCT<item: INT, rating: FLOAT>>"
+            return spark.createDataFrame([(1, [(5, 1.0), (9, 2.0), (2, 1.0), (3, 2.0)])], shape)
+
+    assert lists(scoring.best_items(Model(), 4)) == {1: [(3, 2.0), (9, 2.0), (2, 1.0), (5, 1.0)]}
 
 
 def test_held_out_pairs_of_unknown_users_are_not_scored(spark):
@@ -115,6 +116,8 @@ def test_every_product_gets_one_cluster(spark):
 
 
 def test_fewer_products_than_clusters(spark):
-    table = clustering.features_from_statistics(registry.product_stats(spark, SMALL)).limit(3)
-    _, clustered = clustering.fit_clusters(table)
-    assert clustered.count() == 3
+    stats = clustering.features_from_statistics(registry.product_stats(spark, SMALL))
+    for size in (3, 19):
+        table = spark.createDataFrame(stats.limit(size).collect(), stats.schema)
+        _, clustered = clustering.fit_clusters(table)
+        assert clustered.count() == size

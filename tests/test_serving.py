@@ -1,6 +1,9 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+from cartwright.functions import display
 from cartwright.operators import catalog, serving
 
 FEATURES = (
@@ -9,6 +12,10 @@ FEATURES = (
 )
 
 
+def rows(table):
+    return sorted(map(str, table.collect()))
+
+
 @pytest.fixture(scope="module")
 def features(spark):
     return spark.createDataFrame(
@@ -200,3 +207,36 @@ def test_display_text(spark):
 def test_suggestions_need_three_characters(products):
     assert ids(catalog.suggest(products, "ap")) == []
     assert ids(catalog.suggest(products, "APP")) == ["1009", "1015"]
+
+
+def test_python_spellings_of_patterns(features, spark):
+    plain = rows(serving.filter_brand(features, "a"))
+    assert plain and rows(serving.filter_brand(features, "(?P<x>a)")) == plain
+    assert rows(serving.filter_brand(features, "a{,3}")) == rows(serving.filter_brand(features, "a{0,3}"))
+    assert serving.filter_brand(features, "(").count() == 0
+    with pytest.raises(ValueError, match="pattern"):
+        serving.filter_brand(features, "(?P<two_words>a)")
+
+
+def test_prices_without_cents(spark):
+    prices = [1.005, 0.0, -2.5, math.inf, 1e17, float(1 << 52), 4503599627370495.5]
+    table = spark.createDataFrame([(p,) for p in prices], "price DOUBLE")
+    shown = [row[0] for row in table.select(display.price_text()).collect()]
+    assert shown[:3] == ["$1.00", "$0.00", "$-2.50"] and shown[3:6] == ["$Infinity", "$1.0E17", "$4.503599627370496E15"]
+    assert shown[6] == "$4503599627370495.50"
+
+
+def test_open_price_ranges(spark):
+    prices = spark.createDataFrame([(50.0,), (100.0,), (700.0,)], "price DOUBLE")
+    for text in ("100", "100+", "100-"):
+        assert catalog.in_price_range(prices, text).count() == 2
+    assert catalog.in_price_range(prices, "-500").count() == 0 and catalog.in_price_range(prices, "").count() == 3
+
+
+def test_deep_pages_stay_distributed(spark):
+    table = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("product_id"), F.lit("b").alias("brand"))
+    for number in (1, 40, 84, 999):
+        wanted = table.orderBy("product_id").offset((min(number, 84) - 1) * 12).limit(12).collect()
+        shown = catalog.page(table.repartition(7), number)
+        assert [row.product_id for row in shown.collect()] == [row.product_id for row in wanted]
+        assert "TakeOrdered" not in shown._jdf.queryExecution().executedPlan().toString()

@@ -113,22 +113,58 @@ def test_features_from_statistics_equal_features_from_events(spark):
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, derived.collect()))
 
 
-@pytest.mark.parametrize("function", [statistics.category_statistics, statistics.brand_statistics])
-def test_group_statistics_from_product_statistics_equal_those_from_events(spark, function):
+@pytest.mark.parametrize("function", [statistics.product_statistics, statistics.category_statistics, statistics.brand_statistics])
+def test_statistics_from_written_activity_equal_those_from_events(spark, function):
     rows = [
-        (str(i % 7), ("x", "y", "unknown")[i % 3], i * 1.25, f"u{i % 5}", f"s{i}", ("view", "cart", "purchase")[i % 3], i % 24)
+        (str(i % 7), ("x", "y", "unknown")[i % 3], i * 1.25, f"u{i % 5}", f"s{i % 11}", ("view", "cart", "purchase")[i % 3], i % 24)
         for i in range(120)
     ]
     table = events(spark, *rows).withColumn("category_id", F.when(F.col("product_id") > "2", F.col("product_id") % 2))
     direct = function(table).drop("created_timestamp")
-    derived = function(table, statistics.product_statistics(table)).drop("created_timestamp")
+    derived = function(table, base=statistics.activity(table).cache()).drop("created_timestamp")
     assert direct.dtypes == derived.dtypes
     assert sorted(map(str, direct.collect())) == sorted(map(str, derived.collect()))
 
 
-def test_hot_product_is_spread_before_it_is_counted(spark):
-    """The first shuffle of exact distinct counts keys on the counted value too, not on the product alone."""
+def plan_of(table):
+    return table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_events_are_grouped_once_and_not_copied(spark):
+    """The only operator over the events is the activity's aggregate; copies for distinct counts are made of its rows."""
     table = events(spark, ("1", "x", 1.0, "u", "s", "view", 1))
-    plan = statistics.product_statistics(table)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(statistics.product_statistics(table))
+    assert plan.index("Expand") < plan.rindex("Exchange hashpartitioning")
+    last = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line][-1]
+    assert "user_id" in last and "user_session" in last
+    assert "Expand" not in plan_of(statistics.distinct_counts(table, "category_id", ("user_id", "product_id", "brand")))
+
+
+def test_hot_product_is_spread_before_it_is_counted(spark):
+    """The shuffles of exact distinct counts key on the counted value too, not on the product alone."""
+    base = statistics.activity(events(spark, ("1", "x", 1.0, "u", "s", "view", 1))).cache()
+    plan = plan_of(statistics.product_statistics(None, base=base))
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 2 and "user_id" in exchanges[1] and "user_session" in exchanges[1]
+    assert "user_id" in exchanges[1] and "user_session" in exchanges[1]
+
+
+def test_mean_of_small_prices_and_of_large_sums(spark):
+    assert mean_of(spark, [0.00001, 0.00003]) == pytest.approx(0.00002, rel=1e-12)
+    assert mean_of(spark, [1.00004]) == 1.00004
+    assert mean_of(spark, [4e14, 4e14, 4e14, 4e14]) == 4e14
+    for values in ([0.1] * 3, [0.7] * 49, [33.33] * 7, [1e-5] * 9):
+        assert min(values) <= mean_of(spark, values) <= max(values)
+
+
+def test_mean_of_parts_equals_the_mean(spark):
+    rows = [(str(i % 4), "x", (0.00003 if i % 4 == 3 else i * 0.37), f"u{i}", "s", "view", 1) for i in range(80)]
+    table = events(spark, *rows)
+    whole = table.groupBy("product_id").agg(metrics.exact_mean().alias("m")).collect()
+    parts = {row.product_id: row.avg_price for row in statistics.product_statistics(table).collect()}
+    assert {row.product_id: row.m for row in whole} == parts
+
+
+def test_distinct_counts_with_null_groups_and_values(spark):
+    rows = [("a", "x"), ("a", None), ("a", "x"), (None, "y"), (None, "z"), ("b", None)]
+    found = statistics.distinct_counts(spark.createDataFrame(rows, "g STRING, v STRING"), "g", ["v"])
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [("a", 1), (None, 2), ("b", 0)]))

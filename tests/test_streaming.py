@@ -93,17 +93,47 @@ def test_live_lists_follow_the_stream(spark, tmp_path):
 
 
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
-    refresh = live.refresh_lists(str(tmp_path), size=2)
+    refresh = live.refresh_lists(str(tmp_path), lambda: "one", size=2)
     refresh(totals(spark, ("a", 5), ("b", 4)), 0)
     for _ in range(2):
         refresh(totals(spark, ("b", 6)), 1)
         assert viewed(live.current_lists(spark, str(tmp_path))) == [("b", 6), ("a", 5)]
 
 
+def test_lists_follow_a_new_checkpoint_and_old_versions_go(spark, tmp_path):
+    path = str(tmp_path)
+    refresh = live.refresh_lists(path, lambda: "one", size=2)
+    for batch in range(6):
+        refresh(totals(spark, ("a", batch + 1)), batch)
+    assert len(list((tmp_path / "run=one").glob("batch=*"))) == live.KEPT_VERSIONS
+    live.refresh_lists(path, lambda: "two", size=2)(totals(spark, ("z", 1)), 0)
+    assert viewed(live.current_lists(spark, path)) == [("z", 1)]
+
+
+def test_console_shows_a_few_rows_of_each_batch(spark, tmp_path, capsys):
+    spark.range(50).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id BIGINT").parquet(str(tmp_path / "in"))
+    stream_ingest.write_console(stream, str(tmp_path / "checkpoint"), rows=3).awaitTermination()
+    shown = capsys.readouterr().out
+    assert shown.count("Batch: ") == 1 and sum(line.startswith("|") for line in shown.splitlines()) == 4
+
+
+def test_replay_in_batches_of_a_thousand_rows(spark, tmp_path):
+    rows = spark.range(3500).coalesce(1).select(F.lit("k").alias("key"), F.col("id").cast("string").alias("value"))
+    records.publish_to_files(rows, str(tmp_path / "in"), rows_per_file=1000)
+    stream = records.file_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    writer = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint"))
+    query = writer.trigger(processingTime="0.1 seconds").start()
+    query.processAllAvailable()
+    query.stop()
+    taken = sorted(p.numInputRows for p in query.recentProgress if p.numInputRows)
+    assert taken == [500, 1000, 1000, 1000]
+
+
 def test_daily_job(spark, tmp_path):
     csv = str(tmp_path / "events.csv")
     raw = fixtures.raw_events(spark, SMALL).drop("event_id")
-    writer = raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+    writer = raw.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
     writer.option("ignoreTrailingWhiteSpace", False).csv(csv)
     report = medallion.publish(spark, csv, str(tmp_path / "messages"), AS_OF)
     assert report["initial_rows"] == raw.count() > report["final_rows"] > 0
