@@ -3,8 +3,8 @@
 Every word has affix, character n-gram and lexicon features; learned weights give it a score per language, learned transitions
 tie neighbours together, and forward-backward gives the chance of each language at each word, so text that switches language
 is labelled word by word. Training is on a bounded sample: per language about DOCS_PER_LANGUAGE labelled documents chosen by a
-hash of doc_id, SEGMENTS cuts of SEGMENT characters spread over each. Cuts of different documents are joined into training
-sequences, from which the model learns how often text switches. Prediction reads whole texts.
+hash of doc_id, SEGMENTS cuts of SEGMENT characters spread over each. Runs of words of different documents are joined into
+training sequences that switch language, so that words have to speak for themselves. Prediction reads whole texts.
 
 Word features look at the first and last HALF characters of a word.
 """
@@ -22,7 +22,9 @@ SEGMENTS, SEGMENT = 4, 320
 BUCKETS = 1 << 15
 LEXICON_WORDS = 400
 HALF = 12
-EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.4, 1e-5
+#: Runs of a few words, of different documents, make a training sequence.
+RUN, RUNS = 12, 8
+EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.5, 0.02
 _WIDTH = 2 * HALF
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789«»“”„‘’…–—¿¡"
 
@@ -160,22 +162,24 @@ def fit(rows, seed=7):
     if not labels:
         return None
     labelled = [(labels.index(lang), [_core(token) for token in text.split()]) for lang, segments in rows for text in segments]
-    labelled = [(label, words) for label, words in labelled if words]
     model = Model(labels, _lexicon(labelled, labels))
     chance = np.random.default_rng(seed)
     vocabulary = {}
-    coded = [(label, np.array([vocabulary.setdefault(word, len(vocabulary)) for word in words])) for label, words in labelled]
+    coded = []
+    for label, words in labelled:
+        numbers = np.array([vocabulary.setdefault(word, len(vocabulary)) for word in words if word], np.int64)
+        coded += [(label, numbers[start : start + RUN]) for start in range(0, len(numbers), RUN)]
     if not coded:
         return model
     features = model.features(list(vocabulary))
-    squares, move_squares = np.full_like(model.weights, 1e-6), np.full_like(model.transitions, 1e-6)
+    squares, move_squares = np.ones_like(model.weights), np.ones_like(model.transitions)
     for _ in range(EPOCHS):
         order = chance.permutation(len(coded))
         for start in range(0, len(order), BATCH):
             chosen = [coded[i] for i in order[start : start + BATCH]]
             words = np.concatenate([words for _, words in chosen])
             truth = np.concatenate([np.full(len(words), label) for label, words in chosen])
-            lengths = [sum(len(words) for _, words in chosen[i : i + SEGMENTS]) for i in range(0, len(chosen), SEGMENTS)]
+            lengths = [sum(len(words) for _, words in chosen[i : i + RUNS]) for i in range(0, len(chosen), RUNS)]
             used, place = np.unique(words, return_inverse=True)
             scores = np.zeros((len(used), len(labels)))
             for column in features[used].T:
@@ -189,7 +193,7 @@ def fit(rows, seed=7):
             flat, columns = features[used].ravel(), features.shape[1]
             for label in range(len(labels)):
                 slope[:, label] = np.bincount(flat, np.repeat(slopes[:, label], columns), len(slope))
-            slope = slope / len(truth) + DECAY * model.weights
+            slope += DECAY * model.weights
             squares += slope * slope
             model.weights -= RATE * slope / np.sqrt(squares)
             model.weights[BUCKETS] = 0
@@ -199,7 +203,7 @@ def fit(rows, seed=7):
             inside[ends] = False
             seen = np.zeros_like(pairs)
             np.add.at(seen, (truth[:-1][inside[1:]], truth[1:][inside[1:]]), 1)
-            slope = (pairs - seen) / len(truth) + DECAY * model.transitions
+            slope = pairs - seen + DECAY * model.transitions
             move_squares += slope * slope
             model.transitions -= RATE * slope / np.sqrt(move_squares)
     return model
@@ -302,7 +306,7 @@ def identify(docs, model=None):
     return frames.map_arrow(docs.select("doc_id", held.alias("held_out"), "text"), run, schema)
 
 
-def keep_identified(docs, least=0.5):
+def keep_identified(docs, least=0.4):
     """The documents, all columns, whose language is known with a score of at least `least`."""
     model, place = train(docs), docs.columns.index("text")
 

@@ -10,7 +10,7 @@ from cartwright.sources.scratch import materialize
 
 
 def known_language(spark, docs, sf_dir):
-    """Documents without a letter, or whose language the model gives less than half of their words, go."""
+    """Documents without a letter, or of which no language holds two fifths, go."""
     return language.keep_identified(docs)
 
 

@@ -42,7 +42,7 @@ def test_pipeline_is_its_stages_in_order(spark):
     docs = queries.table(spark, SMALL, "documents")
     labels = queries.table(spark, SMALL, "labels")
     columns = docs.columns
-    known = {row.doc_id for row in language.identify(docs).filter("lang_pred <> 'und' and score >= 0.5").select("doc_id").collect()}
+    known = {row.doc_id for row in language.identify(docs).filter("lang_pred <> 'und' and score >= 0.4").select("doc_id").collect()}
     kept = {}
     steps = iter(corpus_pipeline.STAGES)
 
