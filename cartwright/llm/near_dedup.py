@@ -223,22 +223,27 @@ def _coarse_edges(classes, least):
     A child that keeps more than half of a large parent is a group of near copies, which more levels would not take apart; its
     members, as those of large nodes at the last level, become one cluster without being compared.
     """
+    lanes = classes.select("class", "lanes")
     members = materialize(_first_nodes(classes).withColumn("parent_size", F.lit(None).cast("bigint")), "nodes")
     found, level = [], FIRST_LEVELS
     while True:
         sizes = materialize(
-            members.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first")).filter("size > 1"), "sizes"
+            members.groupBy("node").agg(
+                F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), F.max("parent_size").alias("parent")
+            ).filter("size > 1"),
+            "sizes",
         )
-        sized = materialize(members.join(sizes, "node"), "sized")
-        star = F.lit(level >= DEEPEST) | F.coalesce(F.col("size") * 2 > F.col("parent_size"), F.lit(False))
-        small = sized.filter(F.col("size") <= LEAF)
-        found.append(materialize(_leaf_edges(small.join(classes.select("class", "lanes"), "class"), least).distinct(), "leaves"))
-        found.append(sized.filter((F.col("size") > LEAF) & star).select(F.col("first").alias("a"), F.col("class").alias("b")))
-        large = sized.filter((F.col("size") > LEAF) & ~star)
+        star = F.lit(level >= DEEPEST) | F.coalesce(F.col("size") * 2 > F.col("parent"), F.lit(False))
+        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node"), "node")
+        found.append(materialize(_leaf_edges(small.join(lanes, "class"), least), "leaves"))
+        large = sizes.filter(F.col("size") > LEAF)
         if large.isEmpty():
             break
+        near = members.join(large.filter(star).select("node", "first"), "node")
+        found.append(near.select(F.col("first").alias("a"), F.col("class").alias("b")))
+        mixed = members.drop("parent_size").join(large.filter(~star).select("node", "size"), "node").join(lanes, "class")
         level += 1
-        members = materialize(_next_nodes(large.join(classes.select("class", "lanes"), "class"), level), "nodes")
+        members = materialize(_next_nodes(mixed, level), "nodes")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
@@ -267,7 +272,8 @@ def _full_sets(docs, wanted, words):
             )
 
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    joined = texts.join(wanted, texts["id"].eqNullSafe(wanted["holder"])).select("text", "class", "cluster", "blocks")
+    # The texts are shuffled at every size, not only beyond some number of wanted classes.
+    joined = texts.join(wanted.hint("merge"), texts["id"].eqNullSafe(wanted["holder"])).select("text", "class", "cluster", "blocks")
     return frames.map_arrow(joined, run, "cluster binary, blocks bigint, class binary, shingles binary, lanes binary")
 
 
@@ -321,9 +327,7 @@ def near_duplicates(docs, words=5, percent=80):
     sized = clusters.join(classes.select("class", "holder", "n_shingles"), "class")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
     block_counts = materialize(sized.groupBy("component").agg(blocks.alias("blocks")), "blocks")
-    wanted = materialize(
-        sized.join(block_counts, "component").select("class", "holder", F.col("component").alias("cluster"), "blocks"), "wanted"
-    )
+    wanted = sized.join(block_counts, "component").select("class", "holder", F.col("component").alias("cluster"), "blocks")
     links = components(materialize(_exact_edges(_full_sets(docs, wanted, words), percent, least), "links"))
     linked = links.withColumnRenamed("node", "class").join(classes.select("class", "holder"), "class")
     linked = materialize(linked, "linked")
