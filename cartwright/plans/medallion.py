@@ -4,7 +4,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cartwright import schema
-from cartwright.operators import clustering, factorization, ingest, ranking, ratings, similarity, statistics
+from cartwright.operators import clustering, factorization, indexing, ingest, ranking, ratings, similarity, statistics
 from cartwright.sources import files, records, scratch, sinks
 from cartwright.streaming import ingest as stream_ingest
 
@@ -50,7 +50,7 @@ def build_gold(events, gold, as_of=None, base=None):
 
 
 def build_recommendations(events, gold, clusters=schema.CLUSTER_COUNT, base=None, blocks=None):
-    """Fits and saves both models, writes both recommendation tables, and returns row counts and the held-out error.
+    """Fits and saves both models, writes both recommendation tables, and returns row counts, the held-out error and the hit rate.
 
     `blocks` is the number of rating blocks of the factor fit, one per core without it; one block must fit in a task.
     """
@@ -68,7 +68,8 @@ def build_recommendations(events, gold, clusters=schema.CLUSTER_COUNT, base=None
     # Written before the sorted table is, whose range sampling would otherwise score all users twice.
     picked = scratch.materialize(factorization.user_recommendations(factors, users, products), "recommendations")
     rows = sinks.recommendation_tables(picked, similarity.similar_products(plain), gold)
-    return {**rows, "rmse": error}
+    held_out = indexing.replace_ids(test.select("user", "item"), users, products)
+    return {**rows, "rmse": error, "hit_rate": factorization.hit_rate(picked, held_out).first()["hit_rate"]}
 
 
 def run(message_stream, base, as_of=None, since=None, until=None, clusters=schema.CLUSTER_COUNT, blocks=None):

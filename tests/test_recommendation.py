@@ -46,6 +46,14 @@ def test_rmse(spark):
     assert factorization.rmse(scored).first().rmse == pytest.approx(math.sqrt(2.5))
 
 
+def test_hit_rate_counts_users(spark):
+    shape = "user_id STRING, product_id STRING"
+    listed = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), ("d", "9")], shape)
+    held_out = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "7"), ("c", "1"), ("c", "1")], shape)
+    assert factorization.hit_rate(listed, held_out).first().hit_rate == pytest.approx(1 / 3)
+    assert factorization.hit_rate(listed, held_out.limit(0)).first().hit_rate is None
+
+
 def test_recommendations_carry_original_ids(spark):
     model = registry.als_model(spark, SMALL)
     users, products = registry.indexes(spark, SMALL)

@@ -144,6 +144,6 @@ def test_daily_job(spark, tmp_path):
     assert silver.count() == report["final_rows"] == files.bronze(spark, f"{base}/bronze").count()
     for name in ("product_statistics", "category_statistics", "brand_statistics", "product_rankings", "recommendation_features", "user_recommendations", "similar_products"):
         assert files.parquet_table(spark, f"{base}/gold/{name}").count() == found[name] > 0
-    assert found["rmse"] > 0
+    assert found["rmse"] > 0 and 0 <= found["hit_rate"] <= 1
     body = json.loads(files.bronze(spark, f"{base}/bronze").first().value)
     assert body["processed_timestamp"] == "2024-05-06T07:08:09.000000"
