@@ -100,36 +100,50 @@ def product_statistics(events, as_of=None, approximate=False, base=None):
     return stamped(with_scores(with_rates(priced)), as_of)
 
 
-def _group_statistics(base, keys, counted, mean, as_of, approximate):
-    """Statistics per `keys` from the activity; `counted` names the distinct counts besides users."""
-    table = base.groupBy(*keys).agg(
-        *[_distinct(column, approximate).alias(name) for name, column in counted.items()],
+def _group_statistics(base, stats, keys, counted, mean, as_of, approximate):
+    """Statistics per `keys` from the activity; `counted` names the distinct counts besides users.
+
+    With product statistics at hand, everything but users and the mean price comes from them: they hold every combination
+    of product, category and brand once. The activity is then grouped by one distinct column only, which copies nothing.
+    """
+    distincts = [_distinct(column, approximate).alias(name) for name, column in counted.items()]
+    users = _distinct("user_id", approximate).alias("unique_users")
+    totals = [
         F.sum("total_events").alias("total_events"),
         F.sum("view_count").alias("total_views"),
         F.sum("cart_count").alias("total_carts"),
         F.sum("purchase_count").alias("total_purchases"),
-        _distinct("user_id", approximate).alias("unique_users"),
-        *_summed_parts(),
         F.min("first_seen").alias("first_activity"),
         F.max("last_seen").alias("last_activity"),
-    )
-    totals = ("total_events", "total_views", "total_carts", "total_purchases", "unique_users")
+    ]
     price = metrics.mean_of_parts().alias(mean)
-    return stamped(table.select(*keys, *counted, *totals, price, "first_activity", "last_activity"), as_of)
-
-
-def category_statistics(events, as_of=None, approximate=False, base=None):
-    """Per category; `base` is the activity of the events where it is at hand."""
+    if stats is None:
+        table = base.groupBy(*keys).agg(*distincts, *totals, users, *_summed_parts()).withColumn(mean, price)
+    else:
+        from_base = base.groupBy(*keys).agg(users, *_summed_parts()).withColumn(mean, price).alias("b")
+        from_stats = stats.groupBy(*keys).agg(*distincts, *totals).alias("s")
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}"))
+        table = from_stats.join(from_base, same).select("s.*", "unique_users", mean)
+    shown = ("total_events", "total_views", "total_carts", "total_purchases", "unique_users")
+    return stamped(table.select(*keys, *counted, *shown, mean, "first_activity", "last_activity"), as_of)
+
+
+def category_statistics(events, as_of=None, approximate=False, base=None, stats=None):
+    """Per category; `base` and `stats` are the activity and the product statistics of the events where at hand."""
     counted = {"product_count": "product_id", "brand_count": "brand"}
     base = activity(events) if base is None else base
-    return _group_statistics(base, ["category_id", "category_code"], counted, "avg_category_price", as_of, approximate)
+    return _group_statistics(base, stats, ["category_id", "category_code"], counted, "avg_category_price", as_of, approximate)
 
 
-def brand_statistics(events, as_of=None, approximate=False, base=None):
-    """Per known brand; `base` is the activity of the events where it is at hand."""
+def brand_statistics(events, as_of=None, approximate=False, base=None, stats=None):
+    """Per known brand; `base` and `stats` are the activity and the product statistics of the events where at hand."""
     counted = {"product_count": "product_id", "category_count": "category_id"}
-    base = (activity(events) if base is None else base).filter(F.col("brand") != "unknown")
-    return _group_statistics(base, ["brand"], counted, "avg_brand_price", as_of, approximate)
+    known = F.col("brand") != "unknown"
+    base = (activity(events) if base is None else base).filter(known)
+    stats = None if stats is None else stats.filter(known)
+    return _group_statistics(base, stats, ["brand"], counted, "avg_brand_price", as_of, approximate)
 
 
 def distinct_counts(events, group, columns):

@@ -42,8 +42,8 @@ def build_gold(events, gold, as_of=None, base=None):
 
     write("product_statistics", statistics.product_statistics(events, as_of, base=base), ["product_id"])
     stats = files.parquet_table(spark, f"{gold}/product_statistics")
-    write("category_statistics", statistics.category_statistics(events, as_of, base=base))
-    write("brand_statistics", statistics.brand_statistics(events, as_of, base=base))
+    write("category_statistics", statistics.category_statistics(events, as_of, base=base, stats=stats))
+    write("brand_statistics", statistics.brand_statistics(events, as_of, base=base, stats=stats))
     write("product_rankings", ranking.product_rankings(stats, as_of))
     write("recommendation_features", ranking.recommendation_features(stats, as_of))
     return rows

@@ -108,11 +108,13 @@ def product_stats(spark, sf_dir):
 
 
 def _categories(spark, sf_dir):
-    return statistics.category_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))
+    base, stats = activity(spark, sf_dir), product_stats(spark, sf_dir)
+    return statistics.category_statistics(silver(spark, sf_dir), base=base, stats=stats)
 
 
 def _brands(spark, sf_dir):
-    return statistics.brand_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))
+    base, stats = activity(spark, sf_dir), product_stats(spark, sf_dir)
+    return statistics.brand_statistics(silver(spark, sf_dir), base=base, stats=stats)
 
 
 @built_once
@@ -580,7 +582,7 @@ def _(spark, sf_dir):
 
 @query("gold_product_statistics")
 def _(spark, sf_dir):
-    return _rounded(timeless(statistics.product_statistics(silver(spark, sf_dir))))
+    return _rounded(timeless(statistics.product_statistics(silver(spark, sf_dir), base=activity(spark, sf_dir))))
 
 
 @query("gold_category_statistics")
