@@ -28,7 +28,7 @@ TREES = 16
 LANES = 48
 FIRST_LEVELS = 2
 #: Sets a node may hold and still be compared pair by pair.
-LEAF = 256
+LEAF = 1024
 #: Levels with two children per node; below, one.
 TWOFOLD_LEVELS = 4
 DEEPEST = 12
@@ -234,8 +234,9 @@ def _coarse_edges(classes, least):
             "sizes",
         )
         star = F.lit(level >= DEEPEST) | F.coalesce(F.col("size") * 2 > F.col("parent"), F.lit(False))
-        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node"), "node")
-        found.append(materialize(_leaf_edges(small.join(lanes, "class"), least), "leaves"))
+        # Merge joins at every size: what is small here is not where the operator is needed.
+        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node").hint("merge"), "node")
+        found.append(materialize(_leaf_edges(small.join(lanes.hint("merge"), "class"), least), "leaves"))
         large = sizes.filter(F.col("size") > LEAF)
         if large.isEmpty():
             break
