@@ -25,7 +25,7 @@ _BREAK = re.compile(r"(?<=[!-~\w])\n(?=[!-~\w])")
 _LAST_OLD_LETTER = "ɏ"
 #: Signs that end a unit as a match of their own: neither letters, digits nor white space, and no letter follows.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-MEMORY = 300_000
+MEMORY = 120_000
 _LONGEST_KEPT = 64
 
 

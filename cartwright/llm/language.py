@@ -22,6 +22,8 @@ SEGMENTS, SEGMENT = 4, 320
 BUCKETS = 1 << 15
 LEXICON_WORDS = 400
 HALF = 12
+#: Bytes of text labelled together; forward-backward takes about 35 times that in memory.
+SLICE = 3 << 20
 #: Runs of a few words, of different documents, make a training sequence.
 RUN, RUNS = 12, 8
 EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.5, 0.02
@@ -291,7 +293,7 @@ def identify(docs, model=None):
     model = model or train(docs, held)
 
     def run(batches):
-        for batch in frames.bounded(batches, 8 << 20):
+        for batch in frames.bounded(batches, SLICE):
             values = frames.texts(batch.column(2))
             answers = predict_texts(model, values) if model else [(UNKNOWN, 0.0)] * len(values)
             yield frames.record(
@@ -311,7 +313,7 @@ def keep_identified(docs, least=0.4):
     model, place = train(docs), docs.columns.index("text")
 
     def run(batches):
-        for batch in frames.bounded(batches, 8 << 20):
+        for batch in frames.bounded(batches, SLICE):
             values = frames.texts(batch.column(place))
             answers = predict_texts(model, values) if model else [(UNKNOWN, 0.0)] * len(values)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in answers], pa.bool_()))
