@@ -1,11 +1,11 @@
 """Quality by importance resampling with hashed n-gram models.
 
-Words and word pairs are hashed into BUCKETS. One pass counts them over all documents (the raw model) and over a bounded sample of
-labelled good documents (the target model). A document's log weight is the mean log ratio of the two models' probabilities over its
-n-grams, times their number or EVIDENCE, whichever is less; documents are drawn without replacement in proportion to their weights by adding Gumbel noise to the log weights and
-keeping the k largest. k is the number of documents whose weight reaches the bound that all but MISSED of the labelled good
-documents reach, so the sample's size follows the corpus and the labels. The k-th key is found exactly by counting digits of the
-keys, from the highest down, never by sorting or collecting them.
+Words and word pairs are hashed into BUCKETS. One pass counts them over all documents (the raw model) and over a bounded
+sample of labelled good documents (the target model). A document's log weight is the mean log ratio of the two models'
+probabilities over its n-grams, times their number or EVIDENCE, whichever is less. Documents are drawn without replacement in
+proportion to their weights: Gumbel noise is added to the log weights and the k largest sums stay. k is the number of documents
+whose weight reaches the bound that all but MISSED of the labelled good documents reach, so it follows the corpus and the
+labels. The k-th key is found exactly by counting digits of the keys, from the highest down, never by sorting or collecting.
 """
 
 import numpy as np
@@ -17,7 +17,7 @@ from cartwright.llm import frames
 from cartwright.sources.scratch import materialize
 
 BUCKETS = 1 << 16
-#: At most this many labelled documents of each kind take part in fitting, chosen by a hash of doc_id.
+#: At most this many labelled good documents make the target model and the bound, chosen by a hash of doc_id.
 LABELLED = 20_000
 #: Share of the labelled good documents that may fall below the bound.
 MISSED = 0.001

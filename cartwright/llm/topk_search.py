@@ -78,7 +78,7 @@ class Tree:
 
 def _exact_type(points, queries):
     """float64 where products and their sums are exact in it, Python integers otherwise."""
-    largest = [int(abs(int(part.min())) if abs(int(part.min())) > int(part.max()) else int(part.max())) if part.size else 0 for part in (points, queries)]
+    largest = [max(abs(int(part.min())), abs(int(part.max()))) if part.size else 0 for part in (points, queries)]
     return np.float64 if largest[0] * largest[1] * max(1, points.shape[1]) < _EXACT else object
 
 
