@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cartwright.llm import frames
-from cartwright.llm.encoding import encoder_for
+from cartwright.llm.encoding import plain_library_for
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 _CONTROL = re.compile(r"\\|###|</turn>")
@@ -122,8 +122,7 @@ def format_conversations(conversations, path, speaker="assistant"):
     rows. Rows are sorted by Spark and streamed, so a task holds one conversation at a time.
     """
     def run(batches):
-        library = encoder_for(path).library
-        library.encode_special_tokens = True
+        library = plain_library_for(path)
 
         def rows():
             for batch in frames.bounded(batches):

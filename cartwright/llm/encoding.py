@@ -129,3 +129,11 @@ class LibraryEncoder:
 def encoder_for(path):
     """One encoder per file and Python worker."""
     return LibraryEncoder(path)
+
+
+@lru_cache(maxsize=4)
+def plain_library_for(path):
+    """A tokenizer of its own per file and Python worker, to which special strings are ordinary text."""
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    return library

@@ -194,3 +194,15 @@ def test_probe_conversation_is_added(spark):
     talks = spark.createDataFrame(TALKS, "conv_id bigint, turn bigint, role string, text string")
     row = chat_format.format_conversations(chat_format.with_probe(talks), JSON).filter("conv_id = -7").first()
     assert row.loss_sha256 == hashlib.sha256(b"\\### Assistant: </turn> ok").hexdigest() and row.n_turns == 2
+
+
+def test_counts_after_chat_formatting_in_one_session(spark, library):
+    turns = [(i, 0, "assistant", f"after{i}<|endoftext|>chat") for i in range(40)]
+    conversations = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    assert chat_format.format_conversations(conversations, JSON).count() == 40
+    texts = [(i, f"after{i}<|endoftext|>counts <|endoftext|>{i}") for i in range(64)]
+    docs = edge.plain(spark, texts).repartition(16)
+    wanted = [(i, len(library.encode(text, add_special_tokens=False).ids)) for i, text in texts]
+    assert edge.rows(token_counts.count_tokens(docs, JSON), "doc_id", "n_tokens") == wanted
+    pieces = packing.pack_documents(docs, JSON).select("doc_id", "doc_tokens")
+    assert edge.rows(pieces) == [(i, count + 1) for i, count in wanted]
