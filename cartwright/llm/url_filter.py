@@ -1,10 +1,11 @@
 """URL filter: host and path rules first, a path-template tree for what they leave open. DataFrame functions only.
 
-The tree of a host has a node per path prefix. Digits in a segment are a placeholder; a node whose children are many and
-thinly used turns all of them into one wildcard, and children whose share of blocked pages does not differ from their
-parent's are merged. Labels are what the rules say about the pages they cover. A template's share of blocked pages is
-smoothed towards the share of its shape on all hosts, and the template is rejected when that passes one half. Work runs on
-counts of distinct (host, path), not on pages, and a hot host is spread over its prefixes and segments.
+The tree of a host is built level by level. Digits in a segment are a placeholder; where a node has many children, those
+with a small share of its paths become one wildcard, and children whose share of blocked pages does not differ from their
+parent's are merged. A child whose labels differ stays. The next level is counted below the generalised prefix. Labels are
+what the rules say about the pages they cover. A template's share of blocked pages is smoothed towards the share of its
+shape, wildcards included, on all hosts, and the template is rejected when that passes one half. Work runs on counts of
+distinct (host, path), not on pages, and a hot host is spread over its prefixes and segments.
 """
 
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (rule, verdict); the part before the first slash is a host with all its subdomains, the rest the start of the path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: A node with more children than this, used fewer than THIN times each on average, gets a wildcard.
+#: A node with more children than this gets a wildcard for those that hold less than one THIN-th of its distinct paths.
 MANY, THIN = 16, 4
 #: Chi-square bound at 5 % for a child that differs from its parent.
 DIFFERENT = 3.84
@@ -46,24 +47,12 @@ def rule_columns(rules=RULES):
     return rule, verdict
 
 
-def template_verdicts(paths):
-    """host, path, template, method per distinct (host, path), from their counts of pages, labelled and blocked."""
-    shaped = paths.withColumn("shape", F.regexp_replace("path", "[0-9]+", "<n>"))
-    shaped = materialize(shaped.withColumn("parts", F.split("shape", "/")), "shapes")
-
-    # One row per node on a path: the prefix above it, its segment and its counts.
-    depths = F.sequence(F.lit(1), F.size("parts"))
-    nodes = shaped.withColumn("depth", F.explode(depths)).select(
-        "host", "path", "depth", "pages", "labelled", "blocked",
-        F.array_join(F.slice("parts", F.lit(1), F.col("depth") - 1), "/").alias("prefix"),
-        F.element_at("parts", F.col("depth")).alias("part"),
-    )
-    nodes = materialize(nodes, "nodes")
-    counts = [F.sum(name).alias(name) for name in ("pages", "labelled", "blocked")]
-    children = materialize(nodes.groupBy("host", "depth", "prefix", "part").agg(*counts), "children")
+def _tokens(children):
+    """Adds to every child of a node (host, above) its token and how many paths the node has."""
+    node = ["host", "above"]
     parents = materialize(
-        children.groupBy("host", "depth", "prefix").agg(
-            F.count(F.lit(1)).alias("kinds"), F.sum("pages").alias("all_pages"), F.sum("labelled").alias("all_labelled"),
+        children.groupBy(*node).agg(
+            F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("all_paths"), F.sum("labelled").alias("all_labelled"),
             F.sum("blocked").alias("all_blocked"),
         ),
         "parents",
@@ -72,17 +61,59 @@ def template_verdicts(paths):
     all_labelled, all_blocked = F.col("all_labelled").cast("double"), F.col("all_blocked").cast("double")
     gap = blocked * (all_labelled + 2) - labelled * (all_blocked + 1)
     alike = (gap * gap) <= F.lit(DIFFERENT) * labelled * (all_blocked + 1) * (all_labelled + 1 - all_blocked)
-    wild = (F.col("kinds") > MANY) & (F.col("all_pages") < THIN * F.col("kinds"))
+    wild = (F.col("kinds") > MANY) & (THIN * F.col("paths") < F.col("all_paths")) & ((F.col("labelled") == 0) | alike)
     token = (
         F.when(wild, F.lit("*"))
         .when((F.col("kinds") > 1) & (F.col("labelled") > 0) & alike, F.lit("~"))
         .otherwise(F.col("part"))
     )
-    tokens = children.join(parents, ["host", "depth", "prefix"]).select("host", "depth", "prefix", "part", token.alias("token"))
-    tokens = materialize(tokens, "tokens")
-    steps = nodes.join(tokens, ["host", "depth", "prefix", "part"]).groupBy("host", "path")
-    templates = steps.agg(F.array_sort(F.collect_list(F.struct("depth", "token"))).alias("steps"))
-    templates = materialize(templates.select("host", "path", F.array_join(F.col("steps.token"), "/").alias("template")), "templates")
+    return children.join(parents, node).select(*node, "part", token.alias("token"), "all_paths")
+
+
+def _templates(paths):
+    """Adds template and shape to the distinct (host, path), one level of the tree after the other.
+
+    `above` is the generalised prefix, so below a wildcard or a merged node the children of all its members count together. A
+    path that is alone below its prefix has no siblings any more and keeps the rest as it is, so the levels end where
+    the last two paths part.
+    """
+    parts = F.split(F.regexp_replace("path", "[0-9]+", "<n>"), "/")
+    rows = paths.withColumns({"parts": parts, "above": F.lit(""), "seen": F.lit("")})
+    done = []
+    while True:
+        level = len(done) + 1
+        rows = rows.withColumn("part", F.element_at("parts", level))
+        counts = [F.count(F.lit(1)).alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
+        children = materialize(rows.groupBy("host", "above", "part").agg(*counts), "children")
+        rows = rows.join(_tokens(children), ["host", "above", "part"])
+        # Every token stands behind a slash; the one before the first segment goes at the end.
+        ended = (F.col("all_paths") == 1) | (F.size("parts") == level)
+        rest = F.when(F.size("parts") > level, F.concat(F.lit("/"), F.array_join(F.slice("parts", level + 1, F.size("parts")), "/")))
+        rest = F.coalesce(rest, F.lit(""))
+        segment = F.when(F.col("token") == "*", F.col("token")).otherwise(F.col("part"))
+        rows = materialize(
+            rows.select(
+                "host", "path", "pages", "labelled", "blocked", "parts", ended.alias("ended"), rest.alias("rest"),
+                F.concat("above", F.lit("/"), "token").alias("above"), F.concat("seen", F.lit("/"), segment).alias("seen"),
+            ),
+            "level",
+        )
+        template, shape = (F.expr(f"substring(concat({name}, rest), 2)") for name in ("above", "seen"))
+        done.append(
+            rows.filter("ended").select("host", "path", "pages", "labelled", "blocked", template.alias("template"), shape.alias("shape"))
+        )
+        rows = rows.filter("not ended").drop("ended", "rest")
+        if rows.isEmpty():
+            break
+    together = done[0]
+    for more in done[1:]:
+        together = together.unionByName(more)
+    return materialize(together, "templates")
+
+
+def template_verdicts(paths):
+    """host, path, template, method per distinct (host, path), from their counts of pages, labelled and blocked."""
+    shaped = _templates(paths)
 
     # The prior of a shape on all hosts, in millionths so that sums are exact.
     shapes = materialize(shaped.groupBy("shape").agg(F.sum("labelled").alias("of"), F.sum("blocked").alias("bad")), "shape_counts")
@@ -90,15 +121,13 @@ def template_verdicts(paths):
     base = (overall["b"] + 1) * 1_000_000 // (overall["l"] + 2)
     prior = F.floor((F.col("bad") * 1_000_000 + SHAPE_WEIGHT * base) / (F.col("of") + SHAPE_WEIGHT)).cast("bigint")
     shapes = materialize(shapes.select("shape", prior.alias("prior")), "priors")
-    counted = shaped.select("host", "path", "shape", "pages", "labelled", "blocked").join(shapes, "shape")
-    counted = materialize(counted, "counted")
-    judged = counted.join(templates, ["host", "path"]).groupBy("host", "template").agg(
+    judged = shaped.join(shapes, "shape").groupBy("host", "template").agg(
         F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"),
         F.floor(F.sum(F.col("pages") * F.col("prior")) / F.sum("pages")).cast("bigint").alias("prior"),
     )
     bad = F.col("blocked") * 1_000_000 + WEIGHT * F.col("prior") > 500_000 * (F.col("labelled") + WEIGHT)
     judged = materialize(judged.select("host", "template", F.when(bad, "block").otherwise("allow").alias("method")), "judged")
-    return templates.join(judged, ["host", "template"]).select("host", "path", "template", "method")
+    return shaped.join(judged, ["host", "template"]).select("host", "path", "template", "method")
 
 
 def judge_urls(pages, rules=RULES):

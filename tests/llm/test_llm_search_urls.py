@@ -139,6 +139,38 @@ def test_many_thin_children_become_a_wildcard(spark):
     assert found == {"/*/page", "/fixed/page"}
 
 
+def people(count, each):
+    """(user, slug) pairs of letters only; every slug is its own."""
+    def letters(n):
+        return "".join(chr(97 + n // 26**i % 26) for i in range(4))
+
+    return [(f"user-{letters(n)}", f"note-{letters(n * each + i)}") for n in range(count) for i in range(each)]
+
+
+@pytest.mark.parametrize("count, each, copies", [(60, 1, 1), (1000, 5, 1), (200, 2, 4)])
+def test_variable_segments_become_wildcards_at_every_size(spark, count, each, copies):
+    urls = [f"http://h.test/user/{name}/{slug}" for name, slug in people(count, each) for _ in range(copies)]
+    found = {row.template for row in url_filter.judge_urls(pages(spark, list(enumerate(urls)))).collect()}
+    assert found == {"/user/*/*"}
+
+
+def test_labels_reach_pages_below_wildcards(spark):
+    rules = (("bad.test/user/user-a", "block"), ("good.test/", "allow"))
+    urls = [f"http://bad.test/user/{name}/{slug}" for name, slug in people(400, 5)]
+    urls += [f"http://good.test/{i}/{name}" for i, name in enumerate(["story", "offer"] * 400)]
+    for row in url_filter.judge_urls(pages(spark, list(enumerate(urls))), rules).collect():
+        assert row.verdict == ("block" if row.host == "bad.test" else "allow")
+
+
+def test_a_large_child_and_one_with_other_labels_stay_beside_a_wildcard(spark):
+    rules = (("h.test/ads/", "block"), ("h.test/", "allow"))
+    urls = [f"http://h.test/{name}/page" for name, _ in people(300, 1)]
+    urls += [f"http://h.test/{name}/{i}" for name, n in (("help", 300), ("ads", 40)) for i in range(n)]
+    found = url_filter.judge_urls(pages(spark, list(enumerate(urls))), rules).collect()
+    first = {row.path.split("/")[1]: row.template.split("/")[1] for row in found}
+    assert first["ads"] == "ads" and first["help"] != "*" and {first[name] for name, _ in people(300, 1)} == {"*"}
+
+
 def test_filter_runs_no_python(spark):
     plan = url_filter.judge_urls(pages(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
