@@ -6,7 +6,8 @@ is labelled word by word. Training is on a bounded sample: per language about DO
 hash of doc_id, SEGMENTS cuts of SEGMENT characters spread over each. Runs of words of different documents are joined into
 training sequences that switch language, so that words have to speak for themselves. Prediction reads whole texts.
 
-Word features look at the first and last HALF characters of a word.
+A word of more than LONGEST characters, as in scripts without spaces, is cut into consecutive pieces of that many at most, and
+each piece takes part like a word, so that every character counts.
 """
 
 import numpy as np
@@ -21,13 +22,12 @@ MAX_LANGUAGES = 64
 SEGMENTS, SEGMENT = 4, 320
 BUCKETS = 1 << 15
 LEXICON_WORDS = 400
-HALF = 12
+LONGEST = 24
 #: Bytes of text labelled together; forward-backward takes about 35 times that in memory.
 SLICE = 3 << 20
 #: Runs of a few words, of different documents, make a training sequence.
 RUN, RUNS = 12, 8
 EPOCHS, BATCH, RATE, DECAY = 6, 512, 0.5, 0.02
-_WIDTH = 2 * HALF
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789«»“”„‘’…–—¿¡"
 
 
@@ -41,6 +41,14 @@ def _core(token):
     return word if has_letter(word) else ""
 
 
+def _pieces(token):
+    """The core of a token in pieces of at most LONGEST characters; those without a letter are empty."""
+    word = _core(token)
+    if len(word) <= LONGEST:
+        return [word]
+    return [piece if has_letter(piece) else "" for piece in (word[i : i + LONGEST] for i in range(0, len(word), LONGEST))]
+
+
 def _hash(columns, salt):
     total = np.full(len(columns[0]), salt * 0x9E3779B1 + 12345, np.uint64)
     for column in columns:
@@ -50,10 +58,10 @@ def _hash(columns, salt):
 
 
 def word_features(words):
-    """Feature buckets, words x features; BUCKETS stands for no feature."""
-    short = [word if len(word) <= _WIDTH else word[:HALF] + word[-HALF:] for word in words]
-    codes = np.array(short, f"<U{_WIDTH}").view(np.uint32).reshape(len(words), _WIDTH).astype(np.uint64)
-    lengths = np.fromiter(map(len, short), np.int64, len(short))
+    """Feature buckets, words x features; BUCKETS stands for no feature. Words of any length: as wide as the longest."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    width = max(3, int(lengths.max(initial=0)))
+    codes = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
     columns = []
 
     def add(parts, salt, valid):
@@ -64,11 +72,11 @@ def word_features(words):
     for size in (1, 2, 3):
         add([codes[:, i] for i in range(size)], size, lengths >= size)
         add([codes[rows, np.maximum(last - i, 0)] for i in range(size)], 8 + size, lengths >= size)
-    for start in range(_WIDTH - 1):
+    for start in range(width - 1):
         if not (lengths > start + 1).any():
             break
         add([codes[:, start], codes[:, start + 1]], 20, lengths > start + 1)
-        if start + 2 < _WIDTH:
+        if start + 2 < width:
             add([codes[:, start + i] for i in range(3)], 21, lengths > start + 2)
     return np.stack(columns, axis=1).astype(np.int32)
 
@@ -163,7 +171,7 @@ def fit(rows, seed=7):
     labels = sorted({lang for lang, _ in rows})
     if not labels:
         return None
-    labelled = [(labels.index(lang), [_core(token) for token in text.split()]) for lang, segments in rows for text in segments]
+    labelled = [(labels.index(lang), [piece for token in text.split() for piece in _pieces(token)]) for lang, segments in rows for text in segments]
     model = Model(labels, _lexicon(labelled, labels))
     chance = np.random.default_rng(seed)
     vocabulary = {}
@@ -236,12 +244,24 @@ class _Numbers(dict):
         return number
 
 
+def _spread(codes, begins, counts):
+    """Numbers of pieces in place of numbers of tokens."""
+    many = counts[codes]
+    ends = np.cumsum(many)
+    return np.repeat(begins[codes] - (ends - many), many) + np.arange(many.sum())
+
+
 def _posteriors(model, values):
-    """Per text: its cores and the chances of each language at each word that has a letter."""
+    """Per text: its words, long ones in pieces, and the chances of each language at each that has a letter."""
     tokens = [text.split() for text in values]
     known = _Numbers()
     coded = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in tokens]
-    cores = [_core(token) for token in known]
+    pieces = [_pieces(token) for token in known]
+    cores = [piece for found in pieces for piece in found]
+    counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    if len(cores) > len(pieces):
+        begins = np.cumsum(counts) - counts
+        coded = [_spread(codes, begins, counts) for codes in coded]
     lettered = np.fromiter(map(bool, cores), bool, len(cores))
     coded = [codes[lettered[codes]] if len(codes) else codes for codes in coded]
     lengths = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -269,7 +289,7 @@ def predict_texts(model, values):
 
 
 def label_words(model, text):
-    """(word, language) for the words of a text that hold a letter; the model's general output, for text that switches."""
+    """(word, language) for the words of a text that hold a letter, long ones in pieces; the model's general output."""
     _, cores, coded, _, chances = _posteriors(model, [text])
     return [(cores[code], model.labels[best]) for code, best in zip(coded[0].tolist(), chances.argmax(axis=1).tolist(), strict=True)]
 

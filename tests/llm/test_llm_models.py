@@ -91,6 +91,19 @@ def test_text_that_switches_is_labelled_word_by_word(spoken):
     assert labels == ["de"] * 8 + ["fr"] * 8 + ["en"] * 8
 
 
+def test_every_character_of_text_without_spaces_counts():
+    chance = random.Random(5)
+    signs = {"aa": "日本語文字", "bb": "กขคงจ"}
+    rows = [(lang, ["".join(chance.choices(letters, k=300))]) for lang, letters in signs.items() for _ in range(40)]
+    rows += [("en", [" ".join(chance.choices(SPEECH["en"], k=50))]) for _ in range(40)]
+    model = language.fit(rows)
+    passage = "".join(chance.choices(signs["aa"], k=2000))
+    edges = "".join(chance.choices(signs["bb"], k=12))
+    texts = [f"{passage} the which", f"the which {passage}", f"{edges}{passage}{edges}", passage]
+    assert [lang for lang, _ in language.predict_texts(model, texts)] == ["aa"] * 4
+    assert sum(len(word) for word, _ in language.label_words(model, texts[2])) == 2024
+
+
 def test_awkward_documents_have_a_language_or_none(spark):
     found = {}
     for row in language.identify(edge.docs(spark)).collect():
