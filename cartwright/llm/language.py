@@ -2,8 +2,8 @@
 
 Every word has affix, character n-gram and lexicon features; learned weights give it a score per language, learned transitions
 tie neighbours together, and forward-backward gives the chance of each language at each word, so text that switches language
-is labelled word by word. Training is on a bounded sample: per language about DOCS_PER_LANGUAGE labelled documents chosen by a
-hash of doc_id, SEGMENTS cuts of SEGMENT characters spread over each. Runs of words of different documents are joined into
+is labelled word by word. Training is on a bounded sample of every language: DOCS_PER_LANGUAGE distinct labelled documents at most,
+those with the least hash of doc_id and text, SEGMENTS cuts of SEGMENT characters spread over each. Runs of words of different documents are joined into
 training sequences that switch language, so that words have to speak for themselves. Prediction reads whole texts.
 
 A word of more than LONGEST characters, as in scripts without spaces, is cut into consecutive pieces of that many at most, and
@@ -12,18 +12,20 @@ each piece takes part like a word, so that every character counts.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwright.llm import frames
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 600
-MAX_LANGUAGES = 64
+#: Documents that training collects in all; beyond 64 languages each has an even share of them, one document at least.
+SAMPLE = 64 * DOCS_PER_LANGUAGE
 SEGMENTS, SEGMENT = 4, 320
 BUCKETS = 1 << 15
 LEXICON_WORDS = 400
 LONGEST = 24
-#: Bytes of text labelled together; forward-backward takes about 35 times that in memory.
+#: Bytes of text labelled together with up to four languages, less with more; forward-backward takes about 35 times that in memory.
 SLICE = 3 << 20
 #: Runs of a few words, of different documents, make a training sequence.
 RUN, RUNS = 12, 8
@@ -158,10 +160,15 @@ def _lexicon(labelled, labels):
     counts = {}
     for label, words in labelled:
         for word in words:
-            counts.setdefault(word, [0] * len(labels))[label] += 1
+            per = counts.setdefault(word, {})
+            per[label] = per.get(label, 0) + 1
+    owned = [[] for _ in labels]
+    for word, per in counts.items():
+        label = max(per, key=per.get)
+        if word and per[label] >= 3 and per[label] * 10 >= 9 * sum(per.values()):
+            owned[label].append((-per[label], word))
     lexicon = {}
-    for label in range(len(labels)):
-        own = [(-per[label], word) for word, per in counts.items() if word and per[label] >= 3 and per[label] * 10 >= 9 * sum(per)]
+    for label, own in enumerate(owned):
         lexicon.update((word, label) for _, word in sorted(own)[:LEXICON_WORDS])
     return lexicon
 
@@ -171,7 +178,8 @@ def fit(rows, seed=7):
     labels = sorted({lang for lang, _ in rows})
     if not labels:
         return None
-    labelled = [(labels.index(lang), [piece for token in text.split() for piece in _pieces(token)]) for lang, segments in rows for text in segments]
+    numbers = {lang: label for label, lang in enumerate(labels)}
+    labelled = [(numbers[lang], [piece for token in text.split() for piece in _pieces(token)]) for lang, segments in rows for text in segments]
     model = Model(labels, _lexicon(labelled, labels))
     chance = np.random.default_rng(seed)
     vocabulary = {}
@@ -220,19 +228,27 @@ def fit(rows, seed=7):
 
 
 def train_rows(docs, held_out):
-    """The bounded training sample as (lang, segments) rows, from documents that aren't held out and have text and lang."""
+    """The bounded training sample as (lang, segments) rows, from documents that aren't held out and have text and lang.
+
+    Every language takes part, with its documents of the least hashes. Copies of a document under one doc_id are one document.
+    A first cut by the hash leaves about twice as many as wanted, so that ranking them is little work.
+    """
     usable = docs.select("doc_id", "text", "lang").filter(~held_out & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    usable = usable.withColumn("digest", F.xxhash64("doc_id", "text"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("digest").alias("count")).collect()
     if not counts:
         return []
-    share = F.create_map([F.lit(x) for row in counts for x in (row["lang"], min(1.0, DOCS_PER_LANGUAGE / row["count"]))])
+    quota = max(1, min(DOCS_PER_LANGUAGE, SAMPLE // len(counts)))
+    share = F.create_map([F.lit(x) for row in counts for x in (row["lang"], min(1.0, (2 * quota + 40) / max(1, row["count"])))])
     # Position of the document in [0, 1) by its hash: the same documents at every layout.
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.filter(place < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    place = F.pmod(F.col("digest"), F.lit(1 << 30)) / float(1 << 30)
     room = F.greatest(F.length("text") - SEGMENT, F.lit(0))
     cuts = [F.substring("text", (room * i / max(1, SEGMENTS - 1)).cast("int") + 1, F.lit(SEGMENT)) for i in range(SEGMENTS)]
     cuts = F.when(F.length("text") <= SEGMENT, F.array(F.col("text"))).otherwise(F.array(*cuts))
-    rows = chosen.select("lang", cuts.alias("segments"), "doc_id").limit(2 * DOCS_PER_LANGUAGE * MAX_LANGUAGES).collect()
+    chosen = usable.withColumn("place", place).filter(F.col("place") < share[F.col("lang")])
+    chosen = chosen.groupBy("lang", "place", "digest").agg(F.min(cuts).alias("segments"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "digest"))
+    rows = chosen.withColumn("rank", rank).filter(F.col("rank") <= quota).select("lang", "segments").collect()
     return sorted((row["lang"], row["segments"]) for row in rows)
 
 
@@ -273,6 +289,11 @@ def _posteriors(model, values):
     return tokens, cores, coded, lengths, chances
 
 
+def _slice(model):
+    """Bytes of text labelled together, in step with the number of chances per word."""
+    return max(1, 4 * SLICE // max(4, len(model.labels) if model else 0))
+
+
 def predict_texts(model, values):
     """(language, score) per text: the language with the largest mean chance over the words, and that mean."""
     _, _, _, lengths, chances = _posteriors(model, values)
@@ -313,7 +334,7 @@ def identify(docs, model=None):
     model = model or train(docs, held)
 
     def run(batches):
-        for batch in frames.bounded(batches, SLICE):
+        for batch in frames.bounded(batches, _slice(model)):
             values = frames.texts(batch.column(2))
             answers = predict_texts(model, values) if model else [(UNKNOWN, 0.0)] * len(values)
             yield frames.record(
@@ -333,7 +354,7 @@ def keep_identified(docs, least=0.4):
     model, place = train(docs), docs.columns.index("text")
 
     def run(batches):
-        for batch in frames.bounded(batches, SLICE):
+        for batch in frames.bounded(batches, _slice(model)):
             values = frames.texts(batch.column(place))
             answers = predict_texts(model, values) if model else [(UNKNOWN, 0.0)] * len(values)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in answers], pa.bool_()))

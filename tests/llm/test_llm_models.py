@@ -104,6 +104,35 @@ def test_every_character_of_text_without_spaces_counts():
     assert sum(len(word) for word, _ in language.label_words(model, texts[2])) == 2024
 
 
+def test_every_language_is_learned(spark):
+    chance = random.Random(9)
+    rows = []
+    for n in range(70):
+        words = ["".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(100 * n + i, " ".join(chance.choices(words, k=20)), f"l{n:02}") for i in range(12 if n < 64 else 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len({lang for lang, _ in language.train_rows(docs, F.lit(False))}) == 70
+    model = language.train(docs, F.lit(False))
+    answers = language.predict_texts(model, [text for _, text, _ in rows])
+    right = [lang == wanted for (lang, _), (_, _, wanted) in zip(answers, rows, strict=True)]
+    assert sum(right) >= 0.95 * len(rows) and sum(right[-54:]) >= 0.95 * 54
+
+
+@pytest.mark.parametrize("hot", [None, 3])
+def test_training_takes_a_quota_per_language_whatever_the_ids(spark, monkeypatch, hot):
+    monkeypatch.setattr(language, "DOCS_PER_LANGUAGE", 50)
+    monkeypatch.setattr(language, "SAMPLE", 100)
+    rows = [(hot, f"hot number {i}", "en") for i in range(3000)] + [(hot, "copy", "en")] * 3000
+    rows += [(i, f"mot numéro {i}", "fr") for i in range(100, 1100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language.train_rows(docs.repartition(3), F.lit(False))
+    assert found == language.train_rows(docs.repartition(7), F.lit(False))
+    assert [sum(lang == name for lang, _ in found) for name in ("en", "fr")] == [50, 50]
+    assert sum(segments == ["copy"] for _, segments in found) <= 1
+    few = language.train_rows(docs.filter("lang = 'fr'").limit(20), F.lit(False))
+    assert len(few) == 20
+
+
 def test_awkward_documents_have_a_language_or_none(spark):
     found = {}
     for row in language.identify(edge.docs(spark)).collect():
