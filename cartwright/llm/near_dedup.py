@@ -3,7 +3,8 @@
 Every document's shingle set goes down several independent trees. A node's children are named by the least shingle of the
 set under a hash of the level, so similar sets keep company with a chance equal to their similarity per level. A tree starts at
 two levels; nodes of at most LEAF sets are compared exhaustively, larger ones branch on, twofold, so that a similar pair is
-not lost by the extra levels. The chance that a pair at the threshold meets in no tree is (1 - 0.85^2)^16, about 1e-9.
+not lost by the extra levels. The chance that a pair at the threshold meets in no tree is (1 - 0.85^2)^16, about 1e-9,
+for nodes of at most LEAF sets after two levels; README gives the bounds for pairs whose nodes stay larger.
 
 Nothing the trees do decides a link. They give coarse clusters that hold every true link; each cluster's full sets are then
 compared exactly, within one task or block against block, and components of the exact links are the result. Sets that are
