@@ -3,6 +3,7 @@
 from cartwright.llm import (
     byte_bpe,
     chat_format,
+    divergence_audit,
     exact_dedup,
     importance,
     language,
@@ -68,11 +69,15 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_divergence_audit(spark, sf_dir):
+    return divergence_audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_chat_format, op2_exact_dedup, op3_topk_search, op4_quality, op5_byte_bpe, op6_language, op7_packing,
-        op8_token_counts, op9_near_dedup, op10_url_filter,
+        op8_token_counts, op9_near_dedup, op10_url_filter, op12_divergence_audit,
     )
 }
 
@@ -214,4 +219,46 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN bad THEN 'block' ELSE
 FROM said JOIN templates USING (host, path) JOIN judged USING (host, template)
 """
 
-SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op3_topk_search": _TOP, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS}
+_AUDIT = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+    FROM documents
+),
+words AS (
+    SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), '{_UPPER}', '{_LOWER}')
+        AS term
+    FROM docs
+),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+sizes AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+used AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+counted AS (SELECT lang, source, CAST(sum(c) AS HUGEINT) AS n FROM used GROUP BY lang, source),
+groups AS (
+    SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counted USING (lang, source) LEFT JOIN sizes USING (lang)
+),
+grid AS (
+    SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 1)) // (n + v) AS p
+    FROM groups JOIN kept USING (lang) LEFT JOIN used USING (lang, source, term)
+),
+whole AS (
+    SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 1)) // (any_value(n) + any_value(v)) AS q
+    FROM used JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM groups GROUP BY lang) USING (lang) GROUP BY lang, term
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+),
+listed AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM grid JOIN whole USING (lang, term)
+    WHERE c > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM listed QUALIFY part = 'pair' OR rank <= {divergence_audit.TOP_TERMS}
+"""
+
+SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op3_topk_search": _TOP, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS, "op12_divergence_audit": _AUDIT}
