@@ -3,6 +3,7 @@
 from cartwright.llm import (
     byte_bpe,
     chat_format,
+    collocations,
     divergence_audit,
     exact_dedup,
     importance,
@@ -73,11 +74,15 @@ def op12_divergence_audit(spark, sf_dir):
     return divergence_audit.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_chat_format, op2_exact_dedup, op3_topk_search, op4_quality, op5_byte_bpe, op6_language, op7_packing,
-        op8_token_counts, op9_near_dedup, op10_url_filter, op12_divergence_audit,
+        op8_token_counts, op9_near_dedup, op10_url_filter, op12_divergence_audit, op13_collocations,
     )
 }
 
@@ -261,4 +266,40 @@ SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value
 FROM listed QUALIFY part = 'pair' OR rank <= {divergence_audit.TOP_TERMS}
 """
 
-SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op3_topk_search": _TOP, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS, "op12_divergence_audit": _AUDIT}
+_PHRASES = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+suffixes AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM starts),
+ones AS (SELECT lang, w1, count(*) AS f FROM suffixes GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY lang),
+twos AS (SELECT lang, w1, w2, count(*) AS a FROM suffixes WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+threes AS (SELECT lang, w1, w2, w3, count(*) AS a FROM suffixes WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+inside AS (
+    SELECT lang, w1, w2, max(a) AS top
+    FROM (SELECT lang, w1, w2, a FROM threes UNION ALL SELECT lang, w2, w3, a FROM threes) GROUP BY lang, w1, w2
+),
+cuts AS (
+    SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, 1 AS k, a, x.f AS l, y.f AS r FROM twos t
+    JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w2
+    LEFT JOIN inside i ON i.lang = t.lang AND i.w1 = t.w1 AND i.w2 = t.w2 WHERE top IS NULL OR 100 * top < 50 * a
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.a, x.f, y.a FROM threes t
+    JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+    UNION ALL
+    SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.a, x.a, y.f FROM threes t
+    JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w3
+),
+scored AS (
+    SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r), k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored JOIN sizes USING (lang) QUALIFY rank <= {collocations.FIRST}
+"""
+
+SQL = {"op1_chat_format": _CHAT, "op2_exact_dedup": _EXACT, "op3_topk_search": _TOP, "op9_near_dedup": _NEAR, "op10_url_filter": _URLS, "op12_divergence_audit": _AUDIT, "op13_collocations": _PHRASES}
