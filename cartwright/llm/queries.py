@@ -10,6 +10,7 @@ from cartwright.llm import (
     language,
     near_dedup,
     packing,
+    secret_scan,
     token_counts,
     topk_search,
     url_filter,
@@ -70,6 +71,10 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence_audit(spark, sf_dir):
     return divergence_audit.audit(table(spark, sf_dir, "documents"))
 
@@ -82,7 +87,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_chat_format, op2_exact_dedup, op3_topk_search, op4_quality, op5_byte_bpe, op6_language, op7_packing,
-        op8_token_counts, op9_near_dedup, op10_url_filter, op12_divergence_audit, op13_collocations,
+        op8_token_counts, op9_near_dedup, op10_url_filter, op11_secret_scan, op12_divergence_audit,
+        op13_collocations,
     )
 }
 
