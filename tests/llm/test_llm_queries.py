@@ -15,7 +15,7 @@ def tables():
 
 
 def test_one_query_per_operator():
-    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
