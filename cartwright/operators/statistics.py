@@ -2,9 +2,9 @@
 
 All of them start from one table, the activity: one row per product, user and session with its counts, price sums and
 bounds. It takes one pass over the events and one shuffle on keys that no single product or user decides; ratings start
-from it too. Exact distinct counts go through Spark's two-phase rewrite, which first shuffles on (group, counted value)
-and only then on the group, so a group holding a third of all events is spread over all tasks; the copies that this
-rewrite makes are of activity rows, not of events.
+from it too. Exact distinct counts are taken one column at a time, first shuffled on (group, counted value) and only then
+on the group, so a group holding a third of all events is spread over all tasks and no row is copied. The users of a
+category or brand are each counted at one of its products; its statistics are then plain sums over product rows.
 """
 
 from pyspark.sql import functions as F
@@ -13,8 +13,9 @@ from cartwright import schema
 from cartwright.functions import cleaning, metrics
 
 
-def _distinct(column, approximate):
-    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+CATEGORY_KEYS, BRAND_KEYS = ("category_id", "category_code"), ("brand",)
+COUNTERS = ("total_events", "view_count", "cart_count", "purchase_count")
+KNOWN_BRAND = "brand <> 'unknown'"
 
 
 def event_counts(events, keys=schema.PRODUCT_KEYS):
@@ -73,7 +74,7 @@ def activity(events):
     return events.groupBy(*ACTIVITY_KEYS).agg(*product_counters(), weight, *parts, *bounds)
 
 
-def _summed(names=("total_events", "view_count", "cart_count", "purchase_count")):
+def _summed(names=COUNTERS):
     return [F.sum(name).alias(name) for name in names]
 
 
@@ -82,68 +83,122 @@ def _summed_parts():
     return [*sums, F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price")]
 
 
-def product_statistics(events, as_of=None, approximate=False, base=None):
-    """`base` is the activity of the events where it is at hand."""
-    base = activity(events) if base is None else base
-    grouped = base.groupBy(*schema.PRODUCT_KEYS).agg(
-        *_summed(),
-        _distinct("user_id", approximate).alias("unique_users"),
-        _distinct("user_session", approximate).alias("unique_sessions"),
-        *_summed_parts(),
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
+def _attributed(base, level, name):
+    """Per product, how many users of its category or brand are counted at this product: every user at exactly one.
+
+    A user's home within the group is the least of the products the user met there, so the numbers of a group's products
+    add up to its distinct users. Both steps add up within each task before they shuffle.
+    """
+    inner = [key for key in schema.PRODUCT_KEYS if key not in level]
+    homes = base.filter("user_id IS NOT NULL").groupBy(*level, "user_id").agg(F.min(F.struct(*inner)).alias("home"))
+    return homes.select(*level, "home.*").groupBy(*schema.PRODUCT_KEYS).agg(F.count("*").alias(name))
+
+
+def _product_numbers(sums, *sides):
+    """One row per product from the sums and from further numbers; a union and one more sum, as keys may be null."""
+    numbers = [name for side in sides for name in side.columns if name not in schema.PRODUCT_KEYS]
+    together = sums
+    for side in sides:
+        together = together.unionByName(side, allowMissingColumns=True)
+    whole = together.groupBy(*schema.PRODUCT_KEYS).agg(*_summed((*COUNTERS, "unique_sessions", *numbers)), *_summed_parts(), *_seen())
+    return whole.fillna(0, numbers)
+
+
+def product_parts(base):
+    """One row per product with numbers that all add up: what products, categories and brands need, distinct users included.
+
+    `base` is the activity. Distinct counts take one column at a time: rows shuffle on product and counted value, then on the
+    product, so none is copied.
+    """
+    sessions = F.count_distinct("user_session").alias("unique_sessions")
+    return _product_numbers(
+        base.groupBy(*schema.PRODUCT_KEYS).agg(*_summed(), *_summed_parts(), *_seen(), sessions),
+        _users_of(base),
+        _attributed(base, CATEGORY_KEYS, "category_users"),
+        _attributed(base.filter(KNOWN_BRAND), BRAND_KEYS, "brand_users"),
     )
-    counted = ("total_events", "view_count", "cart_count", "purchase_count", "unique_users", "unique_sessions")
+
+
+def _users_of(table):
+    return table.groupBy(*schema.PRODUCT_KEYS).agg(F.count_distinct("user_id").alias("unique_users"))
+
+
+def _seen():
+    return [F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")]
+
+
+def _product_table(grouped, as_of):
     priced = grouped.select(
-        *schema.PRODUCT_KEYS, *counted, metrics.mean_of_parts().alias("avg_price"), "min_price", "max_price", "first_seen", "last_seen"
+        *schema.PRODUCT_KEYS, *COUNTERS, "unique_users", "unique_sessions", metrics.mean_of_parts().alias("avg_price"),
+        "min_price", "max_price", "first_seen", "last_seen",
     )
     return stamped(with_scores(with_rates(priced)), as_of)
 
 
-def _group_statistics(base, stats, keys, counted, mean, as_of, approximate):
-    """Statistics per `keys` from the activity; `counted` names the distinct counts besides users.
+def product_statistics(events, as_of=None, approximate=False, base=None, parts=None):
+    """`base` is the activity of the events and `parts` are its product parts, where they are at hand.
 
-    With product statistics at hand, everything but users and the mean price comes from them: they hold every combination
-    of product, category and brand once. The activity is then grouped by one distinct column only, which copies nothing.
+    `approximate` takes sketches for distinct users and sessions, in one aggregate.
     """
-    distincts = [_distinct(column, approximate).alias(name) for name, column in counted.items()]
-    users = _distinct("user_id", approximate).alias("unique_users")
-    totals = [
+    if parts is None and base is not None:
+        parts = _sketched(base) if approximate else product_parts(base)
+    elif parts is None:
+        # Straight from the events: without categories and brands there is nothing to share an activity for.
+        distinct = F.approx_count_distinct if approximate else F.count_distinct
+        means = [part.alias(name) for name, part in metrics.mean_parts().items()]
+        numbers = [*product_counters(), *means, *time_bounds("first_seen", "last_seen"), distinct("user_session").alias("unique_sessions")]
+        if approximate:
+            parts = events.groupBy(*schema.PRODUCT_KEYS).agg(*numbers, distinct("user_id").alias("unique_users"))
+        else:
+            parts = _product_numbers(events.groupBy(*schema.PRODUCT_KEYS).agg(*numbers), _users_of(events))
+    return _product_table(parts, as_of)
+
+
+def _sketched(base):
+    sketches = [F.approx_count_distinct(f"user_{kind}").alias(name) for kind, name in (("id", "unique_users"), ("session", "unique_sessions"))]
+    return base.groupBy(*schema.PRODUCT_KEYS).agg(*_summed(), *sketches, *_summed_parts(), *_seen())
+
+
+def _group_statistics(base, parts, keys, counted, users, mean, as_of, approximate):
+    """Statistics per `keys`; `counted` names the distinct counts besides users. All but sketches come from product parts."""
+    source = parts
+    distinct, total = F.count_distinct, F.sum(users)
+    if approximate:
+        source, distinct, total = base, F.approx_count_distinct, F.approx_count_distinct("user_id")
+    table = source.groupBy(*keys).agg(
+        *[distinct(column).alias(name) for name, column in counted.items()],
         F.sum("total_events").alias("total_events"),
         F.sum("view_count").alias("total_views"),
         F.sum("cart_count").alias("total_carts"),
         F.sum("purchase_count").alias("total_purchases"),
+        total.alias("unique_users"),
         F.min("first_seen").alias("first_activity"),
         F.max("last_seen").alias("last_activity"),
-    ]
-    price = metrics.mean_of_parts().alias(mean)
-    if stats is None:
-        table = base.groupBy(*keys).agg(*distincts, *totals, users, *_summed_parts()).withColumn(mean, price)
-    else:
-        from_base = base.groupBy(*keys).agg(users, *_summed_parts()).withColumn(mean, price).alias("b")
-        from_stats = stats.groupBy(*keys).agg(*distincts, *totals).alias("s")
-        same = F.lit(True)
-        for key in keys:
-            same = same & F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}"))
-        table = from_stats.join(from_base, same).select("s.*", "unique_users", mean)
+        *_summed_parts(),
+    )
     shown = ("total_events", "total_views", "total_carts", "total_purchases", "unique_users")
-    return stamped(table.select(*keys, *counted, *shown, mean, "first_activity", "last_activity"), as_of)
+    priced = table.withColumn(mean, metrics.mean_of_parts())
+    return stamped(priced.select(*keys, *counted, *shown, mean, "first_activity", "last_activity"), as_of)
+
+
+def _sources(events, base, parts, approximate):
+    if base is None and (parts is None or approximate):
+        base = activity(events)
+    return base, product_parts(base) if parts is None and not approximate else parts
 
 
-def category_statistics(events, as_of=None, approximate=False, base=None, stats=None):
-    """Per category; `base` and `stats` are the activity and the product statistics of the events where at hand."""
+def category_statistics(events, as_of=None, approximate=False, base=None, parts=None):
+    """Per category; `base` and `parts` are the activity and the product parts of the events where at hand."""
     counted = {"product_count": "product_id", "brand_count": "brand"}
-    base = activity(events) if base is None else base
-    return _group_statistics(base, stats, ["category_id", "category_code"], counted, "avg_category_price", as_of, approximate)
+    base, parts = _sources(events, base, parts, approximate)
+    return _group_statistics(base, parts, CATEGORY_KEYS, counted, "category_users", "avg_category_price", as_of, approximate)
 
 
-def brand_statistics(events, as_of=None, approximate=False, base=None, stats=None):
-    """Per known brand; `base` and `stats` are the activity and the product statistics of the events where at hand."""
+def brand_statistics(events, as_of=None, approximate=False, base=None, parts=None):
+    """Per known brand; `base` and `parts` are the activity and the product parts of the events where at hand."""
     counted = {"product_count": "product_id", "category_count": "category_id"}
-    known = F.col("brand") != "unknown"
-    base = (activity(events) if base is None else base).filter(known)
-    stats = None if stats is None else stats.filter(known)
-    return _group_statistics(base, stats, ["brand"], counted, "avg_brand_price", as_of, approximate)
+    base, parts = (None if table is None else table.filter(KNOWN_BRAND) for table in _sources(events, base, parts, approximate))
+    return _group_statistics(base, parts, BRAND_KEYS, counted, "brand_users", "avg_brand_price", as_of, approximate)
 
 
 def distinct_counts(events, group, columns):

@@ -40,10 +40,11 @@ def build_gold(events, gold, as_of=None, base=None):
     def write(name, table, cluster_by=None):
         rows[name] = sinks.gold_table(table, gold, name, cluster_by)
 
-    write("product_statistics", statistics.product_statistics(events, as_of, base=base), ["product_id"])
+    parts = scratch.materialize(statistics.product_parts(base), "product_parts")
+    write("product_statistics", statistics.product_statistics(events, as_of, parts=parts), ["product_id"])
     stats = files.parquet_table(spark, f"{gold}/product_statistics")
-    write("category_statistics", statistics.category_statistics(events, as_of, base=base, stats=stats))
-    write("brand_statistics", statistics.brand_statistics(events, as_of, base=base, stats=stats))
+    write("category_statistics", statistics.category_statistics(events, as_of, parts=parts))
+    write("brand_statistics", statistics.brand_statistics(events, as_of, parts=parts))
     write("product_rankings", ranking.product_rankings(stats, as_of))
     write("recommendation_features", ranking.recommendation_features(stats, as_of))
     return rows

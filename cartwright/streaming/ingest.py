@@ -22,12 +22,17 @@ def write_silver(records, path, checkpoint, every=None, as_of=None):
     return _trigger(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
 
 
-def write_console(events, checkpoint, every=None, rows=20):
-    """Prints the first rows of each micro-batch in full width, for debugging; no more than `rows` leave the executors."""
+def write_console(events, checkpoint, every=None, rows=20, write=print):
+    """Shows each micro-batch for debugging: its number, how many rows it took in, and its first `rows` in full width.
+
+    The rows are counted by an action of their own, as showing stops reading at the limit. No more than `rows` leave the
+    executors. `write` takes each piece of text.
+    """
 
     def show(batch, batch_id):
-        print(f"Batch: {batch_id}")
-        batch.limit(rows).show(rows, truncate=False)
+        write(f"Batch: {batch_id}")
+        write(f"Rows: {batch.count()}")
+        write(batch._jdf.showString(rows, 0, False))
 
     writer = events.writeStream.outputMode("append").foreachBatch(show)
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()

@@ -1,9 +1,11 @@
 import datetime
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from cartwright import schema
 from cartwright.functions import metrics
 from cartwright.operators import clustering, statistics
 
@@ -124,31 +126,52 @@ def test_statistics_from_written_activity_equal_those_from_events(spark, functio
     derived = function(table, base=statistics.activity(table).cache()).drop("created_timestamp")
     assert direct.dtypes == derived.dtypes
     assert sorted(map(str, direct.collect())) == sorted(map(str, derived.collect()))
-    if function is not statistics.product_statistics:
-        lent = function(table, base=statistics.activity(table), stats=statistics.product_statistics(table)).drop("created_timestamp")
-        assert sorted(map(str, direct.collect())) == sorted(map(str, lent.collect()))
+    lent = function(None, parts=statistics.product_parts(statistics.activity(table)).cache()).drop("created_timestamp")
+    assert sorted(map(str, direct.collect())) == sorted(map(str, lent.collect()))
 
 
 def plan_of(table):
     return table._jdf.queryExecution().executedPlan().toString()
 
 
-def test_events_are_grouped_once_and_not_copied(spark):
-    """The only operator over the events is the activity's aggregate; copies for distinct counts are made of its rows."""
+def test_no_row_is_copied_for_distinct_counts(spark):
     table = events(spark, ("1", "x", 1.0, "u", "s", "view", 1))
-    plan = plan_of(statistics.product_statistics(table))
-    assert plan.index("Expand") < plan.rindex("Exchange hashpartitioning")
-    last = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line][-1]
-    assert "user_id" in last and "user_session" in last
+    assert "Expand" not in plan_of(statistics.product_statistics(table))
     assert "Expand" not in plan_of(statistics.distinct_counts(table, "category_id", ("user_id", "product_id", "brand")))
 
 
+def test_categories_and_brands_come_from_product_rows_alone(spark):
+    parts = statistics.product_parts(statistics.activity(events(spark, ("1", "x", 1.0, "u", "s", "view", 1)))).cache()
+    for function in (statistics.category_statistics, statistics.brand_statistics):
+        plan = plan_of(function(None, parts=parts))
+        assert "user_id" not in plan.split("InMemoryTableScan")[0] and plan.count("InMemoryTableScan") == 1
+
+
+def test_users_are_counted_once_per_product_category_and_brand(spark):
+    rows = [
+        (str(i % 9), ("x", "y", "unknown", None)[i % 4], 1.0, None if i % 11 == 0 else f"u{i * 7 % 13}", f"s{i % 17}", "view", i % 24)
+        for i in range(400)
+    ]
+    table = events(spark, *rows).withColumn("category_id", F.when(F.col("product_id") > "2", F.col("product_id") % 2))
+    for function, keys in (
+        (statistics.product_statistics, schema.PRODUCT_KEYS), (statistics.category_statistics, statistics.CATEGORY_KEYS),
+        (statistics.brand_statistics, statistics.BRAND_KEYS),
+    ):
+        wanted = {}
+        for row in table.collect():
+            if function is not statistics.brand_statistics or row.brand not in (None, "unknown"):
+                wanted.setdefault(tuple(row[key] for key in keys), set()).add(row.user_id)
+        found = {tuple(row[key] for key in keys): row.unique_users for row in function(table).collect()}
+        assert found == {key: len(users - {None}) for key, users in wanted.items()}
+
+
 def test_hot_product_is_spread_before_it_is_counted(spark):
     """The shuffles of exact distinct counts key on the counted value too, not on the product alone."""
-    base = statistics.activity(events(spark, ("1", "x", 1.0, "u", "s", "view", 1))).cache()
-    plan = plan_of(statistics.product_statistics(None, base=base))
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert "user_id" in exchanges[1] and "user_session" in exchanges[1]
+    table = events(spark, ("1", "x", 1.0, "u", "s", "view", 1))
+    for found in (statistics.product_statistics(table), statistics.product_statistics(None, base=statistics.activity(table).cache())):
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(found))
+        assert any("product_id" in key and "user_session" in key for key in keys)
+        assert any("product_id" in key and "user_id" in key for key in keys)
 
 
 def test_mean_of_small_prices_and_of_large_sums(spark):

@@ -118,6 +118,15 @@ def test_console_shows_a_few_rows_of_each_batch(spark, tmp_path, capsys):
     assert shown.count("Batch: ") == 1 and sum(line.startswith("|") for line in shown.splitlines()) == 4
 
 
+def test_console_counts_all_rows_of_several_long_files(spark, tmp_path):
+    spark.range(20_000).repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id BIGINT").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    shown = []
+    stream_ingest.write_console(stream, str(tmp_path / "checkpoint"), rows=2, write=shown.append).awaitTermination()
+    counts = [int(text.removeprefix("Rows: ")) for text in shown if text.startswith("Rows: ")]
+    assert len(counts) == 2 and sum(counts) == 20_000 and min(counts) > 4096
+
+
 def test_replay_in_batches_of_a_thousand_rows(spark, tmp_path):
     rows = spark.range(3500).coalesce(1).select(F.lit("k").alias("key"), F.col("id").cast("string").alias("value"))
     records.publish_to_files(rows, str(tmp_path / "in"), rows_per_file=1000)
