@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from cartwright import schema
 from cartwright.functions import display, metrics
-from cartwright.operators.indexing import POSITION_BITS
-from cartwright.sources.scratch import materialize
+from cartwright.operators.indexing import numbered
 
 PAGE_SIZE = 12
 SMALL_PAGE_SIZE = 6  # screens under 768 pixels
+ROWS_PER_FILE = 100_000
 
 
 def catalogue(stats):
@@ -76,28 +76,42 @@ def page_count(products, size=PAGE_SIZE):
     )
 
 
-def numbered(products):
-    """The products with their 0-based place in key order; sorted by range and written once, nothing goes through one task.
+def page_folder(products, path, rows_per_file=ROWS_PER_FILE):
+    """Writes the catalogue once in key order for paging: `path`/rows, and beside it `path`/files with each file's first place.
 
-    `place` is the row's number in its sorted partition plus the rows of the partitions before it.
+    Rows are sorted by range and numbered by partition, so nothing goes through one task; a file holds at most
+    `rows_per_file` neighbouring rows.
     """
-    part, place = F.shiftright("spot", POSITION_BITS), F.col("spot").bitwiseAND((1 << POSITION_BITS) - 1)
-    ordered = products.orderBy(*_keys(products)).withColumn("spot", F.monotonically_increasing_id())
-    written = materialize(ordered, "catalogue").withColumn("part", part)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition.
-    offsets = written.groupBy("part").agg(F.count("*").alias("rows"))
-    offsets = offsets.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    return written.join(F.broadcast(offsets), "part").withColumn("place", F.col("offset") + place).select(*products.columns, "place")
+    spark = products.sparkSession
+    numbered(products.orderBy(*_keys(products)), "catalogue").write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/rows")
+    file = F.col("_metadata.file_path").alias("file")
+    rows = spark.read.parquet(f"{path}/rows").select(file, "place")
+    listed = rows.groupBy("file").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    listed.coalesce(1).write.parquet(f"{path}/files")
+
+
+def stored_page(spark, path, number=1, size=PAGE_SIZE):
+    """Page `number` of a written catalogue, clamped to the pages there are; reads the listing and the one or two files it lies in.
+
+    The listing has one row per file; only the rows of it that meet the page come to the driver, two at most for pages
+    no longer than a file.
+    """
+    files = spark.read.parquet(f"{path}/files")
+    rows = (files.agg(F.max("last")).first()[0] if number != 1 else None) or 0
+    number = min(max(int(number), 1), max(1, rows // size + 1)) if number != 1 else 1
+    first = (number - 1) * size
+    meeting = files.filter((F.col("first") < first + size) & (F.col("last") >= first)).select("file").collect()
+    table = spark.read.parquet(*sorted(row["file"] for row in meeting)) if meeting else spark.read.parquet(f"{path}/rows").limit(0)
+    return table.filter(F.col("place").between(first, first + size - 1)).orderBy("place").drop("place")
 
 
 def page(products, number=1, size=PAGE_SIZE):
-    """Page `number` of the catalogue in key order, clamped to the pages there are. A walk does better with `page_after`."""
+    """Page `number` of a catalogue that is not written for paging: sorts it whole. See `page_folder` and `page_after`."""
     pages = page_count(products, size).first()["pages"]
     number = min(max(int(number), 1), max(pages, 1))
     first = (number - 1) * size
-    shown = numbered(products).filter(F.col("place").between(first, first + size - 1))
-    return shown.orderBy("place").select(*products.columns)
+    placed = numbered(products.orderBy(*_keys(products)), "catalogue")
+    return placed.filter(F.col("place").between(first, first + size - 1)).orderBy("place").select(*products.columns)
 
 
 def page_after(products, last=None, size=PAGE_SIZE):

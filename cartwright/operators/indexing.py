@@ -8,32 +8,28 @@ from cartwright.sources.scratch import materialize
 POSITION_BITS = 33  # monotonically_increasing_id keeps the partition number above this bit
 
 
-def label_index(table, column, index):
-    """One row per label: the label and its 0-based position by falling frequency, then by label.
+def numbered(ordered, label):
+    """The rows of a sorted table with their 0-based `place`.
 
-    The sorted labels are written once with their position inside their own partition; partition sizes then turn that
-    into a global position. Writing first fixes which label sits in which partition, so a lost executor cannot shift
-    positions between the two steps. The offsets table has one row per partition.
+    The sorted rows are written once with their position inside their own partition; partition sizes then turn that
+    into a global place. Writing first fixes which row sits in which partition, so a lost executor cannot shift places
+    between the two steps. The offsets table has one row per partition.
     """
-    counts = table.groupBy(column).agg(F.count("*").alias("frequency"))
-    ordered = counts.orderBy(F.desc("frequency"), F.asc(column)).select(
-        column, F.monotonically_increasing_id().alias("place")
-    )
-    written = materialize(ordered, f"index-{column}").select(
-        column,
-        F.shiftright("place", POSITION_BITS).alias("part"),
-        F.col("place").bitwiseAND((1 << POSITION_BITS) - 1).alias("local"),
-    )
+    written = materialize(ordered.withColumn("spot", F.monotonically_increasing_id()), label)
+    written = written.withColumn("part", F.shiftright("spot", POSITION_BITS))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        written.groupBy("part")
-        .agg(F.count("*").alias("labels"))
-        .select("part", F.coalesce(F.sum("labels").over(before), F.lit(0)).alias("offset"))
-    )
+    offsets = written.groupBy("part").agg(F.count("*").alias("rows"))
+    offsets = offsets.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    local = F.col("spot").bitwiseAND((1 << POSITION_BITS) - 1)
+    return written.join(F.broadcast(offsets), "part").select(*ordered.columns, (F.col("offset") + local).alias("place"))
+
+
+def label_index(table, column, index):
+    """One row per label: the label and its 0-based position by falling frequency, then by label."""
+    counts = table.groupBy(column).agg(F.count("*").alias("frequency"))
+    placed = numbered(counts.orderBy(F.desc("frequency"), F.asc(column)), f"index-{column}")
     # MLlib needs 32-bit ids; the ANSI cast fails loudly beyond that.
-    return written.join(F.broadcast(offsets), "part").select(
-        column, (F.col("offset") + F.col("local")).cast("int").alias(index)
-    )
+    return placed.select(column, F.col("place").cast("int").alias(index))
 
 
 def dense_range(spark, size, name="user"):

@@ -186,6 +186,13 @@ def recommendations(spark, sf_dir):
     return scratch.materialize(table, "user_recommendations")
 
 
+@built_once
+def catalogue_pages(spark, sf_dir):
+    folder = scratch.scratch_path(spark, "pages")
+    catalog.page_folder(shop_catalogue(spark, sf_dir), folder)
+    return folder
+
+
 def shop_catalogue(spark, sf_dir):
     return catalog.catalogue(product_stats(spark, sf_dir))
 
@@ -945,7 +952,7 @@ def _(spark, sf_dir):
 
 @query("ui_page")
 def _(spark, sf_dir):
-    return catalog.page(shop_catalogue(spark, sf_dir), 3)
+    return catalog.stored_page(spark, catalogue_pages(spark, sf_dir), 3)
 
 
 @query("ui_top5")

@@ -85,16 +85,32 @@ def test_lists_hold_the_best_items_in_order(spark, size):
         assert len({item for item, _ in picks}) == len(picks) == min(size, len(items))
 
 
-def test_equal_ratings_go_by_item(spark):
-    class Model:
-        def setBlockSize(self, size):
-            return self
+class Factors:
+    def __init__(self, spark, users, items):
+        shape = "id INT, features ARRAY<FLOAT>"
+        self.userFactors, self.itemFactors = spark.createDataFrame(users, shape), spark.createDataFrame(items, shape)
 
-        def recommendForAllUsers(self, size):
-            shape = "user INT, recommendations ARRAY<STRUCT<item: INT, rating: FLOAT>>"
-            return spark.createDataFrame([(1, [(5, 1.0), (9, 2.0), (2, 1.0), (3, 2.0)])], shape)
 
-    assert lists(scoring.best_items(Model(), 4)) == {1: [(3, 2.0), (9, 2.0), (2, 1.0), (5, 1.0)]}
+def test_equal_ratings_go_by_item(spark):
+    model = Factors(spark, [(1, [1.0, 0.0])], [(5, [1.0, 9.0]), (9, [2.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 5.0]), (4, [0.5, 0.5])])
+    assert lists(scoring.best_items(model, 4)) == {1: [(3, 2.0), (9, 2.0), (2, 1.0), (5, 1.0)]}
+    assert scoring.best_items(Factors(spark, [(1, [1.0])], []), 4).count() == 0
+
+
+@pytest.mark.parametrize("skew", [0.0, 2.0])
+def test_waves_and_blocks_find_the_best_items(spark, monkeypatch, skew):
+    """Small blocks and waves, items of like or of very unlike length, ties included; users leave in different waves."""
+    for name, value in (("USER_BLOCK", 40), ("ITEM_BLOCK", 16), ("FIRST_WAVE", 20), ("GROWTH", 2), ("ROWS", 7), ("COLUMNS", 5)):
+        monkeypatch.setattr(scoring, name, value)
+    chance = np.random.default_rng(3)
+    users = chance.integers(-4, 5, (100, 4)) / 4
+    items = chance.integers(-4, 5, (300, 4)) / 4 * np.exp2(np.floor(-skew * np.log2(np.arange(1, 301))))[:, None]
+    model = Factors(spark, [(i, row.tolist()) for i, row in enumerate(users)], [(i * 3, row.tolist()) for i, row in enumerate(items)])
+    found = lists(scoring.best_items(model, 5))
+    scores = (users @ items.T).astype(np.float32)
+    for user in range(100):
+        order = np.lexsort((np.arange(300), -scores[user]))[:5]
+        assert found[user] == [(int(i) * 3, round(float(scores[user, i]), 5)) for i in order]
 
 
 def test_held_out_pairs_of_unknown_users_are_not_scored(spark):
