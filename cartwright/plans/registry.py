@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwright import schema
@@ -29,6 +30,8 @@ GIVEN_TABLES = (
 )
 #: Rows per file of message records, and files a paced replay takes at a time.
 FILE_ROWS, PACE = 5000, 2
+#: Blocks of items in the check of recommendations.
+CHECK_BLOCKS = 16
 SEARCH_TERM = "brand#1"
 SOME_ID = "1"
 
@@ -739,15 +742,31 @@ def _(spark, sf_dir):
     return factorization.rmse(scored).select(F.round("rmse", 6).alias("rmse"))
 
 
+def _product(left, right):
+    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def _near(left, right):
+    return F.abs(left - right) <= 1e-5 * F.greatest(F.lit(1.0), F.abs(left))
+
+
 def _true_scores(spark, sf_dir, flat):
-    """Whether each score is the product of the two factor rows, and whether no user has an item twice."""
+    """Whether each score is the product of the two factor rows; of every 50th user, also whether it is the best for its rank."""
     model = als_model(spark, sf_dir)
     users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("left"))
     items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("right"))
-    products = F.zip_with("left", "right", lambda a, b: a.cast("double") * b.cast("double"))
-    product = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-    right = F.abs(product - F.col("score")) <= 1e-5 * F.greatest(F.lit(1.0), F.abs(product))
-    return flat.join(users, "user").join(items, "item").withColumn("scored", right)
+    own = flat.join(users, "user").join(items, "item").withColumn("own", _product("left", "right")).drop("left", "right")
+
+    # The asked users against all items, in blocks of items.
+    asked = users.filter(F.col("user") % 50 == 0).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(CHECK_BLOCKS - 1))))
+    blocked = items.withColumn("block", F.pmod(F.hash("item"), F.lit(CHECK_BLOCKS)))
+    scored = asked.join(blocked, "block").select("user", _product("left", "right").alias("top"))
+    place = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("top")))
+    tops = scored.withColumn("rank", place).filter(F.col("rank") <= 10)
+    checked = own.join(tops, ["user", "rank"], "left")
+    best = F.coalesce(_near(F.col("top"), F.col("score")), F.col("user") % 50 != 0)
+    return checked.withColumn("scored", _near(F.col("own"), F.col("score")) & best)
 
 
 @query("ml_recommend_all")

@@ -240,3 +240,15 @@ def test_deep_pages_stay_distributed(spark):
         shown = catalog.page(table.repartition(7), number)
         assert [row.product_id for row in shown.collect()] == [row.product_id for row in wanted]
         assert "TakeOrdered" not in shown._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_pages_read_one_or_two_files(spark, tmp_path):
+    table = numbered(spark, 95)
+    catalog.page_folder(table.repartition(5), str(tmp_path / "pages"), rows_per_file=10)
+    catalog.page_folder(numbered(spark, 0), str(tmp_path / "empty"))
+    for size in (catalog.PAGE_SIZE, catalog.SMALL_PAGE_SIZE):
+        for number in (0, 1, 2, 5, 8, 16, 99):
+            shown = catalog.stored_page(spark, str(tmp_path / "pages"), number, size)
+            assert shown.collect() == catalog.page(table, number, size).collect() and shown.columns == table.columns
+            assert len(shown.inputFiles()) <= 3
+    assert catalog.stored_page(spark, str(tmp_path / "empty"), 4).count() == 0
