@@ -1,12 +1,13 @@
 """Phrases of two and three words that occur together more often than their parts would by chance, per language.
 
-1. Misra-Gries summaries find word pairs that hold a large part of all words.
-2. Every word starts a suffix of at most three words. Suffixes are routed by their two leading words to buckets (those of a
-   frequent pair by all three), after equal ones within a slice have been added up. A bucket travels as few compact rows.
+1. Misra-Gries summaries find words and word pairs that hold a large part of all words.
+2. Every word starts a suffix of at most three words. Suffixes are routed to buckets by their leading word, those of a frequent
+   word by two words and those of a frequent pair by all three, after equal ones within a slice have been added up. A bucket
+   travels as few compact rows.
 3. In its bucket, pointers to the suffixes are sorted by multikey three-way quicksort down to the third word. The size of an
    equal partition is the count of its phrase; a partition that cannot hold a phrase of LEAST occurrences is abandoned.
-   Counts of a pair that was split over buckets, and of a bucket beyond HELD suffixes (worked off in parts), are given
-   without a threshold and added up afterwards.
+   Counts of a word or pair that was split over buckets, and of a bucket beyond HELD suffixes (worked off in parts), are
+   given without a threshold and added up afterwards.
 4. Scores are joins on the counts, in decimals.
 """
 
@@ -25,10 +26,9 @@ DEPTH = 3
 #: Suffixes per bucket, and the most that a task sorts at once.
 BUCKET = 1 << 20
 HELD = 1 << 22
-#: Pairs with one suffix in HEAVY are found for certain; at most 1 / (1 / HEAVY - 1 / (COUNTERS + 1)) = 16,384 pairs are listed.
+#: Words and pairs with one suffix in HEAVY are found for certain; at most 1 / (1 / HEAVY - 1 / (COUNTERS + 1)) = 16,384 of each.
 HEAVY, COUNTERS = 8192, 16383
 _SLICE = 8 << 20
-_TALLIED = 200_000
 #: A full stop stands for every sign that ends a piece; the other white space is a space.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(ord(".") if byte in _ENDS else 32 if byte == 9 else byte for byte in range(256))
@@ -92,67 +92,82 @@ def _reduced(keys, counts, size):
     return keys, counts
 
 
-def pair_summaries(docs):
-    """pair (a hash; null in the one row of a task that holds its number of words) and a lower bound of its suffixes."""
+def prefix_summaries(docs):
+    """Per task, prefix hashes of one and two words with a lower bound of their suffixes, and the number of words of each lang.
+
+    Columns: level (0 for the numbers of words), lang (at level 0 alone), prefix, least.
+    """
 
     def run(batches):
-        keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        kept = {level: (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for level in (1, 2)}
+        totals = {}
         for batch in frames.bounded(batches, _SLICE):
             for lang, texts in _by_lang(batch).items():
                 part = _Suffixes(lang, texts)
-                keys = np.concatenate([keys, part.route(2)])
-                keys, counts = _reduced(keys, np.concatenate([counts, part.counts]), COUNTERS)
-                total += int(part.counts.sum())
-        pairs = pa.array([None, *keys.view(np.int64).tolist()], pa.int64())
-        yield frames.record({"pair": pairs, "least": pa.array([total, *counts.tolist()], pa.int64())})
-
-    return frames.map_arrow(docs, run, "pair bigint, least bigint")
-
-
-def _heavy_pairs(docs, bucket):
-    """(number of words, sorted hashes of the pairs to be split)."""
-    sums = materialize(pair_summaries(docs).groupBy("pair").agg(F.sum("least").alias("least")), "pairs")
-    total = sums.filter("pair IS NULL").agg(F.sum("least")).first()[0] or 0
+                totals[lang] = totals.get(lang, 0) + int(part.counts.sum())
+                for level, (keys, counts) in kept.items():
+                    keys = np.concatenate([keys, part.route(level)])
+                    kept[level] = _reduced(keys, np.concatenate([counts, part.counts]), COUNTERS)
+        columns = {"level": [0] * len(totals), "lang": list(totals), "prefix": [None] * len(totals), "least": list(totals.values())}
+        for level, (keys, counts) in kept.items():
+            columns["level"] += [level] * len(keys)
+            columns["lang"] += [None] * len(keys)
+            columns["prefix"] += keys.view(np.int64).tolist()
+            columns["least"] += counts.tolist()
+        kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
+        yield frames.record({name: pa.array(column, kind) for (name, column), kind in zip(columns.items(), kinds, strict=True)})
+
+    found = frames.map_arrow(docs, run, "level int, lang string, prefix bigint, least bigint")
+    return found.groupBy("level", "lang", "prefix").agg(F.sum("least").alias("least"))
+
+
+def heavy_prefixes(summaries, bucket):
+    """(number of words, sorted hashes of the words, of the pairs) that are to be split."""
+    total = summaries.filter("level = 0").agg(F.sum("least")).first()[0] or 0
     least = max(bucket // 64, total / HEAVY - total / (COUNTERS + 1))
-    found = [row.pair for row in sums.filter(F.col("pair").isNotNull() & (F.col("least") >= least)).collect()]
-    return total, np.sort(np.array(found, np.int64).view(np.uint64))
+    found = summaries.filter((F.col("level") > 0) & (F.col("least") >= least)).collect()
+    lists = (np.array([row.prefix for row in found if row.level == level], np.int64) for level in (1, 2))
+    return total, *(np.sort(one.view(np.uint64)) for one in lists)
 
 
-_BUCKET = "lang string, bucket bigint, split boolean, words binary, codes binary, counts binary, size int"
+_BUCKET = "lang string, bucket bigint, split int, words binary, codes binary, counts binary, size int"
 
 
-def route_suffixes(docs, heavy, buckets):
-    """The suffixes of each slice, one row per bucket: the words of it, and suffixes as codes of these words."""
+def route_suffixes(docs, heavy_words, heavy_pairs, buckets):
+    """The suffixes of each slice, one row per bucket: the words of it, and suffixes as codes of these words.
+
+    `split` is the number of leading words whose partitions lie in several buckets.
+    """
 
     def run(batches):
         for batch in frames.bounded(batches, _SLICE):
             out = {name: [] for name in ("lang", "bucket", "split", "words", "codes", "counts", "size")}
             for lang, texts in _by_lang(batch).items():
                 part = _Suffixes(lang, texts)
-                pair = part.route(2)
-                split = np.isin(pair, heavy)
-                route = np.where(split, part.route(3), pair)
-                bucket = (route % np.uint64(buckets)).astype(np.int64) * 2 + split
+                word, pair = part.route(1), part.route(2)
+                split = np.isin(word, heavy_words).astype(np.int64)
+                split += (split > 0) & np.isin(pair, heavy_pairs)
+                route = np.choose(split, [word, pair, part.route(DEPTH)])
+                bucket = (route % np.uint64(buckets)).astype(np.int64) * DEPTH + split
                 order = np.argsort(bucket, kind="stable")
-                bucket = bucket[order]
-                ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket)) if len(bucket) else []
-                begin = 0
+                bucket, codes, counts = bucket[order], part.codes[:, order], part.counts[order]
+                ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket)).tolist() if len(bucket) else []
+                names, begin = part.words.to_pylist(), 0
                 for end in ends:
-                    mine = order[begin:end]
-                    used, codes = np.unique(part.codes[:, mine], return_inverse=True)
-                    codes = codes.reshape(DEPTH, -1)
+                    used, own = np.unique(codes[:, begin:end], return_inverse=True)
+                    own = own.reshape(DEPTH, -1)
                     if used[0] < 0:
-                        used, codes = used[1:], codes - 1
-                    counts = part.counts[mine]
+                        used, own = used[1:], own - 1
+                    many = counts[begin:end]
                     out["lang"].append(lang)
-                    out["bucket"].append(int(bucket[begin]) // 2)
-                    out["split"].append(bool(bucket[begin] % 2))
-                    out["words"].append(b" ".join(part.words.take(pa.array(used)).to_pylist()))
-                    out["codes"].append(codes.astype("<i2" if len(used) < 1 << 15 else "<i4").tobytes())
-                    out["counts"].append(b"" if counts.max() == 1 else counts.astype("<i8").tobytes())
+                    out["bucket"].append(int(bucket[begin]) // DEPTH)
+                    out["split"].append(int(bucket[begin]) % DEPTH)
+                    out["words"].append(b" ".join([names[code] for code in used.tolist()]))
+                    out["codes"].append(own.astype("<i2" if len(used) < 1 << 15 else "<i4").tobytes())
+                    out["counts"].append(b"" if many.max() == 1 else many.astype("<i8").tobytes())
                     out["size"].append(end - begin)
                     begin = end
-            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
             yield frames.record({name: pa.array(column, kind) for (name, column), kind in zip(out.items(), kinds, strict=True)})
 
     return frames.map_arrow(docs, run, _BUCKET)
@@ -161,111 +176,109 @@ def route_suffixes(docs, heavy, buckets):
 def equal_partitions(codes, counts, least):
     """Multikey three-way quicksort of pointers to the columns of `codes` (one row per depth; below 0: the suffix ended before).
 
-    Gives (a pointer, length, count) of every prefix of one word and more that occurs at least `least[length - 1]` times.
+    Gives rows (a pointer, length, count) of every prefix of one word and more that occurs at least `least[length - 1]` times.
+    All partitions at hand are split at once around the median of three of their keys; equal keys go one word deeper.
     Partitions that cannot hold a prefix with the least count of their own or any deeper level are abandoned unsorted.
     """
-    depth = len(codes)
-    enough = [min(least[level:]) for level in range(depth)]
-    found = []
-    stack = [(np.arange(codes.shape[1]), 0)]
-    while stack:
-        pointers, level = stack.pop()
-        if not len(pointers) or (enough[level] > 1 and counts[pointers].sum() < enough[level]):
-            continue
-        key = codes[level][pointers]
-        pivot = np.sort(key[[0, len(key) // 2, -1]])[1]
-        equal = key == pivot
-        same = pointers[equal]
-        if len(same) < len(pointers):
-            stack.append((pointers[key < pivot], level))
-            stack.append((pointers[key > pivot], level))
-        size = int(counts[same].sum())
-        if size >= least[level]:
-            found.append((int(same[0]), level + 1, size))
-        if level + 1 < depth and size >= enough[level + 1]:
-            stack.append((same[codes[level + 1][same] >= 0], level + 1))
-    return found
+    depth, least = len(codes), np.asarray(least)
+    enough = np.minimum.accumulate(least[::-1])[::-1]
+    pointers, starts, level = np.arange(codes.shape[1]), np.array([0, codes.shape[1]]), np.zeros(1, np.int64)
+    found = [np.zeros((3, 0), np.int64)]
+    while len(pointers):
+        segment = np.repeat(np.arange(len(level)), np.diff(starts))
+        key = codes[level[segment], pointers]
+        first, last = starts[:-1], starts[1:] - 1
+        middle = (first + last) // 2
+        low, high, other = np.minimum(key[first], key[middle]), np.maximum(key[first], key[middle]), key[last]
+        pivot = np.maximum(low, np.minimum(high, other))
+        sample = np.where(key[first] == pivot, first, np.where(key[middle] == pivot, middle, last))
+        side = (key >= pivot[segment]).astype(np.int8) + (key > pivot[segment])
+        child = segment * 3 + side
+        sums = np.bincount(child, counts[pointers], 3 * len(level)).astype(np.int64)
+        equal = sums[1::3]
+        often = equal >= least[level]
+        found.append(np.stack([pointers[sample[often]], level[often] + 1, equal[often]]))
+
+        below = np.repeat(level, 3)
+        below[1::3] += 1
+        active = (below < depth) & (sums >= np.maximum(1, enough[np.minimum(below, depth - 1)]))
+        stay = active[child]
+        deeper = np.flatnonzero(stay & (side == 1))
+        stay[deeper] = codes[below[child[deeper]], pointers[deeper]] >= 0
+        pointers, segment, side, child = pointers[stay], segment[stay], side[stay], child[stay]
+        sizes = np.bincount(child, minlength=len(below))
+        begins = np.cumsum(sizes) - sizes
+        moved = np.empty_like(pointers)
+        for one in range(3):
+            mine = np.flatnonzero(side == one)
+            shift = begins[one::3] - (np.cumsum(sizes[one::3]) - sizes[one::3])
+            moved[shift[segment[mine]] + np.arange(len(mine))] = pointers[mine]
+        used = sizes > 0
+        pointers, level, starts = moved, below[used], np.append(0, np.cumsum(sizes[used]))
+    return np.concatenate(found, axis=1).T
 
 
 class _Bucket:
     """The suffixes of one bucket, put together from its rows."""
 
     def __init__(self):
-        self.words, self.codes, self.counts, self.size = [], [], [], 0
+        self.words, self.codes, self.counts, self.size, self.held = [], [], [], 0, 0
 
     def add(self, words, codes, counts, size):
         words = words.split(b" ")
         wide = "<i2" if len(words) < 1 << 15 else "<i4"
         own = np.frombuffer(codes, wide).astype(np.int64).reshape(DEPTH, -1)
-        offset = sum(map(len, self.words))
+        offset = self.held
+        self.held += len(words)
         self.words.append(words)
         self.codes.append(np.where(own < 0, -1, own + offset))
         self.counts.append(np.frombuffer(counts, "<i8") if counts else np.ones(size, np.int64))
         self.size += size
 
-    def sorted_counts(self, least):
-        """(phrase as three words, None where shorter; count) and the words' own counts."""
+    def phrases(self, lang, least):
+        """lang, w1, w2, w3 and count of the phrases with at least the count that `least` asks of their length."""
         coded = pa.array([word for words in self.words for word in words], pa.binary()).dictionary_encode()
-        names = coded.dictionary.to_pylist()
         place = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), -1)
         codes, counts = place[np.concatenate(self.codes, axis=1)], np.concatenate(self.counts)
-        single = np.zeros(len(names), np.int64)
-        np.add.at(single, codes[0], counts)
-        phrases = []
-        for pointer, length, count in equal_partitions(codes, counts, [1 << 62, *least]):
-            words = [names[code] for code in codes[:length, pointer]]
-            phrases.append((*words, *[None] * (DEPTH - length), count))
-        first = np.flatnonzero(single)
-        return phrases, [(names[i], n) for i, n in zip(first.tolist(), single[first].tolist(), strict=True)]
+        found = equal_partitions(codes, counts, least)
+        names = coded.dictionary.cast(pa.string())
+        columns = {"lang": pa.repeat(pa.scalar(lang, pa.string()), len(found))}
+        for level in range(DEPTH):
+            within = found[:, 1] > level
+            columns[f"w{level + 1}"] = names.take(pa.array(np.where(within, codes[level][found[:, 0]], 0), mask=~within))
+        columns["count"] = pa.array(np.ascontiguousarray(found[:, 2]))
+        return frames.record(columns)
 
 
 _COUNTED = "lang string, w1 string, w2 string, w3 string, count bigint"
 
 
 def count_phrases(routed, least, held):
-    """Counts of words (in parts), and of the pairs and triples with at least `least` (those of split pairs in parts as well)."""
-    ordered = routed.repartition("lang", "bucket", "split").sortWithinPartitions("lang", "bucket", "split")
-
-    def table(lang, rows):
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        texts = [pa.array(column, pa.binary()).cast(pa.string()) for column in columns[:3]]
-        names = pa.repeat(pa.scalar(lang, pa.string()), len(texts[0]))
-        return frames.record({"lang": names, "w1": texts[0], "w2": texts[1], "w3": texts[2], "count": pa.array(columns[3], pa.int64())})
+    """Counts of words, pairs and triples with at least `least`; of those split over buckets, parts without a threshold."""
+    keys = ("lang", "bucket", "split")
+    ordered = routed.repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        key, bucket, in_parts, tally = None, _Bucket(), False, {}
+        key, bucket, in_parts = None, _Bucket(), False
 
         def sort():
-            split = key[2]
-            bounds = [1, 1] if in_parts else [1 if split else least, least]
-            phrases, words = bucket.sorted_counts(bounds)
-            for word, count in words:
-                tally[word] = tally.get(word, 0) + count
-            return table(key[0], phrases)
-
-        def tallied():
-            rows = table(key[0], [(word, None, None, count) for word, count in tally.items()])
-            tally.clear()
-            return rows
+            whole = DEPTH if in_parts else key[2]
+            return bucket.phrases(key[0], [1] * whole + [least] * (DEPTH - whole))
 
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, number, split, *content = (column[row].as_py() for column in batch.columns)
-                if (lang, number, split) != key:
+                *own, words, codes, counts, size = (column[row].as_py() for column in batch.columns)
+                if own != key:
                     if bucket.size:
                         yield sort()
-                    if key and (lang != key[0] or len(tally) > _TALLIED):
-                        yield tallied()
-                    key, bucket, in_parts = (lang, number, split), _Bucket(), False
-                if bucket.size + content[3] > held and bucket.size:
+                    key, bucket, in_parts = own, _Bucket(), False
+                if bucket.size and bucket.size + size > held:
                     in_parts = True
                     yield sort()
                     bucket = _Bucket()
-                bucket.add(*content)
+                bucket.add(words, codes, counts, size)
         if bucket.size:
             yield sort()
-        if key:
-            yield tallied()
 
     return frames.map_arrow(ordered, run, _COUNTED)
 
@@ -286,14 +299,14 @@ def collocations(docs, least=LEAST, first=FIRST, bucket=BUCKET, held=HELD):
     """
     spark = docs.sparkSession
     plain = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
-    total, heavy = _heavy_pairs(plain, bucket)
+    summaries = materialize(prefix_summaries(plain), "prefixes")
+    total, *heavy = heavy_prefixes(summaries, bucket)
     # More buckets than partitions, so that the hash deals them evenly.
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket))
-    parts = materialize(count_phrases(route_suffixes(plain, heavy, buckets), least, held), "parts")
-
-    sizes = parts.filter("w2 IS NULL").groupBy("lang").agg(F.sum("count").alias("n"))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket))
+    parts = count_phrases(route_suffixes(plain, *heavy, buckets), least, held)
     counted = parts.groupBy("lang", "w1", "w2", "w3").agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
     counted = materialize(counted, "counted")
+    sizes = summaries.filter("level = 0").select("lang", F.col("least").alias("n"))
     words = counted.filter("w2 IS NULL").select("lang", F.col("w1").alias("word"), "f")
     pairs = counted.filter("w2 IS NOT NULL AND w3 IS NULL").select("lang", "w1", "w2", "f")
     triples = counted.filter("w3 IS NOT NULL").select("lang", "w1", "w2", "w3", F.col("f").alias("a"))
