@@ -6,10 +6,11 @@
 3. A second pass counts again: shards are broadcast in waves of at most WAVE_BYTES (one pass per wave, one wave for some
    million terms), a word's slot is verified against the stored key, and a dense array of slots per group is incremented.
    A task holds at most DENSE_SLOTS slots and hands its sums on when that is reached.
-4. Pairs of sources are compared on blocks of 4,096 slots by up to 2 * BLOCK sources as dense matrices, so neither a frequent term nor
-   a large language is one task's work, and no pair of rows is ever emitted.
+4. Sums stay one row per group and shard: its slots that are not zero. Pairs of sources are compared as dense matrices, a shard
+   and two blocks of BLOCK sources at a time, so neither a frequent term nor a large language is one task's work and no
+   pair of rows is ever emitted.
 
-Shares are whole numbers of billionths and every step is integer arithmetic (decimals where 64 bits may not do).
+Shares are whole numbers of billionths and every step is integer arithmetic (Python's own where 64 bits may not do).
 """
 
 import zlib
@@ -27,11 +28,10 @@ TOP_TERMS = 200
 SHARD_BYTES = 1 << 19
 WAVE_BYTES = 64 << 20
 DENSE_SLOTS = 24 << 20
-BLOCK = 128
+#: Sources per block, slots compared at once, and tasks whose sums are added up together.
+BLOCK, CHUNK, MERGED = 64, 4096, 64
 _TERM_OVERHEAD = 16
 _SLICE = 4 << 20
-#: A slot is a shard's number and a place in it; a chunk is 4,096 neighbouring slots.
-_PLACE_BITS, _CHUNK_BITS = 32, 12
 _BLANKED = bytes(byte if byte >= 128 or chr(byte).isalpha() else 32 for byte in range(256))
 
 
@@ -131,20 +131,6 @@ def build_shards(kept):
     return frames.map_arrow(dealt, run, _SHARD)
 
 
-def named_slots(shards):
-    """lang, slot, term of every kept term."""
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                terms = row["terms"].split(b"\n")
-                slots = (row["shard"] << _PLACE_BITS) + np.arange(len(terms))
-                lang = pa.repeat(pa.scalar(row["lang"], pa.string()), len(terms))
-                yield frames.record({"lang": lang, "slot": pa.array(slots, pa.int64()), "term": pa.array(terms, pa.binary()).cast(pa.string())})
-
-    return frames.map_arrow(shards, run, "lang string, slot bigint, term string")
-
-
 def waves(shards, limit):
     """The shards with the number of their wave, and the number of waves. No wave of several shards exceeds the limit."""
     size = F.octet_length("terms") + F.octet_length("displacements")
@@ -194,19 +180,27 @@ def _opened_once(key, rows):
     return _opened[key]
 
 
+_SPARSE = "lang string, source string, shard bigint, size bigint, places binary, counts binary, total bigint"
+
+
+def _sparse(lang, source, shard, slots):
+    """One row: the slots of a shard that are not zero."""
+    used = np.flatnonzero(slots)
+    return frames.record(
+        {
+            "lang": pa.array([lang], pa.string()), "source": pa.array([source], pa.string()), "shard": pa.array([shard], pa.int64()),
+            "size": pa.array([len(slots)], pa.int64()), "places": pa.array([used.astype("<i4").tobytes()], pa.binary()),
+            "counts": pa.array([slots[used].astype("<i8").tobytes()], pa.binary()), "total": pa.array([int(slots.sum())], pa.int64()),
+        }
+    )
+
+
 def recount(docs, key, rows):
-    """lang, source, slot, count of the terms of one wave, summed per task; `rows` is the broadcast wave."""
+    """Dense counts of the terms of one wave per task, group and shard; `rows` is the broadcast wave."""
 
     def flushed(dense):
-        for (lang, source, shard), slots in dense.items():
-            used = np.flatnonzero(slots)
-            yield frames.record(
-                {
-                    "lang": pa.repeat(pa.scalar(lang, pa.string()), len(used)),
-                    "source": pa.repeat(pa.scalar(source, pa.string()), len(used)),
-                    "slot": pa.array((shard << _PLACE_BITS) + used, pa.int64()), "count": pa.array(slots[used], pa.int64()),
-                }
-            )
+        for name, slots in dense.items():
+            yield _sparse(*name, slots)
 
     def run(batches):
         hashes = _opened_once(key, rows)
@@ -237,68 +231,121 @@ def recount(docs, key, rows):
                         dense[name][places[here]] += count[begins[number] : begins[number + 1]][here]
         yield from flushed(dense)
 
-    return frames.map_arrow(docs.select("text", "lang", "source"), run, "lang string, source string, slot bigint, count bigint")
+    return frames.map_arrow(docs.select("text", "lang", "source"), run, _SPARSE)
+
 
+def merged(counts, *keys):
+    """Rows of equal keys added up, one shard in memory at a time; the keys hold lang and shard, and source or not."""
+    named = "source" in keys
+    columns = _SPARSE.replace("string", "").replace("bigint", "").replace("binary", "").replace(" ", "").split(",")
+    ordered = counts.repartition(*keys).sortWithinPartitions(*keys).select(*columns, *[key for key in keys if key not in columns])
+    places = [columns.index(key) if key in columns else len(columns) for key in keys]
 
-def _share(count, total, terms):
-    """1 + floor(10^9 * (count + 1) / (total + terms)), in decimals: counts of 10^10 and more are exact."""
-    product = f"cast(1000000000 AS decimal(10, 0)) * (cast({count} AS decimal(19, 0)) + 1)"
-    return F.expr(f"1 + ({product}) div cast({total} + {terms} AS decimal(20, 0))")
+    def run(batches):
+        key, name, slots = None, None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own = tuple(batch.column(place)[row].as_py() for place in places)
+                lang, source, shard, size, place, count, _ = (batch.column(i)[row].as_py() for i in range(len(columns)))
+                if own != key:
+                    if key is not None:
+                        yield _sparse(*name, slots)
+                    key, name, slots = own, (lang, source if named else None, shard), np.zeros(size, np.int64)
+                slots[np.frombuffer(place, "<i4")] += np.frombuffer(count, "<i8")
+        if key is not None:
+            yield _sparse(*name, slots)
+
+    return frames.map_arrow(ordered, run, _SPARSE)
+
+
+def _dense(size, places, counts):
+    slots = np.zeros(size, np.int64)
+    if places:
+        slots[np.frombuffer(places, "<i4")] = np.frombuffer(counts, "<i8")
+    return slots
+
+
+def shares(counts, total, kept):
+    """1 + floor(10^9 * (count + 1) / (total + kept)) as 64-bit integers, exact for counts of any size."""
+    if len(counts) and int(counts.max()) >= 9 * 10**9:
+        return np.array([1 + 10**9 * (count + 1) // (total + kept) for count in counts.tolist()], np.int64)
+    return 1 + 10**9 * (counts + 1) // (total + kept)
 
 
 def _pair_sums(counts, groups, shards):
     """lang, a, b (numbers of sources) and the sum over all kept terms of floor((p_a - p_b)^2 / p_b)."""
-    blocks = F.expr(f"sequence(0L, cast((sources - 1) div {BLOCK} AS bigint))")
-
-    def dealt(rows):
-        """Rows copied to each pair of blocks of sources in which their own block takes part."""
-        own = F.expr(f"number div {BLOCK}")
-        spread = rows.withColumn("other", F.explode(blocks)).withColumn("own", own)
-        ends = spread.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        return ends.select("lang", "low", "high", "chunk", "number", "place", "terms", "p")
-
-    seen = counts.join(groups, ["lang", "source"]).select(
-        "lang", F.shiftright("slot", _CHUNK_BITS).alias("chunk"), "number", "sources",
-        (F.col("slot").bitwiseAND(F.lit((1 << _CHUNK_BITS) - 1))).cast("int").alias("place"),
-        F.lit(None).cast("bigint").alias("terms"), _share("count", "total", "kept").alias("p"),
-    )
-    wide = 1 << _CHUNK_BITS
-    chunks = shards.select(
-        "lang", "shard", "size", F.explode(F.expr(f"sequence(0L, (size - 1) div {wide})")).alias("step")
-    ).select(
-        "lang", ((F.shiftleft("shard", _PLACE_BITS - _CHUNK_BITS)) + F.col("step")).alias("chunk"),
-        F.least(F.lit(wide), F.col("size") - F.col("step") * wide).cast("bigint").alias("terms"),
-    )
-    unseen = chunks.join(groups.filter("kept > 0"), "lang").select(
-        "lang", "chunk", "number", "sources", F.lit(None).cast("int").alias("place"), "terms", _share("0", "total", "kept").alias("p")
+    rows = groups.filter("kept > 0").join(shards.select("lang", "shard", "size"), "lang")
+    rows = rows.join(counts.select("lang", "source", "shard", "places", "counts"), ["lang", "source", "shard"], "left")
+    # Rows go to each pair of blocks of sources in which their own block takes part.
+    other = F.explode(F.expr(f"sequence(0L, cast((sources - 1) div {BLOCK} AS bigint))"))
+    dealt = rows.withColumn("other", other).withColumn("own", F.expr(f"number div {BLOCK}")).select(
+        "lang", "shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "number", "size", "places", "counts", "total", "kept",
     )
 
     def compare(key, table):
-        lang, low, high = key[0], key[1].as_py(), key[2].as_py()
-        number, place = table.column("number").to_numpy(), table.column("place")
-        share = table.column("p").to_numpy()
-        rest = place.is_null().to_numpy(zero_copy_only=False)
-        order = np.argsort(number[rest], kind="stable")
-        names = number[rest][order]
-        terms = table.column("terms").filter(pa.array(rest))[0].as_py()
-        shares = np.repeat(share[rest][order][:, None], terms, axis=1)
-        known = ~rest
-        row = np.searchsorted(names, number[known])
-        shares[row, place.filter(pa.array(known)).to_numpy()] = share[known]
+        lang, low, high = key[0], key[2].as_py(), key[3].as_py()
+        found = table.sort_by("number").select(["number", "size", "places", "counts", "total", "kept"]).to_pylist()
+        names = np.array([row["number"] for row in found])
+        sums = np.zeros((len(found), len(found)), np.int64)
+        held = [shares(_dense(row["size"], row["places"], row["counts"]), row["total"], row["kept"]) for row in found]
+        for begin in range(0, len(held[0]), CHUNK):
+            share = np.stack([one[begin : begin + CHUNK] for one in held])
+            for other in range(len(found)):
+                gap = share - share[other]
+                sums[:, other] += (gap * gap // share[other]).sum(axis=1)
         block = names // BLOCK
-        sums = np.empty((len(names), len(names)), np.int64)
-        for other in range(len(names)):
-            gap = shares - shares[other]
-            sums[:, other] = (gap * gap // shares[other]).sum(axis=1)
         a, b = np.nonzero((low == high) | (block[:, None] != block[None, :]))
         return pa.table({"lang": pa.repeat(lang, len(a)), "a": names[a], "b": names[b], "value": sums[a, b]})
 
     frames.ship(counts.sparkSession)
-    together = dealt(seen).unionByName(dealt(unseen)).groupBy("lang", "low", "high", "chunk")
-    parts = together.applyInArrow(compare, "lang string, a bigint, b bigint, value bigint")
+    parts = dealt.groupBy("lang", "shard", "low", "high").applyInArrow(compare, "lang string, a bigint, b bigint, value bigint")
     return parts.filter("a <> b").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
+def _term_candidates(counts, groups, shards, top):
+    """lang, source, item, value: of each group and shard the first `top` terms that the group uses more than its lang.
+
+    A task walks over the groups of one shard of a lang with the lang's own counts at hand; langs of many sources are dealt to
+    several tasks per shard, each with a copy of those.
+    """
+    whole = merged(counts, "lang", "shard").join(shards.select("lang", "shard", "terms"), ["lang", "shard"])
+    whole = whole.join(groups.select("lang", "kept", "lang_total", F.expr(f"(sources - 1) div {BLOCK}").alias("last")).distinct(), "lang")
+    copies = whole.select(
+        "lang", "shard", F.explode(F.expr("sequence(0L, last)")).alias("deal"), F.lit(None).cast("string").alias("source"),
+        "size", "places", "counts", "terms", F.col("lang_total").alias("total"), "kept",
+    )
+    own = counts.drop("total").join(groups, ["lang", "source"]).select(
+        "lang", "shard", F.expr(f"number div {BLOCK}").alias("deal"), "source", "size", "places", "counts",
+        F.lit(None).cast("binary").alias("terms"), "total", "kept",
+    )
+    dealt = copies.unionByName(own).repartition("lang", "shard", "deal").sortWithinPartitions("lang", "shard", "deal", "source")
+
+    def run(batches):
+        terms = share = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, _, _, source, size, places, counts, stored, total, kept = (column[row].as_py() for column in batch.columns)
+                if source is None:
+                    # Nulls sort first: the lang's own row opens each group.
+                    terms, share = stored.split(b"\n"), shares(_dense(size, places, counts), total, kept)
+                    continue
+                mine = np.frombuffer(places, "<i4")
+                p, q = shares(np.frombuffer(counts, "<i8"), total, kept), share[mine]
+                value = np.where(p > q, (p - q) * (p - q) // q, -1)
+                if len(value) > top:
+                    # Every term that ties with the last place stays for the exact order afterwards.
+                    value[value < np.partition(value, len(value) - top)[len(value) - top]] = -1
+                best = np.flatnonzero(value >= 0)
+                if not len(best):
+                    continue
+                names = pa.array([terms[i] for i in mine[best].tolist()], pa.binary()).cast(pa.string())
+                both = (pa.repeat(pa.scalar(text, pa.string()), len(best)) for text in (lang, source))
+                yield pa.RecordBatch.from_arrays([*both, names, pa.array(value[best])], names=["lang", "source", "item", "value"])
+
+    return frames.map_arrow(dealt, run, "lang string, source string, item string, value bigint")
+
+
 def audit(docs, least_docs=LEAST_DOCS, top_terms=TOP_TERMS):
     """lang, source, part (pair or term), item, value, rank: see the module's docstring.
 
@@ -312,20 +359,20 @@ def audit(docs, least_docs=LEAST_DOCS, top_terms=TOP_TERMS):
     kept = document_counts(plain).filter(F.col("docs") >= least_docs)
     shards = materialize(build_shards(kept), "shards")
     placed, count = waves(shards, WAVE_BYTES)
-    counted = []
+    counts = spark.createDataFrame([], _SPARSE)
     for wave in range(count):
         rows = placed.filter(F.col("wave") == wave).drop("wave", "size").collect()
         if rows:
             sent = spark.sparkContext.broadcast([row.asDict() for row in rows])
             found = recount(plain, f"{spark.sparkContext.applicationId}-{sent._jbroadcast.id()}", sent)
-            counted.append(materialize(found.groupBy("lang", "source", "slot").agg(F.sum("count").alias("count")), "recounted"))
+            # Sums of MERGED tasks at a time first, so that no task adds up a group's rows of all tasks.
+            found = found.withColumn("part", F.expr(f"spark_partition_id() div {MERGED}"))
+            found = materialize(merged(merged(found, "lang", "source", "shard", "part"), "lang", "source", "shard"), "recounted")
+            counts = counts.unionByName(found) if wave else found
             sent.unpersist()
-    counts = spark.createDataFrame([], "lang string, source string, slot bigint, count bigint")
-    for table in counted:
-        counts = table if table is counted[0] else counts.unionByName(table)
 
     by_lang, by_group = Window.partitionBy("lang"), ["lang", "source"]
-    totals = counts.groupBy(*by_group).agg(F.sum("count").alias("total"))
+    totals = counts.groupBy(*by_group).agg(F.sum("total").alias("total"))
     vocabulary = shards.groupBy("lang").agg(F.sum("size").alias("kept"))
     groups = plain.select(*by_group).distinct().join(totals, by_group, "left").join(vocabulary, "lang", "left").fillna(0, ["total", "kept"])
     numbered = F.row_number().over(by_lang.orderBy("source")).cast("bigint") - 1
@@ -342,13 +389,7 @@ def audit(docs, least_docs=LEAST_DOCS, top_terms=TOP_TERMS):
     pairs = left.join(right, "lang").filter("a <> b").join(sums, ["lang", "a", "b"], "left")
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value"))
 
-    usage = counts.groupBy("lang", "slot").agg(F.sum("count").alias("lang_count")).join(named_slots(shards), ["lang", "slot"])
-    terms = counts.join(groups, by_group).join(usage, ["lang", "slot"])
-    terms = terms.withColumns({"p": _share("count", "total", "kept"), "q": _share("lang_count", "lang_total", "kept")})
-    terms = terms.filter("p > q").select(
-        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("(p - q) * (p - q) div q").alias("value")
-    )
-    order = Window.partitionBy(*by_group).orderBy(F.desc("value"), "item")
-    ranked = F.row_number().over(order)
+    terms = _term_candidates(counts, groups, shards, top_terms).select("lang", "source", F.lit("term").alias("part"), "item", "value")
+    ranked = F.row_number().over(Window.partitionBy(*by_group).orderBy(F.desc("value"), "item"))
     terms = terms.withColumn("rank", ranked).filter(F.col("rank") <= top_terms)
     return pairs.withColumn("rank", ranked).unionByName(terms)

@@ -99,7 +99,8 @@ def test_audit_in_small_shards_waves_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(divergence_audit, "WAVE_BYTES", 300)
     monkeypatch.setattr(divergence_audit, "DENSE_SLOTS", 40)
     monkeypatch.setattr(divergence_audit, "BLOCK", 2)
-    monkeypatch.setattr(divergence_audit, "_CHUNK_BITS", 2)
+    monkeypatch.setattr(divergence_audit, "CHUNK", 3)
+    monkeypatch.setattr(divergence_audit, "MERGED", 2)
     rows = mixed(2, 120, sources=tuple("abcde"), langs=("en", "de"))
     assert edge.rows(divergence_audit.audit(table(spark, rows), top_terms=5), *AUDITED) == brute_audit(rows, top=5)
 
@@ -113,11 +114,17 @@ def test_waves_hold_their_bound(spark):
         placed, count = divergence_audit.waves(shards, 1500)
         per_wave = placed.selectExpr("wave", "octet_length(terms) + octet_length(displacements) AS b").groupBy("wave").agg({"b": "sum", "*": "count"})
         assert count > 1 and all(row["sum(b)"] <= 1500 or row["count(1)"] == 1 for row in per_wave.collect())
-        assert divergence_audit.named_slots(shards).select("slot").distinct().count() == 400
+        assert {term for row in shards.collect() for term in row.terms.split(b"\n")} == {f"term{i}".encode() for i in range(400)}
     finally:
         divergence_audit.SHARD_BYTES = size
 
 
+def test_shares_of_very_large_counts_are_exact():
+    counts = [0, 5, 10**10, 3 * 10**12]
+    wanted = [1 + 10**9 * (n + 1) // (4 * 10**12 + 7) for n in counts]
+    assert divergence_audit.shares(np.array(counts), 4 * 10**12, 7).tolist() == wanted
+
+
 # ---- phrases -------------------------------------------------------------------------------------------------------
 
 
@@ -159,8 +166,9 @@ def test_phrases_equal_brute_force(spark):
 def test_phrases_with_split_pairs_and_buckets_in_parts(spark):
     chance = random.Random(4)
     rows = mixed(5, 60, vocabulary=8) + [(i, " ".join(f"hot pair w{chance.randint(0, 40)}" for _ in range(40)), "en", "s") for i in range(60)]
-    total, heavy = collocations._heavy_pairs(table(spark, rows).select("text", "lang").fillna("und", ["lang"]).fillna(""), 64)
-    assert total == sum(len(re.findall(r"[^ \t.,;:!?\n-\r]+", t or "")) for _, t, _, _ in rows) and len(heavy)
+    plain = table(spark, rows).select("text", "lang").fillna("und", ["lang"]).fillna("")
+    total, words, pairs = collocations.heavy_prefixes(collocations.prefix_summaries(plain), 64)
+    assert total == sum(len(re.findall(r"[^ \t.,;:!?\n-\r]+", t or "")) for _, t, _, _ in rows) and len(words) and len(pairs)
     for bucket, held in ((64, 1 << 22), (1 << 20, 50), (64, 30)):
         found = collocations.collocations(table(spark, rows, 6), bucket=bucket, held=held)
         assert edge.rows(found, *FOUND) == brute_phrases(rows)
@@ -178,7 +186,7 @@ def test_quicksort_counts_every_prefix(seed):
             if min(column[:k]) >= 0:
                 wanted[tuple(column[:k])] += count
     for least in (1, 9, 60):
-        found = {tuple(codes[:length, at].tolist()): size for at, length, size in collocations.equal_partitions(codes, counts, [least] * 3)}
+        found = {tuple(codes[:length, at].tolist()): size for at, length, size in collocations.equal_partitions(codes, counts, [least] * 3).tolist()}
         assert found == {prefix: size for prefix, size in wanted.items() if size >= least}
 
 
