@@ -28,7 +28,7 @@ BUCKET = 1 << 20
 HELD = 1 << 22
 #: Words and pairs with one suffix in HEAVY are found for certain; at most 1 / (1 / HEAVY - 1 / (COUNTERS + 1)) = 16,384 of each.
 HEAVY, COUNTERS = 8192, 16383
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 #: A full stop stands for every sign that ends a piece; the other white space is a space.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(ord(".") if byte in _ENDS else 32 if byte == 9 else byte for byte in range(256))
