@@ -66,12 +66,17 @@ def stamped(table, as_of=None):
 ACTIVITY_KEYS = (*schema.PRODUCT_KEYS, "user_id", "user_session")
 
 
-def activity(events):
-    """One row per product, user and session. Write it once and hand it to everything that follows."""
+def activity(events, extra=()):
+    """One row per product, user and session (and further keys). Write it once and hand it to everything that follows."""
     parts = [part.alias(name) for name, part in metrics.mean_parts().items()]
     weight = F.sum(metrics.event_weight()).alias("weight")
     bounds = time_bounds("first_seen", "last_seen")
-    return events.groupBy(*ACTIVITY_KEYS).agg(*product_counters(), weight, *parts, *bounds)
+    return events.groupBy(*ACTIVITY_KEYS, *extra).agg(*product_counters(), weight, *parts, *bounds)
+
+
+def merged_activity(days):
+    """One activity from those of several days or other parts of the events."""
+    return days.groupBy(*ACTIVITY_KEYS).agg(*_summed((*COUNTERS, "weight")), *_summed_parts(), *_seen())
 
 
 def _summed(names=COUNTERS):
