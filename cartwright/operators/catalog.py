@@ -20,7 +20,7 @@ def catalogue(stats):
     )
 
 
-def _text():
+def shown_text():
     return F.lower(F.concat_ws(" ", "category_code", "brand"))
 
 
@@ -47,7 +47,7 @@ def browse(products, search="", category="", brand="", price_range=""):
     """Literal text search, exact category and brand, and a price range."""
     term = (search or "").strip().lower()
     if term:
-        products = products.filter(F.contains(_text(), F.lit(term)))
+        products = products.filter(F.contains(shown_text(), F.lit(term)))
     if category:
         products = products.filter(F.col("category_code") == category)
     if brand:
@@ -156,7 +156,7 @@ def suggest(products, text, size=5):
     """The most popular products whose text contains the term; none until it is longer than two characters."""
     if len(text) <= 2:
         return products.filter(F.lit(False))
-    found = products.filter(F.contains(_text(), F.lit(text.lower())))
+    found = products.filter(F.contains(shown_text(), F.lit(text.lower())))
     return found.withColumn("popularity_score", metrics.popularity()).orderBy(
         F.desc("popularity_score"), *_keys(products)
     ).limit(size).select(*products.columns)

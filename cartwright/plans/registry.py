@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cartwright import schema
 from cartwright.functions import metrics
 from cartwright.operators import (
-    catalog, clustering, factorization, indexing, ingest, ranking, ratings, serving, similarity, statistics,
+    catalog, clustering, factorization, indexing, ingest, ranking, ratings, search, serving, similarity, statistics,
 )
 from cartwright.plans import fixtures
 from cartwright.sources import files, records, scratch, sinks
@@ -200,6 +200,20 @@ def shop_catalogue(spark, sf_dir):
     return catalog.catalogue(product_stats(spark, sf_dir))
 
 
+@built_once
+def searchable_features(spark, sf_dir):
+    folder = scratch.scratch_path(spark, "search")
+    search.search_folder(features(spark, sf_dir), folder)
+    return folder
+
+
+@built_once
+def searchable_catalogue(spark, sf_dir):
+    folder = scratch.scratch_path(spark, "search")
+    search.search_folder(shop_catalogue(spark, sf_dir), folder)
+    return folder
+
+
 # ---- sources and sinks ---------------------------------------------------------------------------------------------
 
 
@@ -881,7 +895,7 @@ def _found(table):
 
 @query("q_search_text")
 def _(spark, sf_dir):
-    return _found(serving.search_text(features(spark, sf_dir), "Brand#1[0-5]|eco"))
+    return _found(search.search_text(spark, searchable_features(spark, sf_dir), "Brand#1[0-5]|eco"))
 
 
 @query("q_filter_category")
@@ -910,9 +924,8 @@ def _tiered_again(table):
 
 @query("q_search_products")
 def _(spark, sf_dir):
-    return _found(
-        serving.search_products(features(spark, sf_dir), SEARCH_TERM, category="s", price_min="0", price_tier="luxury")
-    )
+    folder = searchable_features(spark, sf_dir)
+    return _found(search.search_products(spark, folder, SEARCH_TERM, category="s", price_min="0", price_tier="luxury"))
 
 
 @query("q_product_details")
@@ -955,7 +968,8 @@ def _(spark, sf_dir):
 
 @query("ui_browse_filter")
 def _(spark, sf_dir):
-    return catalog.browse(shop_catalogue(spark, sf_dir), "D Brand#1", category="standard", price_range="1000+")
+    folder = searchable_catalogue(spark, sf_dir)
+    return search.browse(spark, folder, "D Brand#1", category="standard", price_range="1000+")
 
 
 @query("ui_price_range")
@@ -991,7 +1005,7 @@ def _(spark, sf_dir):
 
 @query("ui_suggest")
 def _(spark, sf_dir):
-    return catalog.suggest(shop_catalogue(spark, sf_dir), "Brand#2")
+    return search.suggest(spark, searchable_catalogue(spark, sf_dir), "Brand#2")
 
 
 @query("ui_live_top")
