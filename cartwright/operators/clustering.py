@@ -2,12 +2,13 @@
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import functions as F
 
 from cartwright import schema
 from cartwright.functions import metrics
 from cartwright.operators import statistics
+from cartwright.operators.labels import LabelPositions
 
 FEATURE_COLUMNS = (
     *schema.PRODUCT_KEYS, "avg_price", "interaction_count", "view_count", "cart_count", "purchase_count",
@@ -27,11 +28,8 @@ def features_from_statistics(stats):
 
 
 def indexers():
-    """Positions of brand and category by falling frequency; a value unseen in fitting gets one extra position."""
-    return [
-        StringIndexer(inputCol=source, outputCol=target, handleInvalid="keep")
-        for source, target in (("brand", "brand_index"), ("category_code", "category_index"))
-    ]
+    """Positions of brand and category by falling frequency; null and a value unseen in fitting get one extra position."""
+    return [LabelPositions("brand", "brand_index"), LabelPositions("category_code", "category_index")]
 
 
 def assembler():

@@ -268,7 +268,8 @@ SQL = {
     "src_images_binary": f"""WITH {RAW} SELECT category_code AS category,
       CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM raw WHERE category_code IS NOT NULL
       GROUP BY category_code""",
-    "src_model_parts": f"""WITH {STATS} SELECT 'stages' AS source, 3 + least(20, count(*)) AS "rows" FROM stats""",
+    "src_model_parts": f"""WITH {STATS} SELECT 'stages' AS source,
+      count(DISTINCT brand) + count(DISTINCT category_code) + 1 + least(20, count(*)) AS "rows" FROM stats""",
     # ingest and cleaning
     "ing_drop_missing": f"""WITH {RAW} SELECT * FROM raw WHERE event_time IS NOT NULL AND event_type IS NOT NULL
       AND product_id IS NOT NULL AND user_id IS NOT NULL""",
