@@ -204,14 +204,14 @@ def shop_catalogue(spark, sf_dir):
 def searchable_features(spark, sf_dir):
     folder = scratch.scratch_path(spark, "search")
     search.search_folder(features(spark, sf_dir), folder)
-    return folder
+    return search.open_folder(spark, folder)
 
 
 @built_once
 def searchable_catalogue(spark, sf_dir):
     folder = scratch.scratch_path(spark, "search")
     search.search_folder(shop_catalogue(spark, sf_dir), folder)
-    return folder
+    return search.open_folder(spark, folder)
 
 
 # ---- sources and sinks ---------------------------------------------------------------------------------------------
@@ -895,7 +895,7 @@ def _found(table):
 
 @query("q_search_text")
 def _(spark, sf_dir):
-    return _found(search.search_text(spark, searchable_features(spark, sf_dir), "Brand#1[0-5]|eco"))
+    return _found(search.search_text(searchable_features(spark, sf_dir), "Brand#1[0-5]|eco"))
 
 
 @query("q_filter_category")
@@ -924,8 +924,8 @@ def _tiered_again(table):
 
 @query("q_search_products")
 def _(spark, sf_dir):
-    folder = searchable_features(spark, sf_dir)
-    return _found(search.search_products(spark, folder, SEARCH_TERM, category="s", price_min="0", price_tier="luxury"))
+    tables = searchable_features(spark, sf_dir)
+    return _found(search.search_products(tables, SEARCH_TERM, category="s", price_min="0", price_tier="luxury"))
 
 
 @query("q_product_details")
@@ -968,8 +968,8 @@ def _(spark, sf_dir):
 
 @query("ui_browse_filter")
 def _(spark, sf_dir):
-    folder = searchable_catalogue(spark, sf_dir)
-    return search.browse(spark, folder, "D Brand#1", category="standard", price_range="1000+")
+    tables = searchable_catalogue(spark, sf_dir)
+    return search.browse(tables, "D Brand#1", category="standard", price_range="1000+")
 
 
 @query("ui_price_range")
@@ -1005,7 +1005,7 @@ def _(spark, sf_dir):
 
 @query("ui_suggest")
 def _(spark, sf_dir):
-    return search.suggest(spark, searchable_catalogue(spark, sf_dir), "Brand#2")
+    return search.suggest(searchable_catalogue(spark, sf_dir), "Brand#2")
 
 
 @query("ui_live_top")
