@@ -36,6 +36,8 @@ DEEPEST = 12
 #: Sets and shingles that one side of an exact comparison holds.
 BLOCK_SETS = 128
 BLOCK_SHINGLES = 1 << 18
+#: Bits of the filter that spares texts nobody asks for the shuffle: 2 MB, whatever the table. A full filter lets all texts pass.
+FILTER_BITS = 1 << 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -76,32 +78,50 @@ def set_digest(shingles):
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def marks_of(lanes):
+    """One byte per lane, enough to estimate similarity by."""
+    return lanes.astype(np.uint8).tobytes()
+
+
+def _with_key(docs):
+    """doc_id, text and 128 bits that stand for the text."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", "text", F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit(1), text).alias("text_check"))
+
+
 def signatures(docs, words):
-    """doc_id, n_shingles, class (digest of the set; null if it is empty) and lanes per document."""
+    """doc_id, n_shingles, class (digest of the set; null if it is empty), lanes, marks, text_key and text_check per document."""
 
     def run(batches):
         for batch in frames.bounded(batches):
-            counts, classes, lanes = [], [], []
+            counts, classes, lanes, marks = [], [], [], []
             for raw in frames.raw_texts(batch.column(1)):
                 shingles = shingle_set(raw, words)
+                least = minwise(shingles) if len(shingles) else None
                 counts.append(len(shingles))
                 classes.append(set_digest(shingles) if len(shingles) else None)
-                lanes.append(minwise(shingles).tobytes() if len(shingles) else None)
+                lanes.append(least.tobytes() if len(shingles) else None)
+                marks.append(marks_of(least) if len(shingles) else None)
             yield frames.record(
                 {
                     "doc_id": batch.column(0), "n_shingles": counts, "class": pa.array(classes, pa.binary()),
-                    "lanes": pa.array(lanes, pa.binary()),
+                    "lanes": pa.array(lanes, pa.binary()), "marks": pa.array(marks, pa.binary()), "text_key": batch.column(2),
+                    "text_check": batch.column(3),
                 }
             )
 
-    schema = f"doc_id {frames.id_type(docs)}, n_shingles bigint, class binary, lanes binary"
-    return frames.map_arrow(docs.select("doc_id", "text"), run, schema)
+    schema = f"doc_id {frames.id_type(docs)}, n_shingles bigint, class binary, lanes binary, marks binary, text_key bigint, text_check bigint"
+    return frames.map_arrow(_with_key(docs), run, schema)
 
 
 def _lane_matrix(column):
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, LANES)
 
 
+def _mark_matrix(column):
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, LANES)
+
+
 def _node_keys(before, lanes, tree, level, child):
     """Keys of the children of nodes: the path so far and the lane that this tree reads at this level for this child."""
     salt = _mixed(np.array([(tree * 64 + level) * 4 + child + 1], np.uint64))
@@ -209,12 +229,12 @@ def _leaf_edges(members, least):
         def pairs():
             for group in _groups(batches):
                 names = group.column(1).to_pylist()
-                for i, j in _forest(_lane_matrix(group.column(2)), least, lambda i, j: names[i] != names[j]):
+                for i, j in _forest(_mark_matrix(group.column(2)), least, lambda i, j: names[i] != names[j]):
                     yield names[i], names[j]
 
         yield from _edge_batches(pairs())
 
-    rows = members.select("node", "class", "lanes").repartition("node").sortWithinPartitions("node", "class")
+    rows = members.select("node", "class", "marks").repartition("node").sortWithinPartitions("node", "class")
     return frames.map_arrow(rows, run, "a binary, b binary")
 
 
@@ -224,36 +244,77 @@ def _coarse_edges(classes, least):
     A child that keeps more than half of a large parent is a group of near copies, which more levels would not take apart; its
     members, as those of large nodes at the last level, become one cluster without being compared.
     """
-    lanes = classes.select("class", "lanes")
+    lanes = classes.select("class", "lanes", "marks")
     members = materialize(_first_nodes(classes).withColumn("parent_size", F.lit(None).cast("bigint")), "nodes")
     found, level = [], FIRST_LEVELS
     while True:
-        sizes = materialize(
-            members.groupBy("node").agg(
-                F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), F.max("parent_size").alias("parent")
-            ).filter("size > 1"),
-            "sizes",
-        )
+        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.max("parent_size").alias("parent"))
+        sizes = materialize(sizes.filter("size > 1"), "sizes")
         star = F.lit(level >= DEEPEST) | F.coalesce(F.col("size") * 2 > F.col("parent"), F.lit(False))
         # Merge joins at every size: what is small here is not where the operator is needed.
-        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node").hint("merge"), "node")
-        found.append(materialize(_leaf_edges(small.join(lanes.hint("merge"), "class"), least), "leaves"))
+        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node").hint("merge"), "node").select("node", "class")
+        found.append(materialize(_leaf_edges(small.join(lanes.select("class", "marks").hint("merge"), "class"), least), "leaves"))
         large = sizes.filter(F.col("size") > LEAF)
         if large.isEmpty():
             break
-        near = members.join(large.filter(star).select("node", "first"), "node")
-        found.append(near.select(F.col("first").alias("a"), F.col("class").alias("b")))
-        mixed = members.drop("parent_size").join(large.filter(~star).select("node", "size"), "node").join(lanes, "class")
+        near = members.join(large.filter(star).select("node"), "node").select("node", "class")
+        centres = near.groupBy("node").agg(F.min("class").alias("first"))
+        found.append(near.join(centres, "node").select(F.col("first").alias("a"), F.col("class").alias("b")))
+        # One row per class that branches on, with its few nodes: lanes of all other classes stay behind at this level.
+        mixed = members.join(large.filter(~star).select("node", "size"), "node").groupBy("class")
+        mixed = mixed.agg(F.collect_list(F.struct("node", "tree", "size")).alias("nodes"))
+        mixed = materialize(mixed.join(lanes.hint("merge"), "class"), "branching")
         level += 1
-        members = materialize(_next_nodes(mixed, level), "nodes")
+        members = materialize(_next_nodes(mixed.select("class", "lanes", F.inline("nodes")), level), "nodes")
+        lanes = mixed.select("class", "lanes", "marks")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
     return edges
 
 
+def _filter_places(key):
+    return [F.pmod(place, F.lit(FILTER_BITS)) for place in (key, F.shiftrightunsigned(key, 32))]
+
+
+def _wanted_filter(wanted):
+    """A Bloom filter over the text keys of the wanted classes: FILTER_BITS bits in words of 64, put together by the executors."""
+    places = wanted.select(F.explode(F.array(*_filter_places(F.col("text_key")))).alias("place"))
+    word, bit = F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, int(place & 63))")
+    words = places.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bits.view(np.uint64)
+
+
+def _wanted_texts(docs, wanted):
+    """text, class, cluster, blocks of one document per wanted class.
+
+    The filter drops texts where they lie; a false positive costs its way through the shuffle and is dropped by the join. The
+    join is on text key and doc_id, of which every class wants one pair, so null and repeated ids give no extra rows; repeated
+    rows are made one before they are shuffled.
+    """
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(_wanted_filter(wanted))
+
+    def run(batches):
+        for batch in frames.bounded(batches):
+            keys = batch.column(2).to_numpy().view(np.uint64)
+            passed = np.ones(len(keys), bool)
+            for places in (keys % np.uint64(FILTER_BITS), (keys >> np.uint64(32)) % np.uint64(FILTER_BITS)):
+                passed &= (held.value[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield batch.filter(pa.array(passed))
+
+    schema = f"doc_id {frames.id_type(docs)}, text string, text_key bigint, text_check bigint"
+    texts = frames.map_arrow(_with_key(docs), run, schema).dropDuplicates(["text_key", "text_check", "doc_id"])
+    here = wanted.select(F.col("text_key").alias("wanted_key"), F.col("text_check").alias("wanted_check"), "bearer", "class", "cluster", "blocks").hint("merge")
+    met = (texts["text_key"] == here["wanted_key"]) & (texts["text_check"] == here["wanted_check"])
+    met &= texts["doc_id"].eqNullSafe(here["bearer"])
+    return texts.join(here, met).select("text", "class", "cluster", "blocks")
+
+
 def _full_sets(docs, wanted, words):
-    """cluster, blocks, class, shingles and lanes of the wanted classes, read again from one document each."""
+    """cluster, blocks, class, shingles and marks of the wanted classes, read again from one document each."""
 
     def run(batches):
         for batch in frames.bounded(batches):
@@ -263,20 +324,18 @@ def _full_sets(docs, wanted, words):
             ):
                 shingles = shingle_set(raw, words)
                 if len(shingles) and set_digest(shingles) == name:
-                    rows.append((cluster, blocks, name, shingles.tobytes(), minwise(shingles).tobytes()))
+                    rows.append((cluster, blocks, name, shingles.tobytes(), marks_of(minwise(shingles))))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield frames.record(
                 {
                     "cluster": pa.array(columns[0], pa.binary()), "blocks": pa.array(columns[1], pa.int64()),
                     "class": pa.array(columns[2], pa.binary()), "shingles": pa.array(columns[3], pa.binary()),
-                    "lanes": pa.array(columns[4], pa.binary()),
+                    "marks": pa.array(columns[4], pa.binary()),
                 }
             )
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    # The texts are shuffled at every size, not only beyond some number of wanted classes.
-    joined = texts.join(wanted.hint("merge"), texts["id"].eqNullSafe(wanted["holder"])).select("text", "class", "cluster", "blocks")
-    return frames.map_arrow(joined, run, "cluster binary, blocks bigint, class binary, shingles binary, lanes binary")
+    schema = "cluster binary, blocks bigint, class binary, shingles binary, marks binary"
+    return frames.map_arrow(_wanted_texts(docs, wanted), run, schema)
 
 
 def _exact_edges(sets, percent, least):
@@ -296,7 +355,7 @@ def _exact_edges(sets, percent, least):
                     common = len(np.intersect1d(a, b, assume_unique=True))
                     return 100 * common >= percent * (len(a) + len(b) - common)
 
-                for i, j in _forest(_lane_matrix(group.column(3)), least, linked):
+                for i, j in _forest(_mark_matrix(group.column(3)), least, linked):
                     if names[i] != names[j]:
                         yield names[i], names[j]
 
@@ -305,7 +364,7 @@ def _exact_edges(sets, percent, least):
     block = F.pmod(F.xxhash64("class"), F.col("blocks"))
     placed = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     key = F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))
-    rows = placed.select(key.alias("key"), "class", "shingles", "lanes").repartition("key").sortWithinPartitions("key", "class")
+    rows = placed.select(key.alias("key"), "class", "shingles", "marks").repartition("key").sortWithinPartitions("key", "class")
     return frames.map_arrow(rows, run, "a binary, b binary")
 
 
@@ -321,15 +380,17 @@ def near_duplicates(docs, words=5, percent=80):
     documents = materialize(signatures(docs, words), "signatures")
     classes = materialize(
         documents.filter("class is not null").groupBy("class").agg(
-            F.min("doc_id").alias("holder"), F.max("n_shingles").alias("n_shingles"), F.first("lanes").alias("lanes")
-        ),
+            F.min("doc_id").alias("holder"), F.max("n_shingles").alias("n_shingles"), F.first("lanes").alias("lanes"),
+            F.first("marks").alias("marks"), F.min(F.struct("text_key", "text_check", F.col("doc_id").alias("bearer"))).alias("bearing"),
+        ).select("*", "bearing.*").drop("bearing"),
         "classes",
     )
     clusters = materialize(components(_coarse_edges(classes, least)).withColumnRenamed("node", "class"), "clusters")
-    sized = clusters.join(classes.select("class", "holder", "n_shingles"), "class")
+    sized = clusters.join(classes.select("class", "text_key", "text_check", "bearer", "n_shingles"), "class")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
     block_counts = materialize(sized.groupBy("component").agg(blocks.alias("blocks")), "blocks")
-    wanted = sized.join(block_counts, "component").select("class", "holder", F.col("component").alias("cluster"), "blocks")
+    wanted = sized.join(block_counts, "component").select("class", "text_key", "text_check", "bearer", F.col("component").alias("cluster"), "blocks")
+    wanted = materialize(wanted, "wanted")
     links = components(materialize(_exact_edges(_full_sets(docs, wanted, words), percent, least), "links"))
     linked = links.withColumnRenamed("node", "class").join(classes.select("class", "holder"), "class")
     linked = materialize(linked, "linked")

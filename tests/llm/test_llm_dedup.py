@@ -191,3 +191,26 @@ def test_components(spark, seed):
     found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert edge.rows(found, "node", "component") == sorted((n, root(n)) for n in linked)
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_null_and_repeated_ids_want_one_text_per_class(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(1000):
+        text = " ".join([*words, f"x{i}", f"y{i}"] if i % 2 else [f"{w}-{i}" for w in words])
+        rows += [(None, text), (7, text)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = near_dedup.near_duplicates(docs, 3, 85).collect()
+    assert len(seen) == 2000
+    shared = [row for row in seen if row.component_id is not None]
+    assert all(row.component_id == 7 for row in shared) and len(shared) == 2000
+
+
+def test_joined_texts_stay_linear(spark):
+    rows = [(None, f"text number {i} of a few words") for i in range(300)] + [(5, f"other text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string")
+    seen = near_dedup.signatures(docs, 3).dropDuplicates(["class"])
+    wanted = seen.filter("n_shingles > 2").selectExpr(
+        "class", "text_key", "text_check", "doc_id AS bearer", "CAST('c' AS binary) AS cluster", "1L AS blocks"
+    )
+    assert near_dedup._wanted_texts(docs, wanted).count() == wanted.count() == 300
