@@ -78,9 +78,9 @@ def set_digest(shingles):
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def marks_of(lanes):
-    """One byte per lane, enough to estimate similarity by."""
-    return lanes.astype(np.uint8).tobytes()
+def _marks():
+    """One byte per lane, enough to estimate similarity by: the low bytes of little-endian lanes."""
+    return F.concat(*[F.substring("lanes", 4 * lane + 1, 1) for lane in range(LANES)]).alias("marks")
 
 
 def _with_key(docs):
@@ -90,27 +90,25 @@ def _with_key(docs):
 
 
 def signatures(docs, words):
-    """doc_id, n_shingles, class (digest of the set; null if it is empty), lanes, marks, text_key and text_check per document."""
+    """doc_id, n_shingles, class (digest of the set; null if it is empty), lanes, text_key and text_check per document."""
 
     def run(batches):
         for batch in frames.bounded(batches):
-            counts, classes, lanes, marks = [], [], [], []
+            counts, classes, lanes = [], [], []
             for raw in frames.raw_texts(batch.column(1)):
                 shingles = shingle_set(raw, words)
-                least = minwise(shingles) if len(shingles) else None
                 counts.append(len(shingles))
                 classes.append(set_digest(shingles) if len(shingles) else None)
-                lanes.append(least.tobytes() if len(shingles) else None)
-                marks.append(marks_of(least) if len(shingles) else None)
+                lanes.append(minwise(shingles).tobytes() if len(shingles) else None)
             yield frames.record(
                 {
                     "doc_id": batch.column(0), "n_shingles": counts, "class": pa.array(classes, pa.binary()),
-                    "lanes": pa.array(lanes, pa.binary()), "marks": pa.array(marks, pa.binary()), "text_key": batch.column(2),
+                    "lanes": pa.array(lanes, pa.binary()), "text_key": batch.column(2),
                     "text_check": batch.column(3),
                 }
             )
 
-    schema = f"doc_id {frames.id_type(docs)}, n_shingles bigint, class binary, lanes binary, marks binary, text_key bigint, text_check bigint"
+    schema = f"doc_id {frames.id_type(docs)}, n_shingles bigint, class binary, lanes binary, text_key bigint, text_check bigint"
     return frames.map_arrow(_with_key(docs), run, schema)
 
 
@@ -130,7 +128,7 @@ def _node_keys(before, lanes, tree, level, child):
 
 
 def _first_nodes(classes):
-    """node, tree, class: every class at the first levels of every tree."""
+    """node, tree, number: every class at the first levels of every tree."""
 
     def run(batches):
         for batch in frames.bounded(batches, 2 << 20):
@@ -140,14 +138,14 @@ def _first_nodes(classes):
                 for level in range(1, FIRST_LEVELS + 1):
                     keys = _node_keys(keys, lanes, tree, level, 0)
                 yield frames.record(
-                    {"node": pa.array(keys.view(np.int64)), "tree": pa.array(np.full(len(keys), tree, np.int32)), "class": batch.column(0)}
+                    {"node": pa.array(keys.view(np.int64)), "tree": pa.array(np.full(len(keys), tree, np.int32)), "number": batch.column(0)}
                 )
 
-    return frames.map_arrow(classes.select("class", "lanes"), run, "node bigint, tree int, class binary")
+    return frames.map_arrow(classes.select("number", "lanes"), run, "node bigint, tree int, number bigint")
 
 
 def _next_nodes(large, level):
-    """node, tree, class, parent_size of the children of large nodes, given with their lanes."""
+    """node, tree, number, parent_size of the children of large nodes, given with their lanes."""
     children = 2 if level <= TWOFOLD_LEVELS else 1
 
     def run(batches):
@@ -160,10 +158,10 @@ def _next_nodes(large, level):
                     chosen = trees == tree
                     keys[chosen] = _node_keys(before[chosen], lanes[chosen], tree, level, child)
                 yield frames.record(
-                    {"node": pa.array(keys.view(np.int64)), "tree": batch.column(1), "class": batch.column(2), "parent_size": batch.column(4)}
+                    {"node": pa.array(keys.view(np.int64)), "tree": batch.column(1), "number": batch.column(2), "parent_size": batch.column(4)}
                 )
 
-    return frames.map_arrow(large.select("node", "tree", "class", "lanes", "size"), run, "node bigint, tree int, class binary, parent_size bigint")
+    return frames.map_arrow(large.select("node", "tree", "number", "lanes", "size"), run, "node bigint, tree int, number bigint, parent_size bigint")
 
 
 class Joined:
@@ -217,9 +215,9 @@ def _edge_batches(pairs):
         left.append(a)
         right.append(b)
         if len(left) >= 10_000:
-            yield frames.record({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
+            yield frames.record({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
             left, right = [], []
-    yield frames.record({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
+    yield frames.record({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
 def _leaf_edges(members, least):
@@ -234,8 +232,8 @@ def _leaf_edges(members, least):
 
         yield from _edge_batches(pairs())
 
-    rows = members.select("node", "class", "marks").repartition("node").sortWithinPartitions("node", "class")
-    return frames.map_arrow(rows, run, "a binary, b binary")
+    rows = members.select("node", "number", "marks").repartition("node").sortWithinPartitions("node", "number")
+    return frames.map_arrow(rows, run, "a bigint, b bigint")
 
 
 def _coarse_edges(classes, least):
@@ -244,7 +242,7 @@ def _coarse_edges(classes, least):
     A child that keeps more than half of a large parent is a group of near copies, which more levels would not take apart; its
     members, as those of large nodes at the last level, become one cluster without being compared.
     """
-    lanes = classes.select("class", "lanes", "marks")
+    lanes = classes.select("number", "lanes", "marks")
     members = materialize(_first_nodes(classes).withColumn("parent_size", F.lit(None).cast("bigint")), "nodes")
     found, level = [], FIRST_LEVELS
     while True:
@@ -252,21 +250,21 @@ def _coarse_edges(classes, least):
         sizes = materialize(sizes.filter("size > 1"), "sizes")
         star = F.lit(level >= DEEPEST) | F.coalesce(F.col("size") * 2 > F.col("parent"), F.lit(False))
         # Merge joins at every size: what is small here is not where the operator is needed.
-        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node").hint("merge"), "node").select("node", "class")
-        found.append(materialize(_leaf_edges(small.join(lanes.select("class", "marks").hint("merge"), "class"), least), "leaves"))
+        small = members.join(sizes.filter(F.col("size") <= LEAF).select("node").hint("merge"), "node").select("node", "number")
+        found.append(materialize(_leaf_edges(small.join(lanes.select("number", "marks").hint("merge"), "number"), least), "leaves"))
         large = sizes.filter(F.col("size") > LEAF)
         if large.isEmpty():
             break
-        near = members.join(large.filter(star).select("node"), "node").select("node", "class")
-        centres = near.groupBy("node").agg(F.min("class").alias("first"))
-        found.append(near.join(centres, "node").select(F.col("first").alias("a"), F.col("class").alias("b")))
+        near = members.join(large.filter(star).select("node"), "node").select("node", "number")
+        centres = near.groupBy("node").agg(F.min("number").alias("first"))
+        found.append(near.join(centres, "node").select(F.col("first").alias("a"), F.col("number").alias("b")))
         # One row per class that branches on, with its few nodes: lanes of all other classes stay behind at this level.
-        mixed = members.join(large.filter(~star).select("node", "size"), "node").groupBy("class")
+        mixed = members.join(large.filter(~star).select("node", "size"), "node").groupBy("number")
         mixed = mixed.agg(F.collect_list(F.struct("node", "tree", "size")).alias("nodes"))
-        mixed = materialize(mixed.join(lanes.hint("merge"), "class"), "branching")
+        mixed = materialize(mixed.join(lanes.hint("merge"), "number"), "branching")
         level += 1
-        members = materialize(_next_nodes(mixed.select("class", "lanes", F.inline("nodes")), level), "nodes")
-        lanes = mixed.select("class", "lanes", "marks")
+        members = materialize(_next_nodes(mixed.select("number", "lanes", F.inline("nodes")), level), "nodes")
+        lanes = mixed.select("number", "lanes", "marks")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
@@ -288,54 +286,63 @@ def _wanted_filter(wanted):
 
 
 def _wanted_texts(docs, wanted):
-    """text, class, cluster, blocks of one document per wanted class.
+    """text, class, number, cluster, blocks of one document per wanted class.
 
     The filter drops texts where they lie; a false positive costs its way through the shuffle and is dropped by the join. The
-    join is on text key and doc_id, of which every class wants one pair, so null and repeated ids give no extra rows; repeated
-    rows are made one before they are shuffled.
+    join is on text key and doc_id, of which every class wants one pair, so null and repeated ids give no extra rows; of
+    repeated rows each task lets one through.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(_wanted_filter(wanted))
 
     def run(batches):
+        seen = set()
+
+        def first(*row):
+            known = row in seen
+            seen.add(row)
+            return not known
+
         for batch in frames.bounded(batches):
             keys = batch.column(2).to_numpy().view(np.uint64)
             passed = np.ones(len(keys), bool)
             for places in (keys % np.uint64(FILTER_BITS), (keys >> np.uint64(32)) % np.uint64(FILTER_BITS)):
                 passed &= (held.value[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool)
-            yield batch.filter(pa.array(passed))
+            batch = batch.filter(pa.array(passed))
+            rows = (batch.column(i).to_pylist() for i in (2, 3, 0))
+            yield batch.filter(pa.array(list(map(first, *rows)), pa.bool_()))
 
     schema = f"doc_id {frames.id_type(docs)}, text string, text_key bigint, text_check bigint"
-    texts = frames.map_arrow(_with_key(docs), run, schema).dropDuplicates(["text_key", "text_check", "doc_id"])
-    here = wanted.select(F.col("text_key").alias("wanted_key"), F.col("text_check").alias("wanted_check"), "bearer", "class", "cluster", "blocks").hint("merge")
+    texts = frames.map_arrow(_with_key(docs), run, schema)
+    here = wanted.withColumnsRenamed({"text_key": "wanted_key", "text_check": "wanted_check"}).hint("merge")
     met = (texts["text_key"] == here["wanted_key"]) & (texts["text_check"] == here["wanted_check"])
     met &= texts["doc_id"].eqNullSafe(here["bearer"])
-    return texts.join(here, met).select("text", "class", "cluster", "blocks")
+    return texts.join(here, met).select("text", "class", "number", "cluster", "blocks")
 
 
 def _full_sets(docs, wanted, words):
-    """cluster, blocks, class, shingles and marks of the wanted classes, read again from one document each."""
+    """cluster, blocks, number, shingles and lanes of the wanted classes, read again from one document each."""
 
     def run(batches):
+        before = None
         for batch in frames.bounded(batches):
             rows = []
-            for raw, name, cluster, blocks in zip(
-                frames.raw_texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True
+            for raw, name, number, cluster, blocks in zip(
+                frames.raw_texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True
             ):
+                if number == before:  # a repeated row, next to its like after the merge join
+                    continue
                 shingles = shingle_set(raw, words)
                 if len(shingles) and set_digest(shingles) == name:
-                    rows.append((cluster, blocks, name, shingles.tobytes(), marks_of(minwise(shingles))))
+                    before = number
+                    rows.append((cluster, blocks, number, shingles.tobytes(), minwise(shingles).tobytes()))
             columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield frames.record(
-                {
-                    "cluster": pa.array(columns[0], pa.binary()), "blocks": pa.array(columns[1], pa.int64()),
-                    "class": pa.array(columns[2], pa.binary()), "shingles": pa.array(columns[3], pa.binary()),
-                    "marks": pa.array(columns[4], pa.binary()),
-                }
-            )
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            names = ["cluster", "blocks", "number", "shingles", "lanes"]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns, types)), names=names)
 
-    schema = "cluster binary, blocks bigint, class binary, shingles binary, marks binary"
-    return frames.map_arrow(_wanted_texts(docs, wanted), run, schema)
+    schema = "cluster bigint, blocks bigint, number bigint, shingles binary, lanes binary"
+    return frames.map_arrow(_wanted_texts(docs, wanted), run, schema).select("cluster", "blocks", "number", "shingles", _marks())
 
 
 def _exact_edges(sets, percent, least):
@@ -361,11 +368,11 @@ def _exact_edges(sets, percent, least):
 
         yield from _edge_batches(pairs())
 
-    block = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    block = F.pmod(F.xxhash64("number"), F.col("blocks"))
     placed = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     key = F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))
-    rows = placed.select(key.alias("key"), "class", "shingles", "marks").repartition("key").sortWithinPartitions("key", "class")
-    return frames.map_arrow(rows, run, "a binary, b binary")
+    rows = placed.select(key.alias("key"), "number", "shingles", "marks").repartition("key").sortWithinPartitions("key", "number")
+    return frames.map_arrow(rows, run, "a bigint, b bigint")
 
 
 def near_duplicates(docs, words=5, percent=80):
@@ -378,25 +385,27 @@ def near_duplicates(docs, words=5, percent=80):
     """
     least = LANES * max(percent - 30, 0) // 100
     documents = materialize(signatures(docs, words), "signatures")
-    classes = materialize(
-        documents.filter("class is not null").groupBy("class").agg(
-            F.min("doc_id").alias("holder"), F.max("n_shingles").alias("n_shingles"), F.first("lanes").alias("lanes"),
-            F.first("marks").alias("marks"), F.min(F.struct("text_key", "text_check", F.col("doc_id").alias("bearer"))).alias("bearing"),
-        ).select("*", "bearing.*").drop("bearing"),
-        "classes",
+    classes = documents.filter("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("holder"), F.max("n_shingles").alias("n_shingles"), F.first("lanes").alias("lanes"),
+        F.min(F.struct("text_key", "text_check", F.col("doc_id").alias("bearer"))).alias("bearing"),
     )
-    clusters = materialize(components(_coarse_edges(classes, least)).withColumnRenamed("node", "class"), "clusters")
-    sized = clusters.join(classes.select("class", "text_key", "text_check", "bearer", "n_shingles"), "class")
+    # Numbers stand for digests in all that follows; they are fixed because this table is written once.
+    classes = classes.select("*", "bearing.*", _marks(), F.monotonically_increasing_id().alias("number")).drop("bearing")
+    classes = materialize(classes, "classes")
+    clusters = materialize(components(_coarse_edges(classes, least)).withColumnRenamed("node", "number"), "clusters")
+    sized = clusters.join(classes.select("number", "class", "text_key", "text_check", "bearer", "n_shingles"), "number")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("bigint")
     block_counts = materialize(sized.groupBy("component").agg(blocks.alias("blocks")), "blocks")
-    wanted = sized.join(block_counts, "component").select("class", "text_key", "text_check", "bearer", F.col("component").alias("cluster"), "blocks")
+    wanted = sized.join(block_counts, "component").select(
+        "class", "number", "text_key", "text_check", "bearer", F.col("component").alias("cluster"), "blocks"
+    )
     wanted = materialize(wanted, "wanted")
     links = components(materialize(_exact_edges(_full_sets(docs, wanted, words), percent, least), "links"))
-    linked = links.withColumnRenamed("node", "class").join(classes.select("class", "holder"), "class")
+    linked = links.withColumnRenamed("node", "number").join(classes.select("number", "holder"), "number")
     linked = materialize(linked, "linked")
     heads = materialize(linked.groupBy("component").agg(F.min("holder").alias("head")), "heads")
-    heads = linked.join(heads, "component").select("class", "head")
-    named = classes.select("class", "holder").join(heads, "class", "left")
+    heads = linked.join(heads, "component").select("number", "head")
+    named = classes.select("number", "class", "holder").join(heads, "number", "left")
     named = materialize(named.select("class", F.coalesce("head", "holder").alias("component_id")), "named")
     return (
         documents.join(named, "class", "left")

@@ -211,6 +211,7 @@ def test_joined_texts_stay_linear(spark):
     docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string")
     seen = near_dedup.signatures(docs, 3).dropDuplicates(["class"])
     wanted = seen.filter("n_shingles > 2").selectExpr(
-        "class", "text_key", "text_check", "doc_id AS bearer", "CAST('c' AS binary) AS cluster", "1L AS blocks"
+        "class", "monotonically_increasing_id() AS number", "text_key", "text_check", "doc_id AS bearer", "0L AS cluster", "1L AS blocks"
     )
-    assert near_dedup._wanted_texts(docs, wanted).count() == wanted.count() == 300
+    assert near_dedup._wanted_texts(docs.coalesce(1), wanted).count() == wanted.count() == 300
+    assert near_dedup._full_sets(docs.repartition(5), wanted, 3).count() == 300
