@@ -9,12 +9,17 @@ found inside cuts as they are in the whole. Other tokenizer files get whole text
 import json
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
+from operator import attrgetter
 from struct import pack
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
+import pyarrow as pa  # noqa: E402
+import pyarrow.compute as pc  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 #: A space before a sign that every Unicode version counts as visible.
@@ -23,10 +28,13 @@ _OTHER_SPACE = re.compile(r" (?![!-~\w])")
 _BREAK = re.compile(r"(?<=[!-~\w])\n(?=[!-~\w])")
 #: Letters up to here are letters in every Unicode version.
 _LAST_OLD_LETTER = "ɏ"
+#: For Arrow: a space that no ASCII sign and no old Latin letter follows. Texts that hold one are cut by BOUNDARY.
+_ODD_SPACE = " ([^!-~À-ÖØ-öø-ɏ]|$)"
 #: Signs that end a unit as a match of their own: neither letters, digits nor white space, and no letter follows.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MEMORY = 120_000
 _LONGEST_KEPT = 64
+_token_id = attrgetter("id")
 
 
 def default_path(name):
@@ -82,6 +90,8 @@ class LibraryEncoder:
         )
         self._model = self.library.model
         self._letters = _byte_letters()
+        self._space = self._letters[32]
+        self._alphabetic_special = any(special.isalpha() for special in self.specials)
         self._special = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)").search
         self._inner, self._first = _Memory(self._unit, " "), _Memory(self._unit, "")
 
@@ -90,14 +100,22 @@ class LibraryEncoder:
 
     def _word(self, text):
         """Ids of letters with or without a space before them: one match of the pattern, handed to the model directly."""
-        letters = text.encode().decode("latin-1").translate(self._letters)
-        ids = [token.id for token in self._model.tokenize(letters)]
-        return pack(f"<{len(ids)}I", *ids)
+        if text.isascii():
+            letters = self._space + text[1:] if text[0] == " " else text
+        else:
+            letters = text.encode().decode("latin-1").translate(self._letters)
+        ids = array("I", map(_token_id, self._model.tokenize(letters)))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _unit(self, text):
         stem = text.rstrip(_SIGNS)
         word = stem[1:] if stem[:1] == " " else stem
-        if word.isalpha() and len(word) <= _LONGEST_KEPT and max(word) <= _LAST_OLD_LETTER and not self._special(text):
+        short = word.isalpha() and len(word) <= _LONGEST_KEPT and (word.isascii() or max(word) <= _LAST_OLD_LETTER)
+        if short and len(stem) == len(text) and not self._alphabetic_special:
+            return self._word(text)
+        if short and not self._special(text):
             if len(stem) == len(text):
                 return self._word(text)
             known = self._inner if stem[:1] == " " else self._first
@@ -121,6 +139,38 @@ class LibraryEncoder:
         first, *words = BOUNDARY.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
         return self._first[first] + b"".join(map(self._inner.__getitem__, words))
 
+    def ids_of_column(self, column):
+        """The ids of each text of a string column, as arrays in its order; null counts as empty.
+
+        Arrow cuts the texts and numbers the distinct units, so that each is looked up once per call, and numpy lays out the
+        ids. Texts with unusual spaces are worked off one by one.
+        """
+        column = pc.fill_null(column.cast(pa.string()), "")
+        odd = pc.match_substring_regex(column, _ODD_SPACE) if self.cuttable else pa.repeat(True, len(column))
+        found = np.empty(len(column), object)
+        for place, text in zip(np.flatnonzero(odd).tolist(), column.filter(odd).to_pylist(), strict=True):
+            found[place] = np.frombuffer(self.ids(text), "<u4")
+        usual = pc.split_pattern(column.filter(pc.invert(odd)), " ")
+        if not len(usual):
+            return found
+        bounds = usual.offsets.to_numpy()
+        units = usual.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = bounds - bounds[0]
+        unit, names = units.indices.to_numpy().astype(np.int64), units.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = [names[i] for i in unit[bounds[:-1]].tolist()]
+        unit[bounds[:-1]] = len(names) + np.arange(len(heads))
+        inside = np.bincount(unit, minlength=len(names))[: len(names)] > 0
+        known = [self._inner[name] if used else b"" for name, used in zip(names, inside.tolist(), strict=True)]
+        known += map(self._first.__getitem__, heads)
+        pool, sizes = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        counts = sizes[unit]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = pool[np.repeat((np.cumsum(sizes) - sizes)[unit] - ends[:-1], counts) + np.arange(ends[-1])]
+        cuts = ends[bounds].tolist()
+        for place, start, stop in zip(np.flatnonzero(pc.invert(odd)).tolist(), cuts[:-1], cuts[1:], strict=True):
+            found[place] = ids[start:stop]
+        return found
+
     def count(self, text):
         return len(self.ids(text)) // 4
 

@@ -19,6 +19,8 @@ CAPACITY = 2048
 END = 1
 #: Pieces a task packs together; beyond, it starts another block. A block's last windows are the only loosely filled ones.
 BLOCK = 1 << 18
+#: Text encoded at a time: few enough distinct words that the encoder still remembers the frequent ones the next time.
+ENCODED_BYTES = 2 << 20
 
 
 class OpenWindows:
@@ -84,10 +86,10 @@ def document_pieces(docs, path, capacity=CAPACITY, end=END):
     def run(batches):
         encoder = encoder_for(path)
         tail = np.asarray([end], dtype="<u4").tobytes()
-        for batch in frames.bounded(batches):
+        for batch in frames.bounded(batches, ENCODED_BYTES):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), frames.texts(batch.column(1)), strict=True):
-                ids = memoryview(encoder.ids(text) + tail)
+            for doc_id, found in zip(batch.column(0).to_pylist(), encoder.ids_of_column(batch.column(1)), strict=True):
+                ids = memoryview(found.tobytes() + tail)
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     stop = min(total, start + capacity)
@@ -103,7 +105,7 @@ def document_pieces(docs, path, capacity=CAPACITY, end=END):
 
 
 def pack_pieces(pieces, capacity=CAPACITY, block=BLOCK):
-    """Adds sequence_id and offset. Pieces are dealt out by a hash of document and start, so a hot document spreads."""
+    """Adds sequence_id and offset. Pieces are dealt out by a hash of all they hold, so a hot document, or a hot id, spreads."""
 
     def run(batches):
         first, held = TaskContext.get().partitionId() << 33, []
@@ -127,7 +129,7 @@ def pack_pieces(pieces, capacity=CAPACITY, block=BLOCK):
         if held:
             yield from packed()
 
-    spread = pieces.repartition(F.xxhash64("doc_id", "start")).sortWithinPartitions("doc_id", "start", "ids_crc32", "length")
+    spread = pieces.repartition(F.xxhash64("doc_id", "start", "ids_crc32", "length")).sortWithinPartitions("doc_id", "start", "ids_crc32", "length")
     extra = "sequence_id bigint, offset bigint"
     described = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in pieces.schema)
     return frames.map_arrow(spread, run, f"{described}, {extra}")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import edge
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -46,6 +47,19 @@ def test_memory_that_overflows_changes_nothing(library, monkeypatch):
         assert encoder.count(text) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_ids_of_a_column_equal_the_library(library):
+    encoder = encoding.LibraryEncoder(JSON)
+    texts = [None, "", " ", "a  b", "word é à <|endoftext|> x", "été à Ωmega  ", " lead", "trail ", "a\u00a0b c\nd e", "same same", "same", *ODD]
+    for _ in range(2):  # the second time from memory
+        column = pa.array(["cut off", *texts, "cut off"], pa.string()).slice(1, len(texts))
+        found = encoder.ids_of_column(column)
+        assert [ids.tolist() for ids in found] == [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in encoder.ids_of_column(pa.array([None, "", "a  b"], pa.string()))][:2] == [[], []]
+    assert len(encoder.ids_of_column(pa.array([], pa.string()))) == 0
+    alone = encoder.ids_of_column(pa.array(["a  b", "c \n"], pa.string()))
+    assert [ids.tolist() for ids in alone] == [library.encode(text, add_special_tokens=False).ids for text in ("a  b", "c \n")]
+
+
 def test_spliced_chunks_equal_the_whole(library):
     spaced = " ".join(odd_texts(400))
     for text in (edge.LONG, spaced, "a" * 3000, "日本" * 2000, " " * 2000, edge.LONG[:1500] + "b" * 2500 + edge.LONG[:1500]):
