@@ -72,6 +72,28 @@ def test_exact_stage_keeps_columns_and_one_of_each(spark):
     assert exact_dedup.remove_copies(edge.docs(spark, [])).count() == 0
 
 
+def test_exact_stage_with_hot_groups_and_repeated_winners(spark):
+    chance = random.Random(2)
+    texts = [(i, "Hot copy" if i % 3 == 0 else f"text {chance.randint(0, 900)}") for i in range(3000)]
+    texts += [(2997, "hot COPY")] * 500 + [(9000 + i // 2, f"twice {i // 2}") for i in range(60)] + [(None, "null only"), (None, "NULL only")]
+    stay = exact_dedup.remove_copies(edge.docs(spark, texts, partitions=7))
+    found = [(row.doc_id, hashlib.sha256(lowered(row.text).encode()).hexdigest()) for row in stay.collect()]
+    assert len(found) == len(set(found)) and set(found) == {(row[1], row[4]) for row in brute_exact(texts)}
+
+
+def test_exact_stage_looks_up_copies_alone(spark):
+    texts = [(i, "hot" if i % 3 == 0 else f"text {i // 100 if i % 10 == 0 else i}") for i in range(3000)]
+    docs = edge.docs(spark, texts)
+    table = exact_dedup.digests(docs)
+    winners = exact_dedup.frequent_winners(table)
+    lost = [row for row in brute_exact(texts) if not row[3] and row[2] > 1 and row[2] < 900]
+    suspects = spark.createDataFrame([(bytearray.fromhex(row[4]), row[0], True) for row in lost], "digest binary, doc_id bigint, lost boolean")
+    marked = exact_dedup._marked(docs, winners, suspects, "d", "a").collect()
+    asked = {row.doc_id for row in marked if row.a and row.text != "hot"}
+    assert {row[0] for row in lost} == asked
+    assert {row.doc_id for row in marked if row.text == "hot"} == {2997}
+
+
 def shingles(text, words):
     parts = lowered(text).encode().split()
     if not parts:
