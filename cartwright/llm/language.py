@@ -3,8 +3,8 @@
 Every word has affix, character n-gram and lexicon features; learned weights give it a score per language, learned transitions
 tie neighbours together, and forward-backward gives the chance of each language at each word, so text that switches language
 is labelled word by word. Training is on a bounded sample of every language: DOCS_PER_LANGUAGE distinct labelled documents at most,
-those with the least hash of doc_id and text, SEGMENTS cuts of SEGMENT characters spread over each. Runs of words of different documents are joined into
-training sequences that switch language, so that words have to speak for themselves. Prediction reads whole texts.
+those with the least hash of doc_id and text. Runs of words of different documents are joined into training sequences that switch
+language, so that words have to speak for themselves. Training and prediction read whole texts.
 
 A word of more than LONGEST characters, as in scripts without spaces, is cut into consecutive pieces of that many at most, and
 each piece takes part like a word, so that every character counts.
@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from cartwright.llm import frames
 
 UNKNOWN = "und"
-DOCS_PER_LANGUAGE = 600
+DOCS_PER_LANGUAGE = 300
 #: Documents that training collects in all; beyond 64 languages each has an even share of them, one document at least.
 SAMPLE = 64 * DOCS_PER_LANGUAGE
-SEGMENTS, SEGMENT = 4, 320
 BUCKETS = 1 << 15
 LEXICON_WORDS = 400
 LONGEST = 24
@@ -174,12 +173,12 @@ def _lexicon(labelled, labels):
 
 
 def fit(rows, seed=7):
-    """A model from (lang, text segments) rows; None without rows."""
+    """A model from (lang, text) rows; None without rows."""
     labels = sorted({lang for lang, _ in rows})
     if not labels:
         return None
     numbers = {lang: label for label, lang in enumerate(labels)}
-    labelled = [(numbers[lang], [piece for token in text.split() for piece in _pieces(token)]) for lang, segments in rows for text in segments]
+    labelled = [(numbers[lang], [piece for token in text.split() for piece in _pieces(token)]) for lang, text in rows]
     model = Model(labels, _lexicon(labelled, labels))
     chance = np.random.default_rng(seed)
     vocabulary = {}
@@ -228,7 +227,7 @@ def fit(rows, seed=7):
 
 
 def train_rows(docs, held_out):
-    """The bounded training sample as (lang, segments) rows, from documents that aren't held out and have text and lang.
+    """The bounded training sample as (lang, text) rows, from documents that aren't held out and have text and lang.
 
     Every language takes part, with its documents of the least hashes. Copies of a document under one doc_id are one document.
     A first cut by the hash leaves about twice as many as wanted, so that ranking them is little work.
@@ -242,14 +241,11 @@ def train_rows(docs, held_out):
     share = F.create_map([F.lit(x) for row in counts for x in (row["lang"], min(1.0, (2 * quota + 40) / max(1, row["count"])))])
     # Position of the document in [0, 1) by its hash: the same documents at every layout.
     place = F.pmod(F.col("digest"), F.lit(1 << 30)) / float(1 << 30)
-    room = F.greatest(F.length("text") - SEGMENT, F.lit(0))
-    cuts = [F.substring("text", (room * i / max(1, SEGMENTS - 1)).cast("int") + 1, F.lit(SEGMENT)) for i in range(SEGMENTS)]
-    cuts = F.when(F.length("text") <= SEGMENT, F.array(F.col("text"))).otherwise(F.array(*cuts))
     chosen = usable.withColumn("place", place).filter(F.col("place") < share[F.col("lang")])
-    chosen = chosen.groupBy("lang", "place", "digest").agg(F.min(cuts).alias("segments"))
+    chosen = chosen.groupBy("lang", "place", "digest").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "digest"))
-    rows = chosen.withColumn("rank", rank).filter(F.col("rank") <= quota).select("lang", "segments").collect()
-    return sorted((row["lang"], row["segments"]) for row in rows)
+    rows = chosen.withColumn("rank", rank).filter(F.col("rank") <= quota).select("lang", "text").collect()
+    return sorted((row["lang"], row["text"]) for row in rows)
 
 
 class _Numbers(dict):
