@@ -1,8 +1,8 @@
 """Quality by importance resampling with hashed n-gram models.
 
 Words and word pairs are hashed into BUCKETS. One pass counts them over all documents (the raw model) and over a bounded
-sample of labelled good documents (the target model). A document's log weight is the mean log ratio of the two models'
-probabilities over its n-grams, times their number or EVIDENCE, whichever is less. Documents are drawn without replacement in
+sample of labelled good documents (the target model). A document's log weight is its n-grams' mean log ratio of the two models'
+probabilities, shrunk by EVIDENCE n-grams without evidence and times EVIDENCE: one formula at every length. Documents are drawn without replacement in
 proportion to their weights: Gumbel noise is added to the log weights and the k largest sums stay. k is the number of documents
 whose weight reaches the bound that all but MISSED of the labelled good documents reach, so it follows the corpus and the
 labels. The k-th key is found exactly by counting digits of the keys, from the highest down, never by sorting or collecting.
@@ -21,8 +21,8 @@ BUCKETS = 1 << 16
 LABELLED = 20_000
 #: Share of the labelled good documents that may fall below the bound.
 MISSED = 0.001
-#: n-grams that a long document counts as. A log ratio per n-gram is slightly off where counts are small, and always to the same
-#: side; in the plain sum that would grow with the text, until long documents went for their length.
+#: n-grams at which a document has half its weight. A log ratio per n-gram is slightly off where counts are small, and always to the
+#: same side; in the plain sum that would grow with the text, until long documents went for their length.
 EVIDENCE = 64
 #: Pseudo-count of every bucket in both models.
 PRIOR = 4.0
@@ -98,7 +98,7 @@ class Models:
             total = float((counts * np.log((without + PRIOR) / self.expected[own])).sum())
         else:
             total = float(self.ratios[buckets].sum())
-        return total / len(buckets) * min(len(buckets), EVIDENCE)
+        return EVIDENCE * total / (len(buckets) + EVIDENCE)
 
 
 def gumbel(doc_id):

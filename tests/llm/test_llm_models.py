@@ -3,10 +3,12 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import edge
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cartwright.llm import importance, language
@@ -174,21 +176,40 @@ def mixed(spark):
     return docs, labels, {i for i, _, poor in rows if poor}
 
 
+def plain_grams(raw):
+    """Hashed words and word pairs in whole numbers, written without the operator's helpers."""
+    full = 2**64 - 1
+    hashes = [xxhash.xxh3_64_intdigest(word) for word in raw.lower().split()]
+    grams = [number >> 48 for number in hashes]
+    for one, two in itertools.pairwise(hashes):
+        pair = (one * 0x9E3779B97F4A7C15 & full) ^ (two >> 1)
+        grams.append(((pair ^ (pair >> 29)) * 0x9E3779B97F4A7C15 & full) >> 48)
+    return grams
+
+
+def plain_noise(doc_id):
+    uniform = (xxhash.xxh3_64_intdigest(str(doc_id).encode(), seed=20240229) + 0.5) / 2.0**64
+    return -math.log(-math.log(min(max(uniform, 1e-300), 1 - 2.0**-53)))
+
+
 def brute_sample(docs, labels, missed):
-    """The same draw without Spark: counts, weights, and a plain sort."""
-    rows = [(row.doc_id, (row.text or "").encode()) for row in docs.select("doc_id", "text").collect()]
+    """The same draw without Spark and without the operator: counts, weights, noise and a plain sort."""
+    rows = [(row.doc_id, plain_grams((row.text or "").encode())) for row in docs.select("doc_id", "text").collect()]
     good = {row.doc_id for row in labels.collect() if row.quality == 1 and not row.toxic}
-    counts = {}
-    for doc_id, raw in rows:
-        for bucket in importance.ngram_buckets(raw).tolist():
-            pair = counts.setdefault(bucket, [0, 0])
-            pair[0] += 1
-            pair[1] += doc_id in good
-    models = importance.Models([{"bucket": b, "raw": r, "target": t} for b, (r, t) in counts.items()])
-    weighed = [(*importance.drawn(models, doc_id, raw, doc_id in good), doc_id) for doc_id, raw in rows]
+    raw = Counter(gram for _, grams in rows for gram in grams)
+    target = Counter(gram for doc_id, grams in rows if doc_id in good for gram in grams)
+    scale = sum(target.values()) / sum(raw.values())
+    weighed = []
+    for doc_id, grams in rows:
+        own, total = Counter(grams), 0.0
+        for gram, times in own.items():
+            seen = target[gram] - times if doc_id in good else target[gram]
+            total += times * math.log((seen + 4.0) / (raw[gram] * scale + 4.0))
+        weight = 64 * total / (len(grams) + 64)
+        weighed.append((weight, weight + plain_noise(doc_id), doc_id))
     bound = sorted(weight for weight, _, doc_id in weighed if doc_id in good)
     bound = bound[max(0, math.ceil(missed * len(bound)) - 1)]
-    k = sum(weight >= bound for weight, _, _ in weighed)
+    k = sum(weight >= bound - 1e-9 for weight, _, _ in weighed)
     least = sorted((key for _, key, _ in weighed), reverse=True)[k - 1]
     return sorted((doc_id, key >= least) for _, key, doc_id in weighed), k
 
