@@ -167,7 +167,7 @@ FROM shingled LEFT JOIN least ON doc_id = node
 """
 
 _URLS = f"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
     SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ),
 located AS (
@@ -185,49 +185,51 @@ ruled AS (
 ),
 said AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled),
 paths AS (
-    SELECT host, path, regexp_replace(path, '[0-9]+', '<n>', 'g') AS shape, count(*) AS pages, count(said) AS labelled,
-        count(*) FILTER (said = 'block') AS blocked
+    SELECT host, path, count(*) AS pages, count(said) AS labelled, count(*) FILTER (said = 'block') AS blocked
     FROM said GROUP BY host, path
 ),
-parted AS (SELECT *, string_split(shape, '/') AS parts FROM paths),
-levels AS (SELECT *, unnest(range(1, len(parts) + 1)) AS depth FROM parted),
-nodes AS (SELECT *, array_to_string(parts[1:depth - 1], '/') AS prefix, parts[depth] AS part FROM levels),
-children AS (
-    SELECT host, depth, prefix, part, sum(pages) AS pages, sum(labelled) AS labelled, sum(blocked) AS blocked
-    FROM nodes GROUP BY host, depth, prefix, part
-),
-parents AS (
-    SELECT host, depth, prefix, count(*) AS kinds, sum(pages) AS all_pages, CAST(sum(labelled) AS DOUBLE) AS l,
-        CAST(sum(blocked) AS DOUBLE) AS b
-    FROM children GROUP BY host, depth, prefix
-),
-tokens AS (
-    SELECT host, depth, prefix, part, CASE
-        WHEN kinds > {url_filter.MANY} AND all_pages < {url_filter.THIN} * kinds THEN '*'
-        WHEN kinds > 1 AND labelled > 0 AND
-            (CAST(blocked AS DOUBLE) * (l + 2) - CAST(labelled AS DOUBLE) * (b + 1))
-            * (CAST(blocked AS DOUBLE) * (l + 2) - CAST(labelled AS DOUBLE) * (b + 1))
-            <= CAST({url_filter.DIFFERENT} AS DOUBLE) * CAST(labelled AS DOUBLE) * (b + 1) * (l + 1 - b) THEN '~'
-        ELSE part END AS token
-    FROM children JOIN parents USING (host, depth, prefix)
+walk AS (
+    SELECT host, path, pages, labelled, blocked, string_split(regexp_replace(path, '[0-9]+', '<n>', 'g'), '/') AS parts, 1 AS level,
+        '' AS above, '' AS seen, false AS ended FROM paths
+    UNION ALL
+    SELECT host, path, pages, labelled, blocked, parts, level + 1, above || '/' || token,
+        seen || '/' || CASE WHEN token = '*' THEN token ELSE part END, all_paths = 1 OR len(parts) = level
+    FROM (
+        SELECT *, CASE
+            WHEN kinds > {url_filter.MANY} AND {url_filter.THIN} * kin < all_paths AND (of = 0 OR alike) THEN '*'
+            WHEN kinds > 1 AND of > 0 AND alike THEN '~'
+            ELSE part END AS token
+        FROM (
+            SELECT *, (bad * (l + 2) - of * (b + 1)) * (bad * (l + 2) - of * (b + 1))
+                <= CAST({url_filter.DIFFERENT} AS DOUBLE) * of * (b + 1) * (l + 1 - b) AS alike
+            FROM (
+                SELECT *, count(*) OVER child AS kin, CAST(sum(labelled) OVER child AS DOUBLE) AS of,
+                    CAST(sum(blocked) OVER child AS DOUBLE) AS bad, count(DISTINCT part) OVER node AS kinds,
+                    count(*) OVER node AS all_paths, CAST(sum(labelled) OVER node AS DOUBLE) AS l,
+                    CAST(sum(blocked) OVER node AS DOUBLE) AS b
+                FROM (SELECT *, parts[level] AS part FROM walk WHERE NOT ended)
+                WINDOW child AS (PARTITION BY host, level, above, part), node AS (PARTITION BY host, level, above)
+            )
+        )
+    )
 ),
-templates AS (
-    SELECT host, path, string_agg(token, '/' ORDER BY depth) AS template
-    FROM nodes JOIN tokens USING (host, depth, prefix, part) GROUP BY host, path
+shaped AS (
+    SELECT host, path, pages, labelled, blocked, substr(above || rest, 2) AS template, substr(seen || rest, 2) AS shape
+    FROM (SELECT *, CASE WHEN len(parts) >= level THEN '/' || array_to_string(parts[level:], '/') ELSE '' END AS rest FROM walk WHERE ended)
 ),
 base AS (SELECT (coalesce(sum(blocked), 0) + 1) * 1000000 // (coalesce(sum(labelled), 0) + 2) AS base FROM paths),
 priors AS (
     SELECT shape, CAST(floor((sum(blocked) * 1000000 + {url_filter.SHAPE_WEIGHT} * any_value(base))
         / (sum(labelled) + {url_filter.SHAPE_WEIGHT})) AS BIGINT) AS prior
-    FROM paths, base GROUP BY shape
+    FROM shaped, base GROUP BY shape
 ),
 judged AS (
     SELECT host, template, sum(blocked) * 1000000 + {url_filter.WEIGHT} * CAST(floor(sum(pages * prior) / sum(pages)) AS BIGINT)
         > 500000 * (sum(labelled) + {url_filter.WEIGHT}) AS bad
-    FROM paths JOIN priors USING (shape) JOIN templates USING (host, path) GROUP BY host, template
+    FROM shaped JOIN priors USING (shape) GROUP BY host, template
 )
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
-FROM said JOIN templates USING (host, path) JOIN judged USING (host, template)
+FROM said JOIN (SELECT host, path, template FROM shaped) USING (host, path) JOIN judged USING (host, template)
 """
 
 _AUDIT = f"""

@@ -3,7 +3,8 @@
 The tree of a host is built level by level. Digits in a segment are a placeholder; where a node has many children, those
 with a small share of its paths become one wildcard, and children whose share of blocked pages does not differ from their
 parent's are merged. A child whose labels differ stays. The next level is counted below the generalised prefix. Labels are
-what the rules say about the pages they cover. A template's share of blocked pages is smoothed towards the share of its
+what the rules say about the pages they cover. Segments that all paths below a node share are passed over in one step, so that
+the steps are as many as the places where paths part, not as deep as the paths. A template's share of blocked pages is smoothed towards the share of its
 shape, wildcards included, on all hosts, and the template is rejected when that passes one half. Work runs on counts of
 distinct (host, path), not on pages, and a hot host is spread over its prefixes and segments.
 """
@@ -70,30 +71,51 @@ def _tokens(children):
     return children.join(parents, node).select(*node, "part", token.alias("token"), "all_paths")
 
 
+def _past_chains(rows):
+    """Moves every node down the segments that all its paths share, up to the last before they part or one ends.
+
+    A chain of only children has no siblings to be like, so its segments stay as they are. The shared start of a node's paths is
+    that of the least and the greatest of them.
+    """
+    node = ["host", "above"]
+    ends = rows.groupBy(*node).agg(F.min("parts").alias("lo"), F.max("parts").alias("hi"), F.min(F.size("parts")).alias("least"))
+    same = F.array_position(F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b)), False) - 1
+    same = F.when(same < 0, F.size("lo")).otherwise(same)
+    shared = F.least(same, F.col("least") - 1).cast("int")
+    chains = ends.select(*node, shared.alias("shared"), F.slice("lo", F.lit(1), shared).alias("chain"))
+    chain = F.when(F.col("shared") > 0, F.concat(F.lit("/"), F.array_join("chain", "/"))).otherwise(F.lit(""))
+    moved = rows.join(materialize(chains.select(*node, "shared", chain.alias("chain")), "chains"), node)
+    return moved.withColumns(
+        {
+            "above": F.concat("above", "chain"), "seen": F.concat("seen", "chain"),
+            "parts": F.slice("parts", F.col("shared") + 1, F.size("parts")),
+        }
+    ).drop("shared", "chain")
+
+
 def _templates(paths):
     """Adds template and shape to the distinct (host, path), one level of the tree after the other.
 
-    `above` is the generalised prefix, so below a wildcard or a merged node the children of all its members count together. A
-    path that is alone below its prefix has no siblings any more and keeps the rest as it is, so the levels end where
-    the last two paths part.
+    `above` is the generalised prefix, so below a wildcard or a merged node the children of all its members count together, and
+    `parts` is what follows it. A path that is alone below its prefix has no siblings any more and keeps the rest as it is, so
+    the levels end where the last two paths part.
     """
     parts = F.split(F.regexp_replace("path", "[0-9]+", "<n>"), "/")
     rows = paths.withColumns({"parts": parts, "above": F.lit(""), "seen": F.lit("")})
     done = []
     while True:
-        level = len(done) + 1
-        rows = rows.withColumn("part", F.element_at("parts", level))
+        rows = _past_chains(rows).withColumn("part", F.element_at("parts", 1))
         counts = [F.count(F.lit(1)).alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
         children = materialize(rows.groupBy("host", "above", "part").agg(*counts), "children")
         rows = rows.join(_tokens(children), ["host", "above", "part"])
         # Every token stands behind a slash; the one before the first segment goes at the end.
-        ended = (F.col("all_paths") == 1) | (F.size("parts") == level)
-        rest = F.when(F.size("parts") > level, F.concat(F.lit("/"), F.array_join(F.slice("parts", level + 1, F.size("parts")), "/")))
-        rest = F.coalesce(rest, F.lit(""))
+        ended = (F.col("all_paths") == 1) | (F.size("parts") == 1)
+        after = F.slice("parts", F.lit(2), F.size("parts"))
+        rest = F.when(F.size("parts") > 1, F.concat(F.lit("/"), F.array_join(after, "/"))).otherwise(F.lit(""))
         segment = F.when(F.col("token") == "*", F.col("token")).otherwise(F.col("part"))
         rows = materialize(
             rows.select(
-                "host", "path", "pages", "labelled", "blocked", "parts", ended.alias("ended"), rest.alias("rest"),
+                "host", "path", "pages", "labelled", "blocked", after.alias("parts"), ended.alias("ended"), rest.alias("rest"),
                 F.concat("above", F.lit("/"), "token").alias("above"), F.concat("seen", F.lit("/"), segment).alias("seen"),
             ),
             "level",

@@ -3,11 +3,13 @@
 import math
 import random
 
+import duckdb
 import edge
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from cartwright.llm import topk_search, url_filter
+from cartwright.llm import queries, topk_search, url_filter
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, row bigint, v string"
 
@@ -171,6 +173,38 @@ def test_a_large_child_and_one_with_other_labels_stay_beside_a_wildcard(spark):
     assert first["ads"] == "ads" and first["help"] != "*" and {first[name] for name, _ in people(300, 1)} == {"*"}
 
 
+def wide_site():
+    """Urls with more than MANY children, labels of both kinds, repeated pages, and paths of unequal depth."""
+    chance = random.Random(5)
+    hosts = ["a.example.net", "shop.example.com", "b.org", "plain.test", "x.net", "long.test"]
+    urls = []
+    for n in range(1500):
+        host, name = chance.choice(hosts), f"u{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{chr(97 + n // 676)}"
+        kind = chance.choice(["en", "de", "fr", "user", "help"])
+        tail = chance.choice([name, f"{name}/post", f"page/{n}", "", f"{name}/post/{chance.choice('abc')}"])
+        urls += [f"http://{host}/{kind}/{tail}"] * chance.choice([1, 1, 1, 3])
+    urls += [f"http://long.test/{'same/' * 40}{end}" for end in ("a", "b", "", "b/c")] + ["http://long.test", "http://long.test/", None, "x"]
+    return urls
+
+
+def test_tree_equals_sql_on_wide_and_deep_sites(spark):
+    site = pages(spark, list(enumerate(wide_site())))
+    found = edge.rows(url_filter.judge_urls(site), "page_id", "host", "path", "rule", "verdict")
+    assert any("*" in row.template for row in url_filter.judge_urls(site).select("template").distinct().collect())
+    tables = duckdb.connect()
+    tables.register("pages", pa.table({"page_id": list(range(len(wide_site()))), "url": pa.array(wide_site(), pa.string())}))
+    wanted = tables.execute(f"SELECT page_id, host, path, rule, verdict FROM ({queries.SQL['op10_url_filter']})").fetchall()
+    assert found == sorted(wanted)
+
+
+def test_shared_segments_cost_no_steps(spark, monkeypatch):
+    steps, token = [], url_filter._tokens
+    monkeypatch.setattr(url_filter, "_tokens", lambda children: steps.append(1) or token(children))
+    rows = [(i, f"http://trap.test/{'loop/' * 500}{end}") for i, end in enumerate("ab")]
+    found = {row.template for row in url_filter.judge_urls(pages(spark, rows)).collect()}
+    assert len(steps) <= 2 and found == {row[1][len("http://trap.test"):] for row in rows}
+
+
 def test_filter_runs_no_python(spark):
     plan = url_filter.judge_urls(pages(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
