@@ -145,3 +145,22 @@ def test_fewer_products_than_clusters(spark):
         table = spark.createDataFrame(stats.limit(size).collect(), stats.schema)
         _, clustered = clustering.fit_clusters(table)
         assert clustered.count() == size
+
+
+def test_check_of_recommendations_keeps_only_each_chunks_best_scores(spark, monkeypatch):
+    monkeypatch.setattr(registry, "CHECK_USERS", 3)
+    monkeypatch.setattr(registry, "CHECK_ITEMS", 7)
+    chance = np.random.default_rng(3)
+    left, right = chance.normal(size=(11, 4)), chance.normal(size=(40, 4))
+    users = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(left)], "user INT, left ARRAY<FLOAT>")
+    items = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(right)], "item INT, right ARRAY<FLOAT>")
+    user_chunks = registry._chunks(users, "user", "left", registry.CHECK_USERS)
+    item_chunks = registry._chunks(items, "item", "right", registry.CHECK_ITEMS)
+    scored = registry._chunk_tops(user_chunks, item_chunks, 10).collect()
+    assert len(scored) <= 11 * item_chunks.count() * 10
+    found = {}
+    for row in scored:
+        found.setdefault(row.user, []).append(row.top)
+    exact = left.astype(np.float32).astype(np.float64) @ right.astype(np.float32).astype(np.float64).T
+    for user in range(11):
+        assert sorted(found[user], reverse=True)[:10] == pytest.approx(sorted(exact[user], reverse=True)[:10])
