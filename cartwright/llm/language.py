@@ -173,12 +173,13 @@ def _lexicon(labelled, labels):
 
 
 def fit(rows, seed=7):
-    """A model from (lang, text) rows; None without rows."""
+    """A model from (lang, text) rows, or (lang, list of texts) rows, each text its own sequence; None without rows."""
     labels = sorted({lang for lang, _ in rows})
     if not labels:
         return None
     numbers = {lang: label for label, lang in enumerate(labels)}
-    labelled = [(numbers[lang], [piece for token in text.split() for piece in _pieces(token)]) for lang, text in rows]
+    texts = [(lang, text) for lang, given in rows for text in ([given] if isinstance(given, str) else given)]
+    labelled = [(numbers[lang], [piece for token in text.split() for piece in _pieces(token)]) for lang, text in texts]
     model = Model(labels, _lexicon(labelled, labels))
     chance = np.random.default_rng(seed)
     vocabulary = {}
