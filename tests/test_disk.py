@@ -1,0 +1,72 @@
+"""What steps leave on disk: no shuffle files of written tables, one slice or wave at a time, and the same rows as at once."""
+
+import os
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartwright.operators import factorization, scoring
+from cartwright.sources import scratch, sinks
+from test_recommendation import Factors, lists
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {name for folder in folders for _, _, names in os.walk(folder.toString()) for name in names if name.startswith("shuffle_")}
+
+
+def files_left(spark, before, patience=20):
+    """Shuffle files that are new and stay: Spark drops some in the background."""
+    until = time.time() + patience
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def counted(spark):
+    return spark.range(1000).groupBy((F.col("id") % 7).alias("key")).agg(F.count("*").alias("rows"))
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    written = scratch.materialize(counted(spark))
+    rows = sinks.gold_table(counted(spark), str(tmp_path), "counted", ["key"])
+    assert not files_left(spark, before)
+    assert written.count() == rows == 7
+    assert spark.conf.get(scratch.SHUFFLES_GO) == "false"
+
+
+def test_a_failed_write_restores_the_setting(spark):
+    with pytest.raises(Exception):
+        scratch.materialize(spark.range(1).select(F.raise_error(F.lit("no")).alias("x")))
+    assert spark.conf.get(scratch.SHUFFLES_GO) == "false"
+
+
+def test_a_fit_leaves_no_shuffle_files(spark):
+    pairs = spark.range(600).select(
+        (F.col("id") % 30).cast("int").alias("user"), (F.col("id") / 30).cast("int").alias("item"), F.lit(1.0).alias("rating")
+    )
+    before = shuffle_files(spark)
+    model = factorization.fit_factors(pairs)
+    assert not files_left(spark, before)
+    assert (model.userFactors.count(), model.itemFactors.count()) == (30, 20)
+
+
+def test_waves_keep_each_user_once_and_move_no_items(spark, monkeypatch, tmp_path):
+    """Users that left are written once, open ones not beyond the next wave; no item goes through a shuffle."""
+    for name, value in (("ITEM_BLOCK", 40), ("FIRST_WAVE", 20), ("GROWTH", 2)):
+        monkeypatch.setattr(scoring, name, value)
+    monkeypatch.setattr(scratch, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{time.time_ns()}")
+    chance = np.random.default_rng(5)
+    users, products = chance.normal(size=(60, 4)), chance.normal(size=(200, 4)) / np.arange(1, 201)[:, None] ** 0.3
+    model = Factors(spark, *[[(i, row.tolist()) for i, row in enumerate(table)] for table in (users, products)])
+    found = scoring.best_items(model, 5)
+    waves = sorted(path for path in tmp_path.iterdir() if path.name.startswith("lists"))
+    assert len(waves) > 1 and not any((path / "open=1").exists() for path in waves[:-1])
+    closed = [spark.read.parquet(str(path / "open=0")).count() for path in waves if (path / "open=0").exists()]
+    assert sum(closed) == 60 and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    scores = users.astype(np.float32).astype(float) @ products.astype(np.float32).astype(float).T
+    for user, picks in lists(found).items():
+        assert [score for _, score in picks] == pytest.approx(np.sort(scores[user])[::-1][:5].tolist(), abs=2e-5)
