@@ -34,7 +34,7 @@ def build_silver(message_stream, base, as_of=None):
 def build_gold(events, gold, as_of=None, base=None):
     """Writes the five gold tables and returns their numbers of rows. Later tables start from written ones."""
     spark = events.sparkSession
-    base = scratch.materialize(statistics.activity(events), "activity") if base is None else base
+    base = statistics.written_activity(events) if base is None else base
     rows = {}
 
     def write(name, table, cluster_by=None):
@@ -84,7 +84,7 @@ def run(message_stream, base, as_of=None, since=None, until=None, clusters=schem
         silver_path = build_silver(message_stream, base, as_of)
         events = files.silver(spark, silver_path, since, until)
         gold = f"{base}/gold"
-        activity = scratch.materialize(statistics.activity(events), "activity")
+        activity = statistics.written_activity(events)
         report = build_gold(events, gold, as_of, activity)
         report.update(build_recommendations(events, gold, clusters, activity, blocks))
     return report

@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import factorization, scoring
+from cartwright.operators import factorization, scoring, statistics
+from cartwright.plans import fixtures, registry
 from cartwright.sources import scratch, sinks
+from conftest import SMALL
 from test_recommendation import Factors, lists
 
 
@@ -54,6 +56,43 @@ def test_a_fit_leaves_no_shuffle_files(spark):
     assert (model.userFactors.count(), model.itemFactors.count()) == (30, 20)
 
 
+def odd_events(spark):
+    """The small events, and beside them sessions of several users, missing users, products, brands and categories, and repeats."""
+    events = fixtures.commerce_events(spark, SMALL)
+    number = F.col("price").cast("bigint")
+
+    def gap(name, every):
+        return F.when(number % every != 0, F.col(name)).alias(name)
+
+    odd = {name: gap(name, every) for name, every in (("product_id", 11), ("user_id", 3), ("brand", 5), ("category_code", 7))}
+    shared = events.select(*[odd.get(name, F.col(name)) for name in events.columns if name != "user_session"])
+    shared = shared.withColumn("user_session", F.when(number % 13 != 0, (number % 50).cast("string")))
+    return events.unionByName(shared.select(*events.columns)).unionByName(events.limit(50))
+
+
+def test_an_activity_in_slices_gives_the_same_numbers(spark, monkeypatch):
+    events = odd_events(spark)
+    whole = statistics.written_activity(events)
+    assert statistics.SLICE not in whole.columns
+    monkeypatch.setattr(statistics, "SLICE_ROWS", 1000)
+    sliced = statistics.written_activity(events)
+    assert sliced.select(statistics.SLICE).distinct().count() == statistics.SLICES
+
+    def rows(table):
+        return sorted(map(str, table.drop("created_timestamp").collect()))
+
+    assert rows(sliced.drop(statistics.SLICE)) == rows(whole)
+    parts = [scratch.materialize(statistics.product_parts(base)) for base in (whole, sliced)]
+    assert rows(parts[0]) == rows(parts[1])
+    for table in (statistics.category_statistics, statistics.brand_statistics):
+        assert rows(table(None, parts=parts[0])) == rows(table(None, parts=parts[1]))
+
+
+def test_no_events_have_no_slices(spark):
+    empty = statistics.written_activity(fixtures.commerce_events(spark, SMALL).limit(0))
+    assert statistics.product_parts(empty).count() == 0
+
+
 def test_waves_keep_each_user_once_and_move_no_items(spark, monkeypatch, tmp_path):
     """Users that left are written once, open ones not beyond the next wave; no item goes through a shuffle."""
     for name, value in (("ITEM_BLOCK", 40), ("FIRST_WAVE", 20), ("GROWTH", 2)):
@@ -70,3 +109,20 @@ def test_waves_keep_each_user_once_and_move_no_items(spark, monkeypatch, tmp_pat
     scores = users.astype(np.float32).astype(float) @ products.astype(np.float32).astype(float).T
     for user, picks in lists(found).items():
         assert [score for _, score in picks] == pytest.approx(np.sort(scores[user])[::-1][:5].tolist(), abs=2e-5)
+
+
+def test_events_are_read_as_they_are_joined(spark):
+    """No round of wide event rows after the joins: silver is written by the tasks that join."""
+    plan = fixtures.commerce_events(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Repartition") > plan.index("Join") and plan.count("Repartition") == 1
+    assert registry.silver(spark, SMALL).count() == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+def test_parts_stay_when_their_activity_goes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path))
+    monkeypatch.setattr(statistics, "SLICE_ROWS", 1000)
+    monkeypatch.setattr(registry, "_built", {})
+    parts = registry.product_parts(spark, SMALL)
+    kept = sorted(name.split("-")[0] for _, folders, _ in os.walk(tmp_path) for name in folders if "-" in name)
+    assert [name for name in kept if name in ("activity", "numbers", "run")] == []
+    assert parts.count() == registry.silver(spark, SMALL).select("product_id").distinct().count()
